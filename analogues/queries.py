@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -631,19 +631,7 @@ def geo_features(t: Tables) -> DataFrame:
 
 
 def _new_path(spark: SparkSession, name: str) -> str:
-    root = shared_dir(spark)
-    if "://" in root:
-        import uuid
-
-        return f"{root}/{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=None if not root else _existing(root)) + "/table"
-
-
-def _existing(root: str) -> str:
-    import os
-
-    os.makedirs(root, exist_ok=True)
-    return root
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @query
