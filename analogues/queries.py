@@ -155,7 +155,7 @@ def approved_transactions(t: Tables) -> DataFrame:
         auth.select(
             "nro_terminal",
             "nro_establecimiento_orig",
-            "fecha_host_entrada_autoriz",
+            F.to_date("fecha_host_entrada_autoriz").alias("fecha_host_entrada_autoriz"),
             "cod_respuesta_autorizacion",
             "monto_autoriz_moneda_orig",
             F.when(P.is_acquiring_txn(), 1).otherwise(0).alias("adquirente"),
@@ -247,7 +247,7 @@ def deflated_movements(t: Tables) -> DataFrame:
     return tidy(
         indexed.select(
             "nro_establecimiento",
-            "fecha_movimiento",
+            F.to_date("fecha_movimiento").alias("fecha_movimiento"),
             period_key("fecha_movimiento").alias("periodo"),
             E.deflate("monto_movimiento", "indice").alias("monto_real"),
             E.inflate("monto_movimiento", "indice").alias("monto_ajustado"),
@@ -270,7 +270,7 @@ def establishment_base(t: Tables) -> DataFrame:
 
 @query
 def typed_addresses(t: Tables) -> DataFrame:
-    return tidy(AD.typed_addresses(t["address_history"], t["provinces"], "1"))
+    return tidy(AD.typed_addresses(t["address_history"], t["provinces"], "1").drop("cod_tipo_direccion"))
 
 
 @query

@@ -58,7 +58,7 @@ def _establishment_history(t: dict[str, DataFrame]) -> DataFrame:
         "c_nationkey % 4 + 1 AS bandera",
         "CASE WHEN o_orderstatus <> 'P' THEN concat('Benef ', o_orderpriority) END AS beneficiario_host",
         "concat('  ', o_orderstatus, ' ') AS nivel_seguridad_moto_ecom",
-        "CAST(o_orderdate AS TIMESTAMP) AS fecha_inicio",
+        "o_orderdate AS fecha_inicio",
         f"CASE WHEN o_orderstatus = 'O' THEN {OPEN_END} ELSE CAST(date_add(CAST(o_orderdate AS DATE), "
         "CAST(30 + o_orderkey % 700 AS INT)) AS TIMESTAMP) END AS fecha_fin",
         "CAST(o_orderdate AS DATE) AS fecha_alta",
@@ -96,7 +96,7 @@ def _geo_location(t: dict[str, DataFrame]) -> DataFrame:
 
 def _movements(t: dict[str, DataFrame]) -> DataFrame:
     return t["orders"].selectExpr(
-        "CAST(o_orderdate AS DATE) AS fecha_movimiento",
+        "o_orderdate AS fecha_movimiento",
         "o_custkey AS nro_establecimiento",
         "CASE o_orderstatus WHEN 'F' THEN '0005' WHEN 'O' THEN '0510' ELSE '0999' END AS cod_tipo_operacion",
         "CAST(o_totalprice AS DECIMAL(18,2)) AS monto_movimiento",
@@ -108,7 +108,7 @@ def _authorisations(t: dict[str, DataFrame]) -> DataFrame:
     return t["lineitem"].selectExpr(
         f"{TERMINAL} AS nro_terminal",
         "l_suppkey AS nro_establecimiento_orig",
-        "CAST(l_shipdate AS DATE) AS fecha_host_entrada_autoriz",
+        "l_shipdate AS fecha_host_entrada_autoriz",
         "CASE l_returnflag WHEN 'N' THEN 0 WHEN 'A' THEN 900 ELSE 7 + 93 * CAST(l_linestatus = 'F' AS INT) END "
         "AS cod_respuesta_autorizacion",
         "CASE WHEN l_tax > 0.075D THEN 1200 ELSE 1100 END AS cod_tipo_mensaje_autoriz",

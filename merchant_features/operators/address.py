@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from merchant_features.functions.expressions import format_address, is_blank, province_code
 from merchant_features.operators.history import current_versions, top1_per_key
 from merchant_features.operators.lookup import lookup
+from merchant_features.sources.storage import materialize
 
 ESTABLISHMENT = "nro_establecimiento"
 ADDRESS_FIELDS = (
@@ -22,10 +23,10 @@ FALLBACK_TYPE = "1"
 
 
 def typed_addresses(
-    addresses: DataFrame, provinces: DataFrame, kind: str, current_only: bool = False
+    addresses: DataFrame, provinces: DataFrame, *kinds: str, current_only: bool = False
 ) -> DataFrame:
-    """Addresses of one type with their province and the single-line form."""
-    rows = addresses.where(F.col("cod_tipo_direccion") == kind)
+    """Addresses of the given types with their province and the single-line form."""
+    rows = addresses.where(F.col("cod_tipo_direccion").isin(*kinds))
     if current_only:
         rows = current_versions(rows)
     rows = lookup(
@@ -36,6 +37,7 @@ def typed_addresses(
     )
     return rows.select(
         ESTABLISHMENT,
+        "cod_tipo_direccion",
         F.coalesce("calle", F.lit("")).alias("nombre_calle"),
         F.coalesce("numero", F.lit("")).alias("numero_calle"),
         F.col("codigo_postal4").alias("codigo_postal"),
@@ -49,8 +51,10 @@ def typed_addresses(
 
 
 def latest_addresses(typed: DataFrame) -> DataFrame:
-    """The latest address of every establishment."""
-    return top1_per_key(typed, [ESTABLISHMENT], [F.col("id_carga").desc_nulls_last()])
+    """The latest address of every establishment and type."""
+    return top1_per_key(
+        typed, [ESTABLISHMENT, "cod_tipo_direccion"], [F.col("id_carga").desc_nulls_last()]
+    )
 
 
 def fallback_record(
@@ -79,12 +83,19 @@ def fallback_record(
     return usable.unionByName(lacking.join(secondary, key, "left")).distinct()
 
 
-def unified_addresses(base: DataFrame, addresses: DataFrame, provinces: DataFrame, **options) -> DataFrame:
+def unified_addresses(
+    base: DataFrame, addresses: DataFrame, provinces: DataFrame, current_only: bool = False
+) -> DataFrame:
     """All distinct preferred-or-fallback addresses of the base establishments."""
+    typed = typed_addresses(
+        addresses, provinces, PREFERRED_TYPE, FALLBACK_TYPE, current_only=current_only
+    )
+    known = materialize(typed.select("cod_tipo_direccion", ESTABLISHMENT, *ADDRESS_FIELDS).distinct())
+    of_type = F.col("cod_tipo_direccion")
     return fallback_record(
         base,
-        typed_addresses(addresses, provinces, PREFERRED_TYPE, **options),
-        typed_addresses(addresses, provinces, FALLBACK_TYPE, **options),
+        known.where(of_type == PREFERRED_TYPE),
+        known.where(of_type == FALLBACK_TYPE),
         ESTABLISHMENT,
         "nombre_calle",
         ADDRESS_FIELDS,
@@ -92,26 +103,23 @@ def unified_addresses(base: DataFrame, addresses: DataFrame, provinces: DataFram
 
 
 def latest_unified_addresses(
-    base: DataFrame, addresses: DataFrame, provinces: DataFrame, **options
+    base: DataFrame, addresses: DataFrame, provinces: DataFrame, current_only: bool = False
 ) -> DataFrame:
     """One preferred-or-fallback address per base establishment, each type at its latest version."""
-    primary = latest_addresses(typed_addresses(addresses, provinces, PREFERRED_TYPE, **options))
-    secondary = latest_addresses(typed_addresses(addresses, provinces, FALLBACK_TYPE, **options))
-    joined = (
-        base.select(ESTABLISHMENT)
-        .distinct()
-        .join(_prefixed(primary, "p_"), ESTABLISHMENT, "left")
-        .join(_prefixed(secondary, "s_"), ESTABLISHMENT, "left")
+    latest = latest_addresses(
+        typed_addresses(addresses, provinces, PREFERRED_TYPE, FALLBACK_TYPE, current_only=current_only)
     )
-    unusable = is_blank("p_nombre_calle")
-    return joined.select(
-        ESTABLISHMENT,
+    record = F.struct(*ADDRESS_FIELDS)
+    sides = latest.groupBy(ESTABLISHMENT).agg(
         *[
-            F.when(unusable, F.col(f"s_{c}")).otherwise(F.col(f"p_{c}")).alias(c)
-            for c in ADDRESS_FIELDS
-        ],
+            F.max(F.when(F.col("cod_tipo_direccion") == kind, record)).alias(name)
+            for name, kind in (("primary", PREFERRED_TYPE), ("secondary", FALLBACK_TYPE))
+        ]
+    )
+    chosen = F.when(is_blank("primary.nombre_calle"), F.col("secondary")).otherwise(F.col("primary"))
+    return (
+        base.select(ESTABLISHMENT)
+        .distinct()
+        .join(sides.select(ESTABLISHMENT, chosen.alias("chosen")), ESTABLISHMENT, "left")
+        .select(ESTABLISHMENT, *[F.col(f"chosen.{c}").alias(c) for c in ADDRESS_FIELDS])
     )
-
-
-def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select(ESTABLISHMENT, *[F.col(c).alias(prefix + c) for c in ADDRESS_FIELDS])

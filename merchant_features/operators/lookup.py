@@ -25,8 +25,7 @@ def lookup(
 
     ``on`` maps a column of ``df`` to one of ``dim``; ``columns`` maps a new
     name to a column of ``dim``. No hint is given: Spark broadcasts a code
-    table when its measured size is below the session's threshold, and
-    otherwise adaptive execution splits skewed partitions of the left side.
+    table when its measured size is below the session's threshold.
     """
     if isinstance(on, str):
         on = [on]
@@ -42,6 +41,11 @@ def lookup(
     return joined.select(*kept, *[F.col(f"__dim.__v{i}").alias(name) for i, name in enumerate(added)])
 
 
+def code_names(table: DataFrame, code: str, name: str) -> DataFrame:
+    """A code table with one name per code."""
+    return table.groupBy(code).agg(F.min(name).alias(name))
+
+
 def existing(df: DataFrame, facts: DataFrame, on: Sequence[str] | str) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``facts``; facts are reduced to distinct keys first."""
     keys = [on] if isinstance(on, str) else list(on)
@@ -71,29 +75,33 @@ def with_index(
     return df.join(F.broadcast(side), period_key(day) == F.col("__period"), how).drop("__period")
 
 
+def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Keys with over ``hot_rows`` rows and the number of tasks to spread each over, written once."""
+    splits = F.ceil(F.count(F.lit(1)) / hot_rows).cast("int")
+    return materialize(df.groupBy(*on).agg(splits.alias("__n")).where("__n > 1"))
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
     how: str = "left",
     hot_rows: int = HOT_KEY_ROWS,
+    hot: DataFrame | None = None,
     salt_on: Sequence[str] | None = None,
 ) -> DataFrame:
     """Equi join whose hot left keys are spread over several tasks.
 
-    Keys with over ``hot_rows`` left rows are counted exactly, their left rows
-    get one of ``n`` salts and their right rows are repeated ``n`` times; all
-    other keys keep salt 0. The hot-key list has at most rows / ``hot_rows``
-    entries and its size is checked before it is broadcast. The salt is a hash
-    of ``salt_on`` (all left columns by default), never a random number, so a
-    recomputed task sends every row to the place it went before.
+    Keys with over ``hot_rows`` left rows are counted exactly (or given as
+    ``hot``), their left rows get one of ``n`` salts and their right rows are
+    repeated ``n`` times; all other keys keep salt 0. The hot-key list has at
+    most rows / ``hot_rows`` entries and its size is checked before it is
+    broadcast. The salt is a hash of ``salt_on`` (all left columns by default),
+    never a random number, so a recomputed task sends every row to the place it
+    went before.
     """
     keys = list(on)
-    hot = materialize(
-        left.groupBy(*keys)
-        .agg(F.ceil(F.count(F.lit(1)) / hot_rows).cast("int").alias("__n"))
-        .where("__n > 1")
-    )
+    hot = hot_keys(left, keys, hot_rows) if hot is None else hot
     n_hot = hot.count()
     if n_hot == 0:
         return left.join(right, keys, how)

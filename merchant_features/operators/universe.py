@@ -17,7 +17,7 @@ from merchant_features.functions import predicates as P
 from merchant_features.functions.geo import sanitize_geo
 from merchant_features.operators.activity import ESTABLISHMENT, TERMINAL
 from merchant_features.operators.history import top1_per_key
-from merchant_features.operators.lookup import existing, lookup
+from merchant_features.operators.lookup import code_names, existing, lookup
 from merchant_features.sources.storage import materialize
 
 OWNER = "cuit_establecimiento_host"
@@ -51,8 +51,8 @@ def establishment_fields(history: DataFrame, states: DataFrame, categories: Data
         ),
     )
     named = lookup(
-        lookup(latest, categories, "cod_rubro", ["desc_rubro"]),
-        states,
+        lookup(latest, code_names(categories, "cod_rubro", "desc_rubro"), "cod_rubro", ["desc_rubro"]),
+        code_names(states, "cd_estado_establecimiento", "ds_estado_establecimiento"),
         {"cod_estado_establecimiento": "cd_estado_establecimiento"},
         {"desc_estado_establecimiento": "ds_estado_establecimiento"},
     )
@@ -98,17 +98,19 @@ def active_universe(fields: DataFrame, terminals: DataFrame, activity: DataFrame
     )
 
 
-def owned_terminals(fields: DataFrame, terminals: DataFrame, activity: DataFrame) -> DataFrame:
-    """Owner, establishment and terminal, with a flag for establishments that have activity."""
+def with_active_flag(fields: DataFrame, activity: DataFrame) -> DataFrame:
+    """Establishments with a flag that tells whether they have activity."""
     active = activity.select(ESTABLISHMENT).distinct().withColumn("active", F.lit(True))
-    return (
-        fields.select(ESTABLISHMENT, OWNER)
-        .join(active, ESTABLISHMENT, "left")
-        .join(terminals, ESTABLISHMENT)
-        .select(ESTABLISHMENT, OWNER, TERMINAL, F.coalesce("active", F.lit(False)).alias("active"))
+    return fields.join(active, ESTABLISHMENT, "left").withColumn(
+        "active", F.coalesce("active", F.lit(False))
     )
 
 
+def owned_terminals(flagged: DataFrame, terminals: DataFrame) -> DataFrame:
+    """Owner, establishment, terminal and the active flag."""
+    return terminals.join(flagged.select(ESTABLISHMENT, OWNER, "active"), ESTABLISHMENT)
+
+
 def reference_universe(universe: DataFrame, active: DataFrame) -> DataFrame:
     """Universe rows under every active establishment of the same owner and terminal, and under their own."""
     reference = universe.select(
@@ -159,7 +161,7 @@ def paired_sums(members: DataFrame, weights: DataFrame, names: Sequence[str]) ->
     establishments yields a few class pairs instead of all establishment pairs.
     """
     key, names = [OWNER, ESTABLISHMENT], list(names)
-    shared_terminals = (
+    shared_terminals = materialize(
         members.groupBy(OWNER, TERMINAL)
         .agg(F.count(F.lit(1)).alias("__n"))
         .where("__n > 1")
@@ -175,7 +177,9 @@ def paired_sums(members: DataFrame, weights: DataFrame, names: Sequence[str]) ->
         )
     )
     class_id = ["__size", "__mix", "__total"]
-    class_terminals = shared.join(classes, key).select(OWNER, TERMINAL, *class_id).distinct()
+    class_terminals = materialize(
+        shared.join(classes, key).select(OWNER, TERMINAL, *class_id).distinct()
+    )
     partner_id = [f"{c}2" for c in class_id]
     partners = (
         class_terminals.join(

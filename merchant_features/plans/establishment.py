@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from merchant_features.functions.periods import MONTHS, WEEKS, with_period
 from merchant_features.operators.activity import ESTABLISHMENT, establishment_activity
-from merchant_features.operators.address import ADDRESS_FIELDS, unified_addresses
+from merchant_features.operators.address import unified_addresses
 from merchant_features.operators.contracts import cast_to_schema
 from merchant_features.operators.lookup import lookup
 from merchant_features.operators.universe import OWNER, latest_establishments, with_location
+from merchant_features.sources.storage import materialize
 from merchant_features.sources.tables import ESTABLISHMENT_SOURCES, narrow
 
 HISTORY_ATTRIBUTES = (
@@ -98,24 +99,34 @@ def establishment_base(history: DataFrame) -> DataFrame:
     return latest_establishments(history, [OWNER])
 
 
+def _versions(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Distinct attributes of the history versions with their code names."""
+    versions = tables["establishment_history"].select(ESTABLISHMENT, *HISTORY_ATTRIBUTES).distinct()
+    for table, key, table_key, name, source in CODE_TABLES:
+        names = tables[table].select(table_key, source).distinct()
+        versions = lookup(versions, names, {key: table_key}, {name: source})
+    return versions
+
+
+def _places(tables: Mapping[str, DataFrame], current_addresses_only: bool) -> DataFrame:
+    """Distinct owner, address and location of every establishment."""
+    base = materialize(establishment_base(tables["establishment_history"]))
+    addresses = unified_addresses(
+        base, tables["address_history"], tables["provinces"], current_addresses_only
+    )
+    return with_location(base, addresses, tables["geo_location"]).distinct()
+
+
 def establishment_universe(
     tables: Mapping[str, DataFrame], current_addresses_only: bool = False
 ) -> DataFrame:
     """Every distinct history version with code names, addresses and location.
 
-    Versions are reduced to distinct attributes before anything is joined, and
-    code names and the latest owner come from tables with one row per key.
+    Versions and places are each reduced to distinct rows before they meet, so
+    their combinations need no further DISTINCT.
     """
-    history = tables["establishment_history"]
-    base = establishment_base(history)
-    versions = history.select(ESTABLISHMENT, *HISTORY_ATTRIBUTES).distinct()
-    for table, key, table_key, name, source in CODE_TABLES:
-        versions = lookup(versions, tables[table], {key: table_key}, {name: source})
-    addresses = unified_addresses(
-        base, tables["address_history"], tables["provinces"], current_only=current_addresses_only
-    )
-    owned = versions.join(base, ESTABLISHMENT)
-    return with_location(owned, addresses, tables["geo_location"]).distinct()
+    places = materialize(_places(tables, current_addresses_only))
+    return _versions(tables).join(places, ESTABLISHMENT)
 
 
 def establishment_features(
@@ -127,26 +138,32 @@ def establishment_features(
     """Establishment attributes with 12 monthly and 4 weekly counts and volumes.
 
     ``weighting="rows"`` multiplies the activity by the establishment's number
-    of universe rows, as a join before the sum would.
+    of universe rows (versions times places), as a join before the sum would.
+    The activity joins the places, and the versions join last: that one join
+    has a written table on one side and a shuffle on the other, the form in
+    which adaptive execution splits an establishment with very many versions.
     """
     if weighting not in ("none", "rows"):
         raise ValueError(f"unknown weighting {weighting!r}")
     tables = narrow(tables, ESTABLISHMENT_SOURCES, date_ref)
-    universe = establishment_universe(tables, current_addresses_only)
+    versions = _versions(tables)
+    places = _places(tables, current_addresses_only)
     activity = establishment_activity(tables["movements"], date_ref)
     if weighting == "rows":
-        weights = universe.groupBy(ESTABLISHMENT).agg(F.count(F.lit(1)).alias("__n"))
-        activity = activity.join(weights, ESTABLISHMENT).select(
-            ESTABLISHMENT, *[(F.col(m) * F.col("__n")).alias(m) for m in MEASURE_TYPES]
+        places = materialize(places)
+        n_places = places.groupBy(ESTABLISHMENT).agg(F.count(F.lit(1)).alias("__places"))
+        n_versions = versions.groupBy(ESTABLISHMENT).agg(F.count(F.lit(1)).alias("__versions"))
+        factor = F.col("__places") * F.col("__versions")
+        activity = (
+            activity.join(n_places, ESTABLISHMENT)
+            .join(n_versions, ESTABLISHMENT)
+            .select(ESTABLISHMENT, *[(F.col(m) * factor).alias(m) for m in MEASURE_TYPES])
         )
-    joined = universe.join(activity, ESTABLISHMENT, "left")
+    located = materialize(places.join(activity, ESTABLISHMENT, "left"))
     typed = cast_to_schema(
-        joined,
+        versions.join(located, ESTABLISHMENT),
         ATTRIBUTE_TYPES | MEASURE_TYPES,
         rename=RENAMED,
         defaults=dict.fromkeys(MEASURE_TYPES, 0),
     )
     return with_period(typed, date_ref)
-
-
-__all__ = ["ADDRESS_FIELDS", "establishment_base", "establishment_features", "establishment_universe"]

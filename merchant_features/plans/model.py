@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from merchant_features.functions.periods import MONTHS
 from merchant_features.operators.cohorts import CATEGORY, with_cohort_stats
+from merchant_features.operators.lookup import hot_keys, salted_join
 from merchant_features.operators.neighbours import neighbour_stats
 from merchant_features.operators.universe import OWNER, OWNER_REF
 
@@ -51,6 +52,7 @@ def model_table(
     enriched = with_cohort_stats(needed, MONTH_MEASURES, DAY_MEASURES)
     label = target.select(F.col(OWNER).alias(OWNER_REF), "clase", "monto_terminal")
     geo = geo_features(establishments, km).withColumnRenamed(OWNER, OWNER_REF)
-    return (
-        enriched.join(label, OWNER_REF, "left").join(geo, OWNER_REF, "left").select(*model_columns())
-    )
+    owners = label.join(geo, OWNER_REF, "full")
+    # An owner may hold a third of all rows; the counts come from the narrow input.
+    hot = hot_keys(principal, [OWNER_REF])
+    return salted_join(enriched, owners, [OWNER_REF], hot=hot).select(*model_columns())

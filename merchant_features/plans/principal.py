@@ -84,18 +84,20 @@ def build_universe(
 ) -> Universe:
     """The relations that several features start from, each written once."""
     history = tables["establishment_history"]
+    days = establishment_days(summary)
     fields = materialize(
-        U.establishment_fields(history, tables["establishment_states"], tables["categories"])
+        U.with_active_flag(
+            U.establishment_fields(history, tables["establishment_states"], tables["categories"]), days
+        )
     )
     addresses = latest_unified_addresses(fields, tables["address_history"], tables["provinces"])
     known = history if weighting == "rows" else fields
-    activity = of_known_establishments(establishment_days(summary), known, weighting)
     terminals = U.terminal_universe(tables["terminal_history"])
     return Universe(
         fields=fields,
         located=U.located_establishments(fields, addresses, tables["geo_location"]),
-        members=materialize(U.owned_terminals(fields, terminals, activity)),
-        activity=activity,
+        members=materialize(U.owned_terminals(fields, terminals)),
+        activity=of_known_establishments(days, known, weighting),
     )
 
 
@@ -165,7 +167,9 @@ def reference_levels(universe: Universe, installs: Installs, weighting: str = "n
             "left",
         )
     )
-    weights = owned.select(ESTABLISHMENT, *levels, F.lit(1).cast("bigint").alias("pairs"))
+    weights = materialize(
+        owned.select(ESTABLISHMENT, *levels, F.lit(1).cast("bigint").alias("pairs"))
+    )
     sums = U.paired_sums(universe.members, weights, [*levels, "pairs"])
     if weighting not in ("none", "rows"):
         raise ValueError(f"unknown weighting {weighting!r}")
@@ -177,7 +181,7 @@ def reference_levels(universe: Universe, installs: Installs, weighting: str = "n
 
 def reference_days(universe: Universe, installs: Installs) -> DataFrame:
     """Mean days to activation of the owner's terminals, per reference establishment."""
-    days = A.owner_days(installs.installs, installs.outcomes)
+    days = materialize(A.owner_days(installs.installs, installs.outcomes))
     members = universe.members.select(ESTABLISHMENT, U.OWNER).distinct()
     return members.join(days.withColumnRenamed("cuit", U.OWNER), U.OWNER).select(
         F.col(ESTABLISHMENT).alias(U.REF), "avg_dias_1tx", "avg_dias_85000"
@@ -197,27 +201,17 @@ def principal_features(
         tables, a.lastday, terminal_days(summary, a.lastday), **installed_options
     )
     installs = build_installs(installed, summary, index, a)
-    rows = universe.located.join(
-        universe.members.select(ESTABLISHMENT).distinct(), ESTABLISHMENT, "left_semi"
-    ).withColumnsRenamed({ESTABLISHMENT: U.REF, U.OWNER: U.OWNER_REF})
-    joined = (
-        rows.join(per_terminal_activity(universe, index, date_ref, weighting), U.REF, "left")
+    # Every side below has one row per establishment; they meet before the located rows.
+    ids = universe.members.select(F.col(ESTABLISHMENT).alias(U.REF)).distinct()
+    stats = (
+        ids.join(per_terminal_activity(universe, index, date_ref, weighting), U.REF, "left")
         .join(reference_levels(universe, installs, weighting), U.REF, "left")
         .join(reference_days(universe, installs), U.REF, "left")
     )
+    joined = universe.located.withColumnsRenamed({ESTABLISHMENT: U.REF, U.OWNER: U.OWNER_REF}).join(
+        stats, U.REF
+    )
     typed = cast_to_schema(
         joined, ATTRIBUTE_TYPES | MEASURE_TYPES, defaults=dict.fromkeys(MEASURE_TYPES, 0)
     )
     return with_period(typed.distinct(), date_ref)
-
-
-__all__ = [
-    "Installs",
-    "Universe",
-    "build_installs",
-    "build_universe",
-    "per_terminal_activity",
-    "principal_features",
-    "reference_days",
-    "reference_levels",
-]

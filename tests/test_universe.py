@@ -85,14 +85,14 @@ def test_active_universe_is_an_existence_test(world):
 
 def test_row_weights_equal_the_rows_of_the_reference_universe(world, reference):
     fields, located, terminals, activity = world
-    members = U.owned_terminals(fields, terminals, activity)
+    members = U.owned_terminals(U.with_active_flag(fields, activity), terminals)
     counted = reference.groupBy("nro_establecimiento").agg(F.count(F.lit(1)).alias("n_rows"))
     assert values(U.row_weights(members, located), "nro_establecimiento", "n_rows") == values(counted)
 
 
 def test_paired_sums_equal_sums_over_the_listed_pairs(world, reference):
     fields, _, terminals, activity = world
-    members = U.owned_terminals(fields, terminals, activity)
+    members = U.owned_terminals(U.with_active_flag(fields, activity), terminals)
     weights = fields.select(
         "nro_establecimiento", F.col("nro_establecimiento").alias("w"), F.lit(1).cast("long").alias("pairs")
     ).where("nro_establecimiento % 5 <> 0")
