@@ -22,14 +22,21 @@ def cast_to_schema(
     """Select exactly ``types`` in order: cast, then default.
 
     ``rename`` maps an output name to the input column it comes from,
-    ``defaults`` an output name to the value that replaces NULL.
+    ``defaults`` an output name to the value that replaces NULL. Text that is
+    not a number becomes NULL; a number too large for its type is an error.
     """
     rename, defaults = rename or {}, defaults or {}
     out = []
     for name, dtype in types.items():
-        value = F.col(rename.get(name, name))
-        # A decimal goes to float by way of double, the rounding every engine shares.
-        value = value.cast("double").cast(dtype) if dtype == "float" else value.cast(dtype)
+        source = rename.get(name, name)
+        value = F.col(source)
+        if isinstance(df.schema[source].dataType, T.StringType):
+            value = value.try_cast(dtype)
+        elif dtype == "float":
+            # A decimal goes to float by way of double, the rounding every engine shares.
+            value = value.cast("double").cast(dtype)
+        else:
+            value = value.cast(dtype)
         if name in defaults:
             value = F.coalesce(value, F.lit(defaults[name]).cast(dtype))
         out.append(value.alias(name))

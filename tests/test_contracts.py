@@ -42,6 +42,11 @@ def test_cast_to_schema(frame):
     assert values(got) == [(12, 12.75, "x", 0)]
 
 
+def test_text_that_is_no_number_becomes_null(frame):
+    got = K.cast_to_schema(frame("a string, b string", ("7", "x7")), {"a": "int", "b": "int"}, defaults={"b": 0})
+    assert values(got) == [(7, 0)]
+
+
 def test_typed_nulls_and_fill(frame):
     got = K.add_nulls(frame("a int", (None,)), {"s": "string", "d": "date"})
     assert got.dtypes == [("a", "int"), ("s", "string"), ("d", "date")]
