@@ -55,7 +55,9 @@ def tidy(relation: str, columns, places: int = 4, where: str = "") -> str:
     """Select columns with the types every query returns."""
     out = []
     for c in columns:
-        if c in NULLABLE_INTEGERS:
+        if c in DATE_COLUMNS:
+            out.append(f"CAST({c} AS VARCHAR) AS {c}")
+        elif c in NULLABLE_INTEGERS:
             out.append(f"CAST({c} AS DOUBLE) AS {c}")
         elif c in INTEGER_COLUMNS or c.startswith("cant_m") or c.startswith("cant_w") or c.startswith("cant_usd_"):
             out.append(f"CAST({c} AS BIGINT) AS {c}")
@@ -209,7 +211,34 @@ def model() -> str:
     )
 
 
+DATE_COLUMNS = {
+    "fe_proceso", "fecha_alta", "fecha_contrato", "fecha_fin", "fecha_host_entrada_autoriz",
+    "fecha_inicio", "fecha_inicio_facturacion", "fecha_instalacion", "fecha_movimiento", "o_orderdate",
+    "ultima_fecha_actividad", "ultima_parametrizacion",
+}
+DATES_OF = {
+    "source_window_scan": ("o_orderdate",),
+    "validity_filters": ("fecha_inicio", "fecha_fin"),
+    "open_terminals": ("fecha_inicio", "fecha_fin"),
+    "approved_transactions": ("fecha_host_entrada_autoriz",),
+    "deflated_movements": ("fecha_movimiento",),
+    "authorisation_summary": ("fecha_host_entrada_autoriz",),
+    "days_to_activation": ("fecha_instalacion",),
+}
+
+
+def dates_as_text(name: str, sql: str) -> str:
+    if name not in DATES_OF:
+        return sql
+    columns = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in DATES_OF[name])
+    return f"SELECT * REPLACE ({columns}) FROM ({sql}) AS dated"
+
+
 def oracle_sql() -> dict[str, str]:
+    return {name: dates_as_text(name, sql) for name, sql in statements().items()}
+
+
+def statements() -> dict[str, str]:
     months = query(f"""
         SELECT nro_establecimiento, {movement_sums(SPANS[:12])} FROM movement_days
         WHERE fecha_movimiento BETWEEN DATE '1999-07-01' AND DATE '2000-06-30' GROUP BY nro_establecimiento""")

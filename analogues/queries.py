@@ -60,9 +60,11 @@ NULLABLE_INTEGERS = {
 
 
 def tidy(df: DataFrame, places: int = 4) -> DataFrame:
-    """Integers as bigint, decimals and floats as double, doubles rounded to ``places``.
+    """The result in types that every reader takes the same way, for comparing rows.
 
-    A nudge far below the last place makes ties fall the same way everywhere.
+    Integers are bigint, dates ISO text, decimals and floats double. Floats are
+    rounded to ``places``; a nudge far below the last place makes ties fall the
+    same way everywhere.
     """
     out = []
     for field in df.schema.fields:
@@ -73,6 +75,8 @@ def tidy(df: DataFrame, places: int = 4) -> DataFrame:
             value = value.cast("bigint")
         elif isinstance(field.dataType, T.DecimalType):
             value = value.cast("double")
+        elif isinstance(field.dataType, T.DateType):
+            value = value.cast("string")
         elif isinstance(field.dataType, (T.FloatType, T.DoubleType)):
             value = F.round(value.cast("double") + 1e-7, places)
         out.append(value.alias(field.name))
@@ -113,7 +117,7 @@ def source_window_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         lambda a: P.in_range("o_orderdate", a.firstday, a.lastday) & P.min_amount("o_totalprice", 300),
     )
     df = load_table(spark, f"{sf_dir}/orders.parquet", spec, DATE_REF, path_glob="*.parquet")
-    return df.withColumn("o_orderdate", F.to_date("o_orderdate"))
+    return tidy(df.withColumn("o_orderdate", F.to_date("o_orderdate")))
 
 
 _QUERIES["source_window_scan"] = source_window_scan

@@ -31,14 +31,16 @@ def lookup(
         on = [on]
     keys = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
     added = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
+    replaced = [c for c in added if c in df.columns]
+    if set(replaced) & set(keys):
+        raise ValueError(f"a lookup cannot replace its own key: {sorted(set(replaced) & set(keys))}")
+    marks = {left: f"__key_{right}" for left, right in keys.items()}
     side = dim.select(
-        *[F.col(right).alias(f"__k{i}") for i, right in enumerate(keys.values())],
-        *[F.col(source).alias(f"__v{i}") for i, source in enumerate(added.values())],
+        *[F.col(right).alias(marks[left]) for left, right in keys.items()],
+        *[F.col(source).alias(name) for name, source in added.items()],
     )
-    cond = [F.col(f"__df.{left}") == F.col(f"__dim.__k{i}") for i, left in enumerate(keys)]
-    joined = df.alias("__df").join(side.alias("__dim"), cond, how)
-    kept = [F.col(f"__df.{c}") for c in df.columns if c not in added]
-    return joined.select(*kept, *[F.col(f"__dim.__v{i}").alias(name) for i, name in enumerate(added)])
+    cond = [F.col(left) == F.col(mark) for left, mark in marks.items()]
+    return df.drop(*replaced).join(side, cond, how).drop(*marks.values())
 
 
 def code_names(table: DataFrame, code: str, name: str) -> DataFrame:
