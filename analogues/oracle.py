@@ -13,6 +13,7 @@ from analogues.oracle_relations import (
     MONTHS,
     REF_ATTRIBUTES,
     SPANS,
+    TECH,
     TXS,
     TXS_MEASURES,
     WINDOW,
@@ -163,20 +164,19 @@ def cohort_features() -> str:
 
 
 def summary() -> str:
-    tech = "left(right(datos_adicionales_2, 5), 1)"
     status = f"(monto_autoriz_moneda_orig >= 300 AND substr(nro_terminal, 1, 2) IN {INSTALLED})"
     counts = ", ".join(
-        f"CAST(COUNT(CASE WHEN {status} AND {tech} = '{c}' THEN 1 END) AS DOUBLE) AS {n}"
-        for c, n in (("W", "q_tx_wifi"), ("G", "q_tx_gsm"), ("E", "q_tx_ethernet"), ("D", "q_tx_dialup"))
+        f"CAST(COUNT(*) FILTER ({status} AND {TECH} = '{letter}') AS DOUBLE) AS q_tx_{name}"
+        for letter, name in (("W", "wifi"), ("G", "gsm"), ("E", "ethernet"), ("D", "dialup"))
     )
     return query(f"""
         SELECT nro_terminal, nro_establecimiento_orig, fecha_host_entrada_autoriz,
-               CAST(SUM(CASE WHEN {ACQUIRING} THEN monto_autoriz_moneda_orig END) AS DOUBLE) AS volumen,
-               COUNT(CASE WHEN {ACQUIRING} THEN 1 END) AS cantidad,
-               CAST(SUM(CASE WHEN {ACTIVITY} THEN monto_autoriz_moneda_orig END) AS DOUBLE) AS volumen_transacciones,
-               COUNT(CASE WHEN {ACTIVITY} THEN 1 END) AS cantidad_transacciones,
-               CAST(MIN(CASE WHEN {status} THEN CASE {tech} WHEN 'W' THEN 1 WHEN 'G' THEN 2 WHEN 'E' THEN 3
-                   WHEN 'D' THEN 4 ELSE 9 END END) AS DOUBLE) AS rango_tecnologia, {counts}
+               CAST(SUM(monto_autoriz_moneda_orig) FILTER ({ACQUIRING}) AS DOUBLE) AS volumen,
+               COUNT(*) FILTER ({ACQUIRING}) AS cantidad,
+               CAST(SUM(monto_autoriz_moneda_orig) FILTER ({ACTIVITY}) AS DOUBLE) AS volumen_transacciones,
+               COUNT(*) FILTER ({ACTIVITY}) AS cantidad_transacciones,
+               CAST(MIN(COALESCE(NULLIF(strpos('WGED', {TECH}), 0), 9)) FILTER ({status}) AS DOUBLE)
+                   AS rango_tecnologia, {counts}
         FROM authorisations
         WHERE {APPROVED} AND (({ACQUIRING}) OR ({ACTIVITY}) OR {status}) AND fecha_host_entrada_autoriz {WINDOW}
         GROUP BY nro_terminal, nro_establecimiento_orig, fecha_host_entrada_autoriz""")
@@ -366,9 +366,9 @@ def statements() -> dict[str, str]:
             SELECT nro_terminal, fecha_instalacion, CAST(SUM(suma_monto) AS DOUBLE) AS monto_30,
                    round(MIN(indice) + 1e-7, 4) AS indice,
                    CAST(date_diff('day', fecha_instalacion,
-                       MIN(CASE WHEN vol_cum >= 0 THEN fecha_host_entrada_autoriz END)) AS DOUBLE) AS dias_1tx,
+                       MIN(fecha_host_entrada_autoriz) FILTER (vol_cum >= 0)) AS DOUBLE) AS dias_1tx,
                    CAST(date_diff('day', fecha_instalacion,
-                       MIN(CASE WHEN vol_cum >= 85000 * indice THEN fecha_host_entrada_autoriz END)) AS DOUBLE)
+                       MIN(fecha_host_entrada_autoriz) FILTER (vol_cum >= 85000 * indice)) AS DOUBLE)
                        AS dias_85000
             FROM first_month JOIN inflation_index
                  ON periodo = year(fecha_instalacion) * 100 + month(fecha_instalacion)
@@ -381,9 +381,9 @@ def statements() -> dict[str, str]:
                    round(COALESCE(AVG(dias_85000), 180) + 1e-7, 4) AS avg_dias_85000
             FROM (SELECT cuit, I.nro_terminal,
                          date_diff('day', MIN(I.fecha_instalacion),
-                             MIN(CASE WHEN vol_cum >= 0 THEN fecha_host_entrada_autoriz END)) AS dias_1tx,
+                             MIN(fecha_host_entrada_autoriz) FILTER (vol_cum >= 0)) AS dias_1tx,
                          date_diff('day', MIN(I.fecha_instalacion),
-                             MIN(CASE WHEN vol_cum >= 85000 * indice THEN fecha_host_entrada_autoriz END)) AS dias_85000
+                             MIN(fecha_host_entrada_autoriz) FILTER (vol_cum >= 85000 * indice)) AS dias_85000
                   FROM (SELECT DISTINCT cuit, nro_terminal, fecha_instalacion FROM installs) AS I
                   JOIN first_month AS S ON S.nro_terminal = I.nro_terminal
                        AND S.fecha_instalacion = I.fecha_instalacion

@@ -170,7 +170,7 @@ def paired_sums(members: DataFrame, weights: DataFrame, names: Sequence[str]) ->
     shared = members.join(shared_terminals, [OWNER, TERMINAL], "left_semi")
     classes = materialize(
         shared.groupBy(*key).agg(
-            F.first("active").alias("active"),
+            F.bool_or("active").alias("active"),
             F.count(F.lit(1)).alias("__size"),
             F.bit_xor(F.xxhash64(TERMINAL)).alias("__mix"),
             F.sum(F.hash(TERMINAL).cast("bigint")).alias("__total"),

@@ -14,7 +14,15 @@ SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
+def configure(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
+    """Apply the settings.
+
+    ``shuffle_partitions`` is the upper bound adaptive execution merges from:
+    on a large cluster a few times the number of cores, and enough for
+    partitions of about 200 MB.
+    """
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
+    if shuffle_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return spark
