@@ -29,19 +29,26 @@ WINDOW = 8
 MIN_WORDS = 20
 REPEAT_PERCENT = 30
 
-#: What rules may test: ratios that do not depend on the length of the text, and the length.
+#: What rules may test: a count, or a count over another, which does not grow with the length of the text.
 FEATURES = {
-    "n_words": F.col("n_words").cast("double"),
-    "word_length": F.try_divide(F.col("word_chars"), F.col("n_words")),
-    "symbols_per_word": F.try_divide(F.col("n_symbols"), F.col("n_words")),
-    "marks_per_word": F.try_divide(F.col("n_marks"), F.col("n_words")),
-    "upper_share": F.try_divide(F.col("n_upper"), F.col("word_chars")),
-    "dup_line_share": F.try_divide(F.col("n_dup_lines"), F.col("n_lines")),
-    "repeat_share": F.try_divide(F.col("n_repeat_words"), F.col("n_words")),
-    "distinct_share": F.try_divide(F.col("n_distinct_words"), F.col("n_words")),
+    "n_words": ("n_words", None),
+    "word_length": ("word_chars", "n_words"),
+    "symbols_per_word": ("n_symbols", "n_words"),
+    "marks_per_word": ("n_marks", "n_words"),
+    "upper_share": ("n_upper", "word_chars"),
+    "dup_line_share": ("n_dup_lines", "n_lines"),
+    "repeat_share": ("n_repeat_words", "n_words"),
+    "distinct_share": ("n_distinct_words", "n_words"),
 }
 
 
+def feature(name: str) -> Column:
+    """A statistic as a rule sees it; an undefined ratio is 0."""
+    over, under = FEATURES[name]
+    value = F.col(over).cast("double")
+    return value if under is None else F.coalesce(F.try_divide(value, F.col(under)), F.lit(0.0))
+
+
 def _repeat_words(words: Column) -> Column:
     """Words in 8-word windows that occur twice or more in the array."""
 
@@ -119,7 +126,7 @@ class Condition:
     threshold: float
 
     def column(self) -> Column:
-        value = F.coalesce(FEATURES[self.feature], F.lit(0.0))
+        value = feature(self.feature)
         return value > self.threshold if self.above else value <= self.threshold
 
     def __str__(self) -> str:
@@ -150,11 +157,11 @@ def learn_rules(
     rows = materialize(statistics.join(classes, "id").withColumn("grow", fold != 0))
     names = list(FEATURES)
     cuts = [(i + 1) / bins for i in range(bins - 1)]
-    found = rows.agg(*[F.percentile_approx(F.coalesce(FEATURES[n], F.lit(0.0)), cuts, 10_000).alias(n) for n in names])
+    found = rows.agg(*[F.percentile_approx(feature(n), cuts, 10_000).alias(n) for n in names])
     thresholds = {n: sorted(set(v or [])) for n, v in found.first().asDict().items()}
 
     def binned(name: str) -> Column:
-        value = F.coalesce(FEATURES[name], F.lit(0.0))
+        value = feature(name)
         below = F.filter(F.array(*[F.lit(float(t)) for t in thresholds[name]]).cast("array<double>"), lambda t: t < value)
         return F.size(below)
 
