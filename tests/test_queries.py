@@ -24,7 +24,7 @@ SELECTION = (
     "establishment_label_rows", "principal_features_rows", "cohort_features", "radius_neighbours",
     "neighbour_stats", "read_period",
 )
-NAMES = list(entry.queries()) if os.environ.get("ALL_QUERIES") else SELECTION
+NAMES = list(own_queries()) if os.environ.get("ALL_QUERIES") else SELECTION
 
 
 @pytest.fixture(scope="module")
