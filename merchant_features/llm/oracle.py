@@ -3,10 +3,10 @@
 LINE_DEDUP = """
 WITH line AS (
     SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS body,
-           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
     FROM documents
 ), keyed AS (
-    SELECT doc_id, at, body,
+    SELECT doc_id, pos, body,
            translate(trim(body, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
     FROM line
@@ -14,12 +14,44 @@ WITH line AS (
     SELECT key, min(doc_id) AS holder FROM keyed WHERE length(key) >= 10
     GROUP BY key HAVING count(DISTINCT doc_id) > 1
 ), marked AS (
-    SELECT k.doc_id, k.at, k.body, coalesce(k.doc_id <> h.holder, false) AS dropped
+    SELECT k.doc_id, k.pos, k.body, coalesce(k.doc_id <> h.holder, false) AS dropped
     FROM keyed k LEFT JOIN held h ON k.key = h.key
 )
 SELECT doc_id, count(*)::BIGINT AS n_lines, count_if(dropped)::BIGINT AS n_dropped,
-       sha256(coalesce(string_agg(body, chr(10) ORDER BY at) FILTER (NOT dropped), '')) AS kept_sha256
+       sha256(coalesce(string_agg(body, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
 
-STATEMENTS = {"op4_line_dedup": LINE_DEDUP}
+#: The contracts' two kinds of words, after A-Z are lower-cased.
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SOLID = "regexp_extract_all(" + _LOWER + ", '[^\\x20\\x09-\\x0D]+')"
+_ALNUM = "regexp_extract_all(" + _LOWER + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+DECONTAMINATION = f"""
+WITH item AS (
+    SELECT item_id, {_ALNUM.format("text")} AS words FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL
+), pattern AS (
+    SELECT DISTINCT item_id, least(10, len(words)) AS width,
+           array_to_string(words[start:start + least(10, len(words)) - 1], ' ') AS body
+    FROM item, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS s(start)
+    WHERE len(words) > 0
+), doc AS (
+    SELECT doc_id, {_ALNUM.format("coalesce(text, '')")} AS words FROM documents
+), places AS (
+    SELECT doc_id, width, start, array_to_string(words[start:start + width - 1], ' ') AS body
+    FROM doc, (SELECT DISTINCT width FROM pattern) w, unnest(range(1, len(words) - width + 2)) AS s(start)
+), found AS (
+    SELECT DISTINCT p.doc_id, p.start, p.width, t.item_id FROM places p JOIN pattern t USING (width, body)
+), covered AS (
+    SELECT doc_id, count(DISTINCT start + k) AS n_hit FROM found, unnest(range(0, width)) AS r(k) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n.n_items, 0)::BIGINT AS n_items, sha256(coalesce(n.ids, '')) AS items_sha256,
+       coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM doc d LEFT JOIN covered c USING (doc_id) LEFT JOIN named n USING (doc_id)
+"""
+
+STATEMENTS = {"op4_line_dedup": LINE_DEDUP, "op5_decontamination": DECONTAMINATION}
