@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchant_features.llm import decontamination, line_dedup, quality_rules
+from merchant_features.llm import decontamination, line_dedup, mixing, quality_rules
 from merchant_features.llm.frames import table
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("source")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = line_dedup.keep_bitmaps(table(spark, sf_dir, "documents"))
     text = F.coalesce(F.col("row")["text"], F.lit(""))
@@ -41,6 +45,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_source_mixing": op1_source_mixing,
         "op4_line_dedup": op4_line_dedup,
         "op5_decontamination": op5_decontamination,
         "op6_quality_rules": op6_quality_rules,
