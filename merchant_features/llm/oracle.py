@@ -54,4 +54,29 @@ SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT A
 FROM doc d LEFT JOIN covered c USING (doc_id) LEFT JOIN named n USING (doc_id)
 """
 
-STATEMENTS = {"op4_line_dedup": LINE_DEDUP, "op5_decontamination": DECONTAMINATION}
+JACCARD_JOIN = f"""
+WITH RECURSIVE doc AS (
+    SELECT doc_id, {_SOLID.format("coalesce(text, '')")} AS words FROM documents
+), gram AS (
+    SELECT DISTINCT doc_id, array_to_string(words[start:start + least(3, len(words)) - 1], ' ') AS body
+    FROM doc, unnest(range(1, greatest(len(words) - 1, 2))) AS s(start) WHERE len(words) > 0
+), total AS (
+    SELECT doc_id, count(*) AS n FROM gram GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+    FROM gram a JOIN gram b ON a.body = b.body AND a.doc_id <> b.doc_id GROUP BY ALL
+), link AS (
+    SELECT x, y FROM shared s JOIN total a ON a.doc_id = x JOIN total b ON b.doc_id = y
+    WHERE 100 * s.n >= 90 * (a.n + b.n - s.n)
+), reach AS (
+    SELECT doc_id AS x, doc_id AS y FROM doc UNION SELECT r.x, l.y FROM reach r JOIN link l ON l.x = r.y
+)
+SELECT d.doc_id, coalesce(t.n, 0)::BIGINT AS n_shingles, r.least AS component_id
+FROM doc d JOIN (SELECT x, min(y) AS least FROM reach GROUP BY x) r ON r.x = d.doc_id LEFT JOIN total t USING (doc_id)
+"""
+
+STATEMENTS = {
+    "op2_jaccard_join": JACCARD_JOIN,
+    "op4_line_dedup": LINE_DEDUP,
+    "op5_decontamination": DECONTAMINATION,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchant_features.llm import decontamination, line_dedup, mixing, quality_rules
+from merchant_features.llm import decontamination, jaccard_join, line_dedup, mixing, quality_rules
 from merchant_features.llm.frames import table
 
 
@@ -15,6 +15,14 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("source")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members = jaccard_join.similar_sets(table(spark, sf_dir, "documents"), n=3, percent=90).members
+    return members.select(
+        F.col("id").alias("doc_id"), F.col("size").cast("long").alias("n_shingles"),
+        F.col("component").alias("component_id"),
+    )
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = line_dedup.keep_bitmaps(table(spark, sf_dir, "documents"))
     text = F.coalesce(F.col("row")["text"], F.lit(""))
@@ -46,6 +54,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mixing": op1_source_mixing,
+        "op2_jaccard_join": op2_jaccard_join,
         "op4_line_dedup": op4_line_dedup,
         "op5_decontamination": op5_decontamination,
         "op6_quality_rules": op6_quality_rules,
