@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchant_features.llm import decontamination, jaccard_join, line_dedup, mixing, quality_rules
+from merchant_features.llm import decontamination, jaccard_join, license_scan, line_dedup, mixing, quality_rules
 from merchant_features.llm.frames import table
 
 
@@ -23,6 +23,20 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.col("base")["label"]
+    labels = F.concat(base, F.col("notices")["label"])
+    best = F.array_max(F.col("notices")["score"])
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(F.col("base")["word"]).alias("first_word"), F.array_max(F.col("base")["word"]).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(labels)), ",").alias("labels"),
+        F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce(best, F.lit(0.0))).alias("score"),
+    )
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = line_dedup.keep_bitmaps(table(spark, sf_dir, "documents"))
     text = F.coalesce(F.col("row")["text"], F.lit(""))
@@ -55,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mixing": op1_source_mixing,
         "op2_jaccard_join": op2_jaccard_join,
+        "op3_license_scan": op3_license_scan,
         "op4_line_dedup": op4_line_dedup,
         "op5_decontamination": op5_decontamination,
         "op6_quality_rules": op6_quality_rules,

@@ -63,7 +63,7 @@ class Slice:
     bounds: np.ndarray
 
 
-def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[Slice]:
+def slices(texts: pa.Array, most: int = SLICE_BYTES, most_rows: int = 1 << 30) -> Iterator[Slice]:
     """The documents in order; null texts have no bytes."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -76,6 +76,7 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[Slice]:
     first = 0
     while first < len(texts):
         last = max(first + 1, int(np.searchsorted(ends, ends[first] + most, side="right")) - 1)
+        last = min(last, first + most_rows)
         yield Slice(range(first, last), raw[ends[first] : ends[last]], ends[first : last + 1] - ends[first])
         first = last
 
@@ -127,3 +128,32 @@ def shingles_at(hashes: np.ndarray, heads: np.ndarray, n: int) -> np.ndarray:
 def shingles(hashes: np.ndarray, n: int) -> np.ndarray:
     """A hash of each run of ``n`` word hashes."""
     return shingles_at(hashes, np.arange(max(0, len(hashes) - n + 1)), n)
+
+
+@dataclass
+class Plain:
+    """A slice's words joined by single blanks; a zero byte stands before and after every document."""
+
+    text: np.ndarray
+    starts: np.ndarray  # of each word
+    bounds: np.ndarray  # the zero bytes, one more than documents
+
+
+def plain(w: Words) -> Plain:
+    lengths = w.ends - w.starts
+    document = w.document()
+    n_words = np.diff(w.first)
+    # every word is followed by one byte, every document without words has one byte as well
+    bytes_of = np.bincount(document, lengths + 1, len(n_words)).astype(np.int64) + (n_words == 0)
+    bounds = np.concatenate(([0], np.cumsum(bytes_of)))
+    starts = np.concatenate(([0], np.cumsum(lengths + 1)))[:-1] + 1
+    if len(starts):
+        empty_before = np.cumsum(n_words == 0)
+        starts = starts + empty_before[document]
+    text = np.full(bounds[-1] + 1, 0x20, np.uint8)
+    text[bounds] = 0
+    if len(starts):
+        heads = np.concatenate(([0], np.cumsum(lengths)))
+        within = np.arange(heads[-1]) - np.repeat(heads[:-1], lengths)
+        text[np.repeat(starts, lengths) + within] = w.lower[np.repeat(w.starts, lengths) + within]
+    return Plain(text, starts, bounds)
