@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchant_features.llm import decontamination, jaccard_join, license_scan, line_dedup, mixing, quality_rules
+from merchant_features.llm import decontamination, jaccard_join, language_id, license_scan, line_dedup, mixing, quality_rules
 from merchant_features.llm.frames import table
 
 
@@ -65,6 +65,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = language_id.train(docs.where(~held_out))
+    predicted = language_id.predict(docs, model).withColumnRenamed("id", "doc_id")
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mixing": op1_source_mixing,
@@ -73,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_line_dedup": op4_line_dedup,
         "op5_decontamination": op5_decontamination,
         "op6_quality_rules": op6_quality_rules,
+        "op9_language_id": op9_language_id,
     }
 
 
