@@ -75,8 +75,30 @@ SELECT d.doc_id, coalesce(t.n, 0)::BIGINT AS n_shingles, r.least AS component_id
 FROM doc d JOIN (SELECT x, min(y) AS least FROM reach GROUP BY x) r ON r.x = d.doc_id LEFT JOIN total t USING (doc_id)
 """
 
+WARC_ZIP = """
+WITH page AS (
+    SELECT page_id, coalesce(html, '') AS body FROM pages
+), coded AS (
+    SELECT page_id, body, sha1(body) AS hex FROM page
+), digest AS (
+    -- 160 bits in 32 groups of five, each a letter of the base32 alphabet
+    SELECT page_id, body, list_aggregate(list_transform(range(0, 32), lambda k: substr(
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + (('0x' || substr(hex || '00', 1 + (k * 5) // 4, 3))::INTEGER
+                    >> (12 - 5 - (k * 5) % 4)) % 32, 1)), 'string_agg', '') AS code
+    FROM coded
+), first AS (
+    SELECT body, min(page_id) AS page_id FROM page GROUP BY body
+)
+SELECT d.page_id, octet_length(encode(d.body))::BIGINT AS payload_bytes, d.code AS payload_digest,
+       CASE WHEN f.page_id = d.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN f.page_id <> d.page_id THEN f.page_id END AS refers_to
+FROM digest d JOIN first f USING (body)
+"""
+
 STATEMENTS = {
     "op2_jaccard_join": JACCARD_JOIN,
     "op4_line_dedup": LINE_DEDUP,
     "op5_decontamination": DECONTAMINATION,
+    "op10_warc_zip": WARC_ZIP,
 }

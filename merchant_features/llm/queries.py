@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchant_features.llm import decontamination, jaccard_join, language_id, license_scan, line_dedup, mixing, quality_rules
+from merchant_features.llm import decontamination, jaccard_join, language_id, license_scan, line_dedup, mixing, quality_rules, warc_zip
 from merchant_features.llm.frames import table
 
 
@@ -73,6 +73,15 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packages = warc_zip.write_packages(table(spark, sf_dir, "pages"), warc_zip.package_folder(spark))
+    records = warc_zip.read_records(packages)
+    return records.select(
+        F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mixing": op1_source_mixing,
@@ -82,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_decontamination": op5_decontamination,
         "op6_quality_rules": op6_quality_rules,
         "op9_language_id": op9_language_id,
+        "op10_warc_zip": op10_warc_zip,
     }
 
 
