@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchant_features.llm import decontamination, jaccard_join, language_id, license_scan, line_dedup, mixing, quality_rules, warc_zip
+from merchant_features.llm import decontamination, jaccard_join, language_id, license_scan, line_dedup, mixing, quality_rules, suffix_dedup, warc_zip
 from merchant_features.llm.frames import table
 
 
@@ -65,6 +65,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.removed_spans(table(spark, sf_dir, "documents"))
+    return cut.select(
+        F.col("id").alias("doc_id"), "n_bytes", suffix_dedup.n_removed().alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), "kept_sha256",
+    )
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
@@ -90,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_line_dedup": op4_line_dedup,
         "op5_decontamination": op5_decontamination,
         "op6_quality_rules": op6_quality_rules,
+        "op7_suffix_dedup": op7_suffix_dedup,
         "op9_language_id": op9_language_id,
         "op10_warc_zip": op10_warc_zip,
     }
