@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchant_features.llm import decontamination, jaccard_join, language_id, license_scan, line_dedup, mixing, quality_rules, suffix_dedup, warc_zip
+from merchant_features.llm import decontamination, jaccard_join, language_id, license_scan, line_dedup, mixing, quality_rules, suffix_dedup, token_counts, warc_zip
 from merchant_features.llm.frames import table
+from merchant_features.sources.storage import shared_dir
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +75,26 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents are inserted; low-quality ones are revised to their distinct lines; toxic ones are deleted.
+
+    The insertion is applied a second time, which must change nothing.
+    """
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "source", "lang")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "quality", "toxic")
+    ledger = token_counts.Ledger(spark, f"{shared_dir(spark)}/token-counts/{uuid.uuid4().hex}")
+    tokenizer = token_counts.Tokenizer("byte-bpe-50k")
+    low = labels.where("quality = 0").select("id").distinct()
+    revised = docs.join(low, "id", "left_semi").withColumn(
+        "text", F.array_join(F.array_distinct(F.split("text", "\n")), "\n")
+    )
+    ledger.apply("1-insert", tokenizer, docs)
+    ledger.apply("2-revise", tokenizer, revised)
+    ledger.apply("3-delete", tokenizer, deletes=labels.where("toxic = 1").select("id"))
+    ledger.apply("1-insert", tokenizer, docs)
+    return ledger.totals()
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
@@ -99,6 +121,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_decontamination": op5_decontamination,
         "op6_quality_rules": op6_quality_rules,
         "op7_suffix_dedup": op7_suffix_dedup,
+        "op8_token_counts": op8_token_counts,
         "op9_language_id": op9_language_id,
         "op10_warc_zip": op10_warc_zip,
     }
