@@ -43,13 +43,9 @@ from pyspark.sql import functions as F
 
 from merchant_features.llm import words as W
 from merchant_features.llm.components import components
+from merchant_features.llm.occurrences import Occurrences, count, in_bitmap, slot_bitmap
 from merchant_features.sources.storage import materialize
 
-HOT = 1 << 21
-LEAST_HOT = 16
-BITMAP_BITS = 26
-BUCKET_TOKENS = 4 << 20
-FLUSH_TOKENS = 2 << 20
 ID_BITS = 23
 
 
@@ -70,119 +66,35 @@ def digest(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
-@dataclass
-class Order:
-    """The global order of n-grams."""
-
-    bucket_bits: int
-    seen_twice: np.ndarray  # packed bits, by the first BITMAP_BITS of the n-gram
-    hot: np.ndarray  # sorted (bucket_bits + 32)-bit heads of frequent n-grams
-    frequency: np.ndarray
-
-    def ranked(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The n-grams, rarest first, and which of them may occur more than once."""
-        slot = (tokens >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-        shared = (self.seen_twice[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1
-        rank = shared.astype(np.int64)
-        if len(self.hot):
-            head = tokens >> np.uint64(32 - self.bucket_bits)
-            at = np.minimum(np.searchsorted(self.hot, head), len(self.hot) - 1)
-            rank = np.where((self.hot[at] == head) & (shared > 0), self.frequency[at] + 1, rank)
-        order = np.lexsort((tokens, rank))
-        return tokens[order], shared[order] > 0
-
-
-def global_order(docs: DataFrame, n: int) -> Order:
-    """``docs`` has id and text."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(8, int(size / 8 / BUCKET_TOKENS).bit_length())
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flushed(sets: list[np.ndarray]) -> pa.RecordBatch:
-            tokens = np.sort(np.concatenate(sets))
-            buckets = (tokens >> np.uint64(64 - bits)).astype(np.int64)
-            residues = ((tokens >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            heads = np.flatnonzero(np.concatenate(([True], np.diff(buckets) > 0)))
-            ends = np.concatenate((heads[1:], [len(tokens)]))
-            blobs = [residues[a:b].tobytes() for a, b in zip(heads, ends, strict=True)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(buckets[heads].astype(np.int32)), pa.array(blobs, pa.binary())], ["bucket", "residues"]
-            )
-
-        held, count = [], 0
-        for batch in batches:
-            for _, tokens in shingle_sets(batch.column(0), n):
-                held.append(tokens)
-                count += len(tokens)
-                if count >= FLUSH_TOKENS:
-                    yield flushed(held)
-                    held, count = [], 0
-        if count:
-            yield flushed(held)
-
-    def counted(group: pa.Table) -> pa.Table:
-        bucket = group.column("bucket")[0].as_py()
-        residues = np.sort(np.concatenate([np.frombuffer(b.as_buffer(), np.uint32) for b in group.column("residues")]))
-        heads = np.flatnonzero(np.concatenate(([True], residues[1:] != residues[:-1])))
-        counts = np.diff(np.concatenate((heads, [len(residues)])))
-        values = residues[heads]
-        bitmap = np.zeros(1 << (BITMAP_BITS - bits), bool)
-        bitmap[values[counts > 1] >> np.uint32(32 - BITMAP_BITS + bits)] = True
-        frequent = counts >= LEAST_HOT
-        return pa.table(
-            {
-                "bucket": pa.array([bucket], pa.int32()),
-                "total": pa.array([len(residues)], pa.int64()),
-                "seen_twice": pa.array([np.packbits(bitmap, bitorder="little").tobytes()], pa.binary()),
-                "hot": pa.array([values[frequent].tolist()], pa.list_(pa.int64())),
-                "frequency": pa.array([counts[frequent].tolist()], pa.list_(pa.int64())),
-            }
-        )
+def ranked(tokens: np.ndarray, occurrences: Occurrences) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams in the global order, rarest first, and which of them may occur more than once."""
+    shared = occurrences.may_repeat(tokens)
+    rank = np.where(shared, occurrences.frequencies(tokens) + 1, 0)
+    order = np.lexsort((tokens, rank))
+    return tokens[order], shared[order]
 
-    residues = docs.select("text").mapInArrow(packed, "bucket int, residues binary")
-    found = materialize(
-        residues.groupBy("bucket").applyInArrow(
-            counted, "bucket int, total bigint, seen_twice binary, hot array<bigint>, frequency array<bigint>"
-        )
-    )
-    total = found.agg(F.sum("total")).first()[0] or 0
-    least = max(LEAST_HOT, total // HOT)
-    bitmap = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
-    segment = 1 << (BITMAP_BITS - bits - 3)
-    for row in found.select("bucket", "seen_twice").toLocalIterator():
-        bitmap[row["bucket"] * segment : (row["bucket"] + 1) * segment] = np.frombuffer(row["seen_twice"], np.uint8)
-    pairs = found.select("bucket", F.explode(F.arrays_zip("hot", "frequency")).alias("h")).where(
-        F.col("h.frequency") >= least
-    )
-    rows = pairs.select(
-        (F.shiftleft(F.col("bucket").cast("long"), 32) + F.col("h.hot")).alias("head"), "h.frequency"
-    ).toArrow()
-    head = rows.column(0).to_numpy().astype(np.uint64)
-    order = np.argsort(head)
-    return Order(bits, bitmap, head[order], rows.column(1).to_numpy()[order])
 
-
-def _indexed(docs: DataFrame, order, n: int, percent: int, id_type: str) -> DataFrame:
-    """Rows of two kinds: (id, size, digest) of every document; (size, digest, token, pos) of index entries."""
+def _indexed(docs: DataFrame, occurrences, n: int, percent: int, id_type: str) -> DataFrame:
+    """Rows of two kinds: (id, tag, size, digest) of every document; (size, digest, token, pos) of index entries."""
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "size", "digest", "token", "pos"]
+        names = ["id", "tag", "size", "digest", "token", "pos"]
         entered: set[bytes] = set()  # classes this task has entered: copies add nothing
         for batch in batches:
             ids, sizes, digests, rows = batch.column(0), [], [], []
-            for _, tokens in shingle_sets(batch.column(1), n):
+            for _, tokens in shingle_sets(batch.column(2), n):
                 sizes.append(len(tokens))
                 digests.append(digest(tokens) if len(tokens) else None)
                 if not len(tokens) or digests[-1] in entered:
                     continue
                 entered.add(digests[-1])
                 prefix = len(tokens) - -(-len(tokens) * percent // 100) + 1
-                ranked, shared = order.value.ranked(tokens)
+                ordered, shared = ranked(tokens, occurrences.value)
                 at = np.flatnonzero(shared[:prefix])
                 if len(at):
-                    rows.append((len(tokens), digests[-1], ranked[at].view(np.int64), at))
+                    rows.append((len(tokens), digests[-1], ordered[at].view(np.int64), at))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()),
+                [ids, batch.column(1), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()),
                  pa.nulls(len(sizes), pa.int64()), pa.nulls(len(sizes), pa.int32())], names,
             )
             if rows:
@@ -190,6 +102,7 @@ def _indexed(docs: DataFrame, order, n: int, percent: int, id_type: str) -> Data
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.nulls(sum(counts), ids.type),
+                        pa.nulls(sum(counts), pa.int64()),
                         pa.array(np.repeat([r[0] for r in rows], counts).astype(np.int32)),
                         pa.array([r[1] for r in rows], pa.binary()).take(pa.array(np.repeat(np.arange(len(rows)), counts))),
                         pa.array(np.concatenate([r[2] for r in rows])),
@@ -198,7 +111,7 @@ def _indexed(docs: DataFrame, order, n: int, percent: int, id_type: str) -> Data
                     names,
                 )
 
-    return docs.mapInArrow(entries, f"id {id_type}, size int, digest binary, token bigint, pos int")
+    return docs.mapInArrow(entries, f"id {id_type}, tag bigint, size int, digest binary, token bigint, pos int")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -207,27 +120,20 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     The ids go to the tasks as a bitmap of fixed size, which lets a few others
     through; the join keeps what is wanted.
     """
-    slot = F.pmod(F.xxhash64("id"), F.lit(1 << ID_BITS))
-    parts = wanted.select((slot + 1).alias("slot")).groupBy(F.expr("bitmap_bucket_number(slot)").alias("k")).agg(
-        F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bits")
-    )
-    bitmap = np.zeros((1 << ID_BITS) // 8, np.uint8)
-    for row in parts.collect():
-        piece = np.frombuffer(row["bits"], np.uint8)
-        bitmap[(row["k"] - 1) * len(piece) : row["k"] * len(piece)] = piece
+    slot = F.pmod(F.xxhash64("id"), F.lit(1 << ID_BITS)).alias("slot")
+    bitmap = slot_bitmap(wanted.select(slot), ID_BITS)
     sent = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slots = batch.column(1).to_numpy()
-            stay = np.flatnonzero((sent.value[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1)
+            stay = np.flatnonzero(in_bitmap(sent.value, batch.column(1).to_numpy()))
             sets = [t for _, t in shingle_sets(batch.column(0).take(pa.array(stay)), n)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([digest(t) for t in sets], pa.binary()), pa.array([t.tobytes() for t in sets], pa.binary())],
                 ["digest", "tokens"],
             )
 
-    read = docs.select("text", slot.alias("slot"))
+    read = docs.select("text", slot)
     sets = read.mapInArrow(kept, "digest binary, tokens binary")
     return materialize(sets.join(wanted.select("digest").distinct(), "digest").dropDuplicates(["digest"]))
 
@@ -253,7 +159,7 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 @dataclass
 class Joined:
-    """``members``: (id, size, digest, component) of every row; ``links``: verified (a, b, overlap) of classes."""
+    """``members``: (id, tag, size, digest, component) of every row, tag the text's hash; ``links``: verified (a, b, overlap) of classes."""
 
     members: DataFrame
     links: DataFrame
@@ -263,10 +169,13 @@ def similar_sets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, percent: int = 90
 ) -> Joined:
     """Components of the documents under Jaccard similarity of at least ``percent`` / 100."""
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    order = docs.sparkSession.sparkContext.broadcast(global_order(texts, n))
-    both = materialize(_indexed(texts, order, n, percent, dict(texts.dtypes)["id"]))
-    rows = both.where("token IS NULL").select("id", "size", "digest")
+    text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    texts = docs.select(F.col(id_col).alias("id"), text).select("id", F.xxhash64("text").alias("tag"), "text")
+    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    occurrences = count(texts, lambda column: (t for _, t in shingle_sets(column, n)), n_bytes / 7)
+    sent = docs.sparkSession.sparkContext.broadcast(occurrences)
+    both = materialize(_indexed(texts, sent, n, percent, dict(texts.dtypes)["id"]))
+    rows = both.where("token IS NULL").select("id", "tag", "size", "digest")
     entries = both.where("token IS NOT NULL").select("token", "digest", "size", "pos").distinct()
     named = rows.where("id IS NOT NULL AND digest IS NOT NULL")
 
@@ -342,7 +251,7 @@ def similar_sets(
     names = classes.groupBy("component").agg(F.min("least").alias("name"))
     of_class = classes.join(names, "component").select("digest", F.col("name").alias("component"))
     members = rows.join(of_class, "digest", "left").select(
-        "id", "size", "digest",
+        "id", "tag", "size", "digest",
         F.when(F.col("digest").isNull() | F.col("id").isNull(), F.col("id")).otherwise(F.col("component")).alias("component"),
     )
     return Joined(members, links)
@@ -351,7 +260,8 @@ def similar_sets(
 def keep_one(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80
 ) -> DataFrame:
-    """The rows of ``docs`` whose id names its component, or is null; empty texts stay."""
+    """The rows of ``docs`` that name their component, or have a null id; rows without words stay."""
     members = similar_sets(docs, id_col, text_col, n, percent).members
-    gone = materialize(members.where("id <> component").select("id").distinct())
-    return docs.join(gone, docs[id_col] == gone["id"], "left_anti")
+    gone = materialize(members.where("id <> component").select("id", "tag").distinct())
+    tag = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
+    return docs.join(gone, (docs[id_col] == gone["id"]) & (tag == gone["tag"]), "left_anti")
