@@ -187,6 +187,13 @@ POINTS = """(SELECT E.cuit_establecimiento_host, E.nro_establecimiento, latitud,
 STORED_TARGET = """(SELECT cuit_establecimiento_host, CAST(clase AS BIGINT) AS clase,
     round(monto_terminal + 1e-7, 4) AS monto_terminal, CAST(fe_proceso AS VARCHAR) AS fe_proceso, id_periodo_analisis
     FROM activation_target)"""
+# the parts in which the label table is ingested, an hour apart
+ALL_RECORDS = " UNION ALL ".join(
+    f"SELECT *, CAST({963619200 + 3600 * n} AS DOUBLE) AS event_time FROM {STORED_TARGET} AS stored WHERE {part}"
+    for n, part in enumerate(("coalesce(clase, 0) <> 1", "clase = 1", "true", "clase = 1"))
+)
+NEWEST_RECORDS = f"""SELECT *, CAST(CASE WHEN clase = 1 THEN {963619200 + 10800} ELSE {963619200 + 7200} END AS DOUBLE)
+    AS event_time FROM {STORED_TARGET} AS stored"""
 
 
 def model() -> str:
@@ -462,14 +469,9 @@ def statements() -> dict[str, str]:
                    CAST(nivel_activacion AS BIGINT) AS nivel_activacion, round(monto_max + 1e-7, 4) AS monto_max,
                    '2000-07-15' AS fe_proceso, CAST(963619200 AS DOUBLE) AS event_time
             FROM establishment_label"""),
-        "latest_features": query(
-            f"SELECT *, CAST(963622800 AS DOUBLE) AS event_time FROM {STORED_TARGET} AS stored"
-        ),
-        "read_period": query(
-            f"SELECT *, CAST(963622800 AS DOUBLE) AS event_time FROM {STORED_TARGET} AS stored"
-        ),
-        "ingest_job": query(f"""
-            SELECT *, CAST(963619200 AS DOUBLE) AS event_time FROM {STORED_TARGET} AS stored
-            UNION ALL SELECT *, CAST(963622800 AS DOUBLE) AS event_time FROM {STORED_TARGET} AS stored"""),
+        "latest_features": query(NEWEST_RECORDS),
+        "read_period": query(ALL_RECORDS),
+        "read_period_latest": query(NEWEST_RECORDS),
+        "ingest_job": query(ALL_RECORDS),
         "model_table": model(),
     }

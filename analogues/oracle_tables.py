@@ -6,10 +6,10 @@ PREFIX = (
     "CASE {line} WHEN 1 THEN '07' WHEN 2 THEN '09' WHEN 3 THEN '13' WHEN 4 THEN '36' "
     "WHEN 5 THEN '51' WHEN 6 THEN '08' ELSE '99' END"
 )
-TERMINAL = PREFIX.format(line="l_linenumber") + " || lpad(CAST(l_suppkey AS VARCHAR), 6, '0')"
-PART_TERMINAL = (
-    PREFIX.format(line="(p_partkey % 7 + 1)") + " || lpad(CAST(p_partkey // 7 AS VARCHAR), 6, '0')"
-)
+# at least six digits, never fewer than the key has
+SERIAL = "repeat('0', greatest(0, 6 - length(CAST({key} AS VARCHAR)))) || CAST({key} AS VARCHAR)"
+TERMINAL = PREFIX.format(line="l_linenumber") + " || " + SERIAL.format(key="l_suppkey")
+PART_TERMINAL = PREFIX.format(line="(p_partkey % 7 + 1)") + " || " + SERIAL.format(key="(p_partkey // 7)")
 
 TABLES = {
     "authorisations": f"""
@@ -119,7 +119,7 @@ TABLES = {
     "terminals": f"""
         SELECT DISTINCT l_suppkey * 10 + l_linenumber AS id_terminal,
                {PREFIX.format(line="l_linenumber")} || '00' AS cprefijo,
-               lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS cnumeroterminal,
+               {SERIAL.format(key="l_suppkey")} AS cnumeroterminal,
                l_suppkey AS contratoestablecimiento_id, l_linenumber AS estadoterminal_id
         FROM lineitem""",
     "state_log": """
@@ -138,8 +138,8 @@ TABLES = {
                CASE WHEN s_acctbal >= 1000 THEN s_name END AS crazonsocial
         FROM supplier""",
     "vip_owners": """
-        SELECT DISTINCT 'T' || CAST(s_suppkey - s_suppkey % 3 AS VARCHAR) AS nro_cuit
-        FROM supplier WHERE s_acctbal > 5000""",
+        SELECT 'T' || CAST(s_suppkey - s_suppkey % 3 AS VARCHAR) AS nro_cuit
+        FROM supplier GROUP BY 1 HAVING max(s_acctbal) > 5000""",
     "billing": f"""
         SELECT nro_terminal, codigo_cargo, nro_mes_cargo, first_day AS fecha_alta_terminal,
                CAST(year(first_day) * 100 + month(first_day) AS INTEGER) AS periodo_inicio_cargo,

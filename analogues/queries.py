@@ -651,12 +651,15 @@ def feature_strings(t: Tables) -> DataFrame:
 
 
 def _stored_target(t: Tables) -> str:
-    """Write the prepared label table, then ingest it twice with different event times."""
+    """Ingest the prepared label table in two disjoint parts, then the whole again, then one part again."""
     spark = t["movements"].sparkSession
-    files, table = _new_path(spark, "prepared"), _new_path(spark, "features")
-    write_features(PT.activation_target(t, DATE_REF), files, partitions=4)
-    for epoch in (EPOCH, EPOCH + 3600):
-        FS.ingest(spark, files, table, U.OWNER, epoch)
+    table = _new_path(spark, "features")
+    target = materialize(PT.activation_target(t, DATE_REF))
+    active = F.coalesce(F.col("clase") == 1, F.lit(False))
+    for n, rows in enumerate((target.where(~active), target.where(active), target, target.where(active))):
+        files = _new_path(spark, "prepared")
+        write_features(rows, files, partitions=4)
+        FS.ingest(spark, files, table, U.OWNER, EPOCH + 3600 * n)
     return table
 
 
@@ -671,10 +674,15 @@ def read_period(t: Tables) -> DataFrame:
     return tidy(FS.read_features(t["movements"].sparkSession, _stored_target(t), DATE_REF))
 
 
+@whole
+def read_period_latest(t: Tables) -> DataFrame:
+    return tidy(FS.read_features(t["movements"].sparkSession, _stored_target(t), DATE_REF, keys=U.OWNER))
+
+
 @whole
 def ingest_job(t: Tables) -> DataFrame:
     table = _stored_target(t)
-    return tidy(FS.read_features(t["movements"].sparkSession, table, DATE_REF, latest_only=False))
+    return tidy(t["movements"].sparkSession.read.parquet(f"{table}/records"))
 
 
 # Model

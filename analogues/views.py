@@ -24,7 +24,9 @@ def terminal_prefix(line: str) -> str:
 
 
 def serial(supplier: str) -> str:
-    return f"lpad(CAST({supplier} AS STRING), 6, '0')"
+    """At least six digits; longer keys keep all of theirs."""
+    digits = f"CAST({supplier} AS STRING)"
+    return f"lpad({digits}, greatest(6, length({digits})), '0')"
 
 
 TERMINAL = f"concat({terminal_prefix('l_linenumber')}, {serial('l_suppkey')})"
@@ -257,9 +259,11 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "terminals": _terminals(t),
         "state_log": _state_log(t),
         "contracts": _contracts(t),
-        "vip_owners": t["supplier"].where("s_acctbal > 5000").selectExpr(
-            "concat('T', s_suppkey - s_suppkey % 3) AS nro_cuit"
-        ),
+        "vip_owners": t["supplier"]
+        .groupBy(F.expr("concat('T', s_suppkey - s_suppkey % 3)").alias("nro_cuit"))
+        .agg(F.max("s_acctbal").alias("balance"))
+        .where("balance > 5000")
+        .select("nro_cuit"),
         "billing": _billing(t),
         "phones": t["customer"].selectExpr(
             "c_custkey AS nro_establecimiento",

@@ -61,14 +61,19 @@ def ingest(spark: SparkSession, name: str, source: str, table: str, epoch: float
 def model_from_store(
     spark: SparkSession, establishment: str, principal: str, target: str, date_ref: date
 ) -> DataFrame:
-    """Model table from the newest records of the three feature tables of the period."""
+    """Model table from all records that the three feature tables hold of the period.
+
+    A period may have been ingested in parts or more than once. Feature rows are
+    distinct when they are prepared, so a row that was ingested again unchanged
+    counts once; of an owner's labels the newest counts.
+    """
     configure(spark)
-    return model_table(
-        *(
-            feature_store.read_features(spark, table, date_ref)
-            for table in (principal, target, establishment)
-        )
-    )
+    features = [
+        feature_store.read_features(spark, table, date_ref).drop(feature_store.EVENT_TIME).distinct()
+        for table in (principal, establishment)
+    ]
+    label = feature_store.read_features(spark, target, date_ref, keys=OWNER)
+    return model_table(features[0], label, features[1])
 
 
 def main(arguments: Sequence[str] | None = None) -> None:

@@ -93,17 +93,12 @@ def latest_features(
 
 
 def read_features(
-    spark: SparkSession,
-    path: str,
-    period: str | date,
-    latest_only: bool = True,
-    keys: Sequence[str] | None = None,
+    spark: SparkSession, path: str, period: str | date, keys: Sequence[str] | str | None = None
 ) -> DataFrame:
-    """Records of one analysis period; only that partition is read.
+    """All records of one analysis period, in however many parts they came; only that partition is read.
 
-    With ``latest_only`` a period that was ingested again yields its last
-    ingestion: the newest record per ``keys`` if keys are given, else every
-    record of the newest event time.
+    With ``keys`` the newest record of every key. Keys must name a record:
+    records that share their keys are taken for versions of each other.
     """
     period = analysis_period(period) if isinstance(period, date) else period
     contract = _read_contract(spark, path)
@@ -116,14 +111,7 @@ def read_features(
             raise
         df = spark.createDataFrame([], contract)
     df = df.where(F.col(PERIOD) == period)
-    if not latest_only:
-        return df
-    if keys is not None:
-        return latest_features(df, keys)
-    newest = df.agg(F.max(EVENT_TIME).alias("newest_event_time"))
-    return df.join(F.broadcast(newest), F.col(EVENT_TIME) == F.col("newest_event_time")).drop(
-        "newest_event_time"
-    )
+    return df if keys is None else latest_features(df, keys)
 
 
 def with_event_time(df: DataFrame, epoch: float) -> DataFrame:
@@ -140,9 +128,9 @@ def ingest(
     strings_only: bool = False,
     drop_null_ids: bool = True,
     null_string: str | None = None,
-    path_glob: str | None = "*.snappy.parquet",
+    path_glob: str | None = None,
 ) -> None:
-    """Read prepared feature files, stamp, normalise the types and append them as records."""
+    """Read prepared feature files (the whole folder, or those a pattern names), stamp, normalise and append them."""
     df = with_event_time(load_table(spark, source, path_glob=path_glob), epoch)
     if drop_null_ids:
         df = df.dropna(subset=[record_id])

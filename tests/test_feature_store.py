@@ -42,17 +42,25 @@ def test_reingesting_a_period(spark, prepared, tmp_path):
     table = str(tmp_path / "features")
     for epoch in (100, 200):
         FS.ingest(spark, prepared, table, "cuit", epoch)
-    assert FS.read_features(spark, table, "2021-11", latest_only=False).count() == 4
-    latest = FS.read_features(spark, table, "2021-11")
-    assert values(latest, "cuit", "event_time") == [("a", 200.0), ("b", 200.0)]
+    assert FS.read_features(spark, table, "2021-11").count() == 4
     by_key = FS.read_features(spark, table, "2021-11", keys=["cuit"])
     assert values(by_key, "cuit", "event_time") == [("a", 200.0), ("b", 200.0)]
 
 
+def test_a_period_that_came_in_parts_is_read_whole(spark, frame, tmp_path):
+    table, parts = str(tmp_path / "features"), ([ROWS[0], ROWS[1]], [("c", 5, 5.5, date(2021, 12, 15), "2021-11")])
+    for epoch, rows in zip((100, 200), parts, strict=True):
+        path = str(tmp_path / f"part-{epoch}")
+        TB.write_features(frame(SCHEMA, *rows), path, partitions=1)
+        FS.ingest(spark, path, table, "cuit", epoch)
+    assert values(FS.read_features(spark, table, "2021-11"), "cuit") == [("a",), ("b",), ("c",)]
+    assert values(FS.read_features(spark, table, "2021-11", keys="cuit"), "cuit") == [("a",), ("b",), ("c",)]
+
+
 def test_only_the_period_partition_is_read(spark, prepared, tmp_path):
     table = str(tmp_path / "features")
     FS.ingest(spark, prepared, table, "cuit", 1)
-    text = plan(FS.read_features(spark, table, "2021-11", latest_only=False))
+    text = plan(FS.read_features(spark, table, "2021-11"))
     assert "PartitionFilters: [isnotnull(id_periodo_analisis" in text
 
 
