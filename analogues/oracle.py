@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from merchant_features.functions.expressions import TECHNOLOGIES, UNKNOWN_TECHNOLOGY_RANK
+
 from analogues.oracle_relations import (
     ADDRESS_FIELDS,
     ACQUIRING,
@@ -164,22 +166,25 @@ def cohort_features() -> str:
 
 
 def summary() -> str:
-    status = f"(monto_autoriz_moneda_orig >= 300 AND substr(nro_terminal, 1, 2) IN {INSTALLED})"
-    counts = ", ".join(
-        f"CAST(COUNT(*) FILTER ({status} AND {TECH} = '{letter}') AS DOUBLE) AS q_tx_{name}"
-        for letter, name in (("W", "wifi"), ("G", "gsm"), ("E", "ethernet"), ("D", "dialup"))
-    )
+    """Day sums of each kind of transaction; a kind that a group has none of has no sum."""
+    kinds = {
+        "acquired": ACQUIRING,
+        "active": ACTIVITY,
+        "used": f"monto_autoriz_moneda_orig >= 300 AND substr(nro_terminal, 1, 2) IN {INSTALLED}",
+    }
+    flags = ", ".join(f"({condition}) AS {kind}" for kind, condition in kinds.items())
     return query(f"""
         SELECT nro_terminal, nro_establecimiento_orig, fecha_host_entrada_autoriz,
-               CAST(SUM(monto_autoriz_moneda_orig) FILTER ({ACQUIRING}) AS DOUBLE) AS volumen,
-               COUNT(*) FILTER ({ACQUIRING}) AS cantidad,
-               CAST(SUM(monto_autoriz_moneda_orig) FILTER ({ACTIVITY}) AS DOUBLE) AS volumen_transacciones,
-               COUNT(*) FILTER ({ACTIVITY}) AS cantidad_transacciones,
-               CAST(MIN(COALESCE(NULLIF(strpos('WGED', {TECH}), 0), 9)) FILTER ({status}) AS DOUBLE)
-                   AS rango_tecnologia, {counts}
-        FROM authorisations
-        WHERE {APPROVED} AND (({ACQUIRING}) OR ({ACTIVITY}) OR {status}) AND fecha_host_entrada_autoriz {WINDOW}
-        GROUP BY nro_terminal, nro_establecimiento_orig, fecha_host_entrada_autoriz""")
+               CAST(SUM(amount) FILTER (acquired) AS DOUBLE) AS volumen, COUNT(*) FILTER (acquired) AS cantidad,
+               CAST(SUM(amount) FILTER (active) AS DOUBLE) AS volumen_transacciones,
+               COUNT(*) FILTER (active) AS cantidad_transacciones,
+               CAST(MIN(coalesce(rank, {UNKNOWN_TECHNOLOGY_RANK})) FILTER (used) AS DOUBLE) AS rango_tecnologia,
+               {", ".join(f"CAST(COUNT(*) FILTER (used AND letter = '{letter}') AS DOUBLE) AS q_tx_{label.replace('_', '').lower()}"
+                          for letter, _, label in TECHNOLOGIES)}
+        FROM (SELECT *, monto_autoriz_moneda_orig AS amount, {flags} FROM authorisations
+              WHERE {APPROVED} AND fecha_host_entrada_autoriz {WINDOW}) AS approved
+        LEFT JOIN technologies ON letter = {TECH}
+        WHERE acquired OR active OR used GROUP BY 1, 2, 3""")
 
 
 POINTS = """(SELECT E.cuit_establecimiento_host, E.nro_establecimiento, latitud, longitud
@@ -197,25 +202,34 @@ NEWEST_RECORDS = f"""SELECT *, CAST(CASE WHEN clase = 1 THEN {963619200 + 10800}
 
 
 def model() -> str:
-    joins, columns = [], []
-    for name in ("rubro", "prov", "rubro_prov", "loc_prov"):
-        values = [f"{rounded(f'SUM(CAST({m} AS DOUBLE))', 3)} AS {m}_{name}" for m in ("avg_dias_1tx", "avg_dias_85000")]
-        if name != "loc_prov":
-            values += [f"{rounded(f'AVG(CAST({m} AS DOUBLE))', 3)} AS {m}_{name}" for m in TXS_MEASURES]
-        columns += [f"{name}.{v.rsplit(' AS ', 1)[1]}" for v in values]
-        on = " AND ".join(f"{name}.{k} = ep.{k}" for k in COHORTS[name])
-        joins.append(
-            f"LEFT JOIN (SELECT {', '.join(COHORTS[name])}, {', '.join(values)} FROM principal_features "
-            f"GROUP BY {', '.join(COHORTS[name])}) AS {name} ON {on}"
-        )
-    columns += [f"{rounded(f'geo.{m}_geo', 3)} AS {m}_geo" for m in TXS_MEASURES]
-    return query(
-        "SELECT ep.cuit_establecimiento_host_ref, ep.id_periodo_analisis, ep.cod_rubro, "
-        f"{', '.join(columns)}, {rounded('t.monto_terminal', 3)} AS monto_terminal, CAST(t.clase AS BIGINT) AS clase "
-        f"FROM principal_features AS ep {' '.join(joins)} "
-        "LEFT JOIN activation_target AS t ON t.cuit_establecimiento_host = ep.cuit_establecimiento_host_ref "
-        "LEFT JOIN geo_features AS geo ON geo.cuit_establecimiento_host = ep.cuit_establecimiento_host_ref"
+    """Principal rows with what their cohorts, their neighbours and their label add.
+
+    All cohorts are groupings of one aggregation; ``grouping`` tells them apart.
+    """
+    keys = ("cod_rubro", "cod_provincia", "cod_localidad")
+    days = ("avg_dias_1tx", "avg_dias_85000")
+    bits = {name: "".join("0" if k in by else "1" for k in keys) for name, by in COHORTS.items()}
+    stats = [f"AVG(CAST({m} AS DOUBLE)) AS {m}" for m in TXS_MEASURES] + [f"SUM(CAST({m} AS DOUBLE)) AS {m}" for m in days]
+    sets = ", ".join(f"({', '.join(by)})" for by in COHORTS.values())
+    cohorts = (
+        f"SELECT {', '.join(keys)}, GROUPING({', '.join(keys)}) AS level, {', '.join(stats)} "
+        f"FROM principal_features GROUP BY GROUPING SETS ({sets})"
     )
+    columns, joins = [], []
+    for name, by in COHORTS.items():
+        measures = days if name == "loc_prov" else (*days, *TXS_MEASURES)
+        columns += [f"{rounded(f'of_{name}.{m}', 3)} AS {m}_{name}" for m in measures]
+        same = " AND ".join(f"of_{name}.{k} = principal.{k}" for k in by)
+        joins.append(f"LEFT JOIN cohort_levels AS of_{name} ON of_{name}.level = {int(bits[name], 2)} AND {same}")
+    columns += [f"{rounded(f'near.{m}_geo', 3)} AS {m}_geo" for m in TXS_MEASURES]
+    body = (
+        f"SELECT cuit_establecimiento_host_ref, principal.id_periodo_analisis, principal.cod_rubro, {', '.join(columns)}, "
+        f"{rounded('label.monto_terminal', 3)} AS monto_terminal, CAST(label.clase AS BIGINT) AS clase "
+        f"FROM principal_features AS principal "
+        "LEFT JOIN geo_features AS near ON near.cuit_establecimiento_host = cuit_establecimiento_host_ref "
+        f"LEFT JOIN activation_target AS label ON label.cuit_establecimiento_host = cuit_establecimiento_host_ref {' '.join(joins)}"
+    )
+    return query(body.replace("cohort_levels AS", f"({cohorts}) AS"))
 
 
 DATE_COLUMNS = {
@@ -383,20 +397,10 @@ def statements() -> dict[str, str]:
         "activation_levels": query("""
             SELECT cuit, CAST(nro_establecimiento AS DOUBLE) AS nro_establecimiento, nro_terminal,
                    CAST(nivel_activacion AS BIGINT) AS nivel_activacion FROM activation_levels"""),
-        "owner_days": query("""
-            SELECT cuit, round(COALESCE(AVG(dias_1tx), 180) + 1e-7, 4) AS avg_dias_1tx,
-                   round(COALESCE(AVG(dias_85000), 180) + 1e-7, 4) AS avg_dias_85000
-            FROM (SELECT cuit, I.nro_terminal,
-                         date_diff('day', MIN(I.fecha_instalacion),
-                             MIN(fecha_host_entrada_autoriz) FILTER (vol_cum >= 0)) AS dias_1tx,
-                         date_diff('day', MIN(I.fecha_instalacion),
-                             MIN(fecha_host_entrada_autoriz) FILTER (vol_cum >= 85000 * indice)) AS dias_85000
-                  FROM (SELECT DISTINCT cuit, nro_terminal, fecha_instalacion FROM installs) AS I
-                  JOIN first_month AS S ON S.nro_terminal = I.nro_terminal
-                       AND S.fecha_instalacion = I.fecha_instalacion
-                  JOIN inflation_index ON periodo = year(I.fecha_instalacion) * 100 + month(I.fecha_instalacion)
-                  GROUP BY cuit, I.nro_terminal) AS per_terminal
-            GROUP BY cuit"""),
+        "owner_days": query(
+            f"SELECT cuit, {rounded('avg_dias_1tx')} AS avg_dias_1tx, {rounded('avg_dias_85000')} AS avg_dias_85000 "
+            "FROM owner_days"
+        ),
         "reference_levels": tidy(
             "reference_levels", ("nro_establecimiento_ref", "avg_terminales_nivel_0", "avg_terminales_nivel_1")
         ),
