@@ -124,3 +124,21 @@ def slot_bitmap(values: DataFrame, bits: int) -> np.ndarray:
         piece = np.frombuffer(row["bits"], np.uint8)
         bitmap[(row["k"] - 1) * len(piece) : row["k"] * len(piece)] = piece
     return bitmap
+
+
+def rows_of(df: DataFrame, ids: DataFrame, id_col: str, bits: int = 23) -> DataFrame:
+    """The rows of ``df`` whose id is among ``ids`` (a column of the same name).
+
+    A bitmap of fixed size goes to the tasks first, so that only these rows and a few others are shuffled.
+    """
+    slot = F.pmod(F.xxhash64(id_col), F.lit(1 << bits)).alias("slot")
+    sent = df.sparkSession.sparkContext.broadcast(slot_bitmap(ids.select(slot), bits))
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            inside = in_bitmap(sent.value, batch.column(batch.num_columns - 1).to_numpy())
+            rows = batch.filter(pa.array(inside))
+            yield rows.select(range(batch.num_columns - 1))
+
+    few = df.select("*", slot).mapInArrow(kept, df.schema)
+    return few.join(ids.select(id_col).distinct(), id_col, "left_semi")

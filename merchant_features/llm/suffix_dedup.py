@@ -9,7 +9,8 @@ anchor are neighbours; the text they span is the anchor's context. The steps:
 
 1. k-grams at anchors that occur once anywhere rule out their windows.
 2. Of the others, equal contexts (128-bit digests) are repeated as a whole; one
-   of them stands for all.
+   of them stands for all. Only contexts that occur once are named to their
+   documents, as exceptions, when the bytes are removed.
 3. Where a k-gram has several contexts, tasks sort the suffixes at the anchors
    and exchange them as front-coded runs: per suffix the length of the prefix it
    shares with the one before it, and the rest. A loser tree merges the runs; a
@@ -419,59 +420,66 @@ def _counted_windows(texts: DataFrame, keys: DataFrame, length: int, gram: int)
     )
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
-    """(id, tag, spans): byte ranges of repeated windows, possibly overlapping; ``texts`` has id, tag and text."""
+def _exceptions(texts: DataFrame, occurrences, length: int, gram: int, group: int) -> DataFrame:
+    """(id, tag, contexts): the contexts that occur once, per document, each with its windows that are repeated.
+
+    The other contexts of k-grams that may occur again are repeated as a whole, so they need not be named.
+    """
     context = texts.sparkSession.sparkContext
     kind = dict(texts.dtypes)["id"]
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    occurrences = count(
-        texts, lambda column: anchor_hashes(column, length, gram), 2 * size / (length - gram + 2), most_hot=1
-    )
-    found = materialize(repeated_anchors(texts, context.broadcast(occurrences), length, gram, kind))
     contexts = materialize(
-        found.groupBy("key", "context").agg(
-            F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.min(F.xxhash64("id", "tag")).alias("holder")
+        repeated_anchors(texts, occurrences, length, gram, kind).groupBy("key", "context").agg(
+            F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("id", "tag", "first", "n")]
         )
     )
     several = materialize(contexts.groupBy("key").count().where("count > 1"))
     shared_keys = several.where(F.col("count") <= group)
     slot = F.shiftrightunsigned("key", 64 - KEY_BITS)
     keys = context.broadcast(slot_bitmap(shared_keys.select(slot.alias("slot")), KEY_BITS))
-    holders = contexts.join(shared_keys, "key", "left_semi").select(
-        F.pmod("holder", F.lit(1 << ID_BITS)).alias("slot")
-    )
+    holder = F.pmod(F.xxhash64("id", "tag"), F.lit(1 << ID_BITS))
+    holders = contexts.join(shared_keys, "key", "left_semi").select(holder.alias("slot"))
     ids = context.broadcast(slot_bitmap(holders, ID_BITS))
     n_contexts = several.agg(F.sum("count")).first()[0] or 0
     buckets_bits = max(6, int(n_contexts / 20_000).bit_length())
-    runs = _suffix_runs(texts, keys, ids, buckets_bits, length, gram)
-    partial = _merge_buckets(runs, length, gram)
+    partial = _merge_buckets(_suffix_runs(texts, keys, ids, buckets_bits, length, gram), length, gram)
     crowded = several.where(F.col("count") > group)
     if not crowded.isEmpty():
         partial = partial.unionByName(_counted_windows(texts, crowded, length, gram))
-    whole = F.array(F.struct(F.lit(0).alias("begin"), F.col("n").alias("end")))
-    copied = contexts.where("copies > 1").select("context", whole.alias("windows"))
-    repeated = materialize(
-        copied.unionByName(partial.join(contexts.where("copies > 1"), "context", "left_anti").select("context", "windows"))
-    )
-    spans = found.join(repeated, "context").select(
-        "id", "tag",
-        F.transform(
-            "windows",
-            lambda r: F.struct(
-                (F.col("first") + r["begin"]).alias("begin"), (F.col("first") + r["end"] - 1 + length).alias("end")
-            ),
-        ).alias("spans"),
-    )
-    return spans.groupBy("id", "tag").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-
-
-def _united(begin: np.ndarray, end: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Overlapping or touching ranges as one."""
-    depth = np.zeros(size + 1, np.int32)
-    np.add.at(depth, begin, 1)
-    np.add.at(depth, end, -1)
-    inside = np.concatenate(([0], (np.cumsum(depth)[:-1] > 0).astype(np.int8), [0]))
-    edges = np.flatnonzero(np.diff(inside))
+    partial = materialize(partial)
+    single = contexts.where("copies = 1").join(partial, "context", "left")
+    named = single.select("id", "tag", F.struct("first", "n", "windows").alias("context"))
+    return named.groupBy("id", "tag").agg(F.collect_list("context").alias("contexts"))
+
+
+def _window_flags(part: W.Slice, exceptions: pa.Array, occurrences, length: int, gram: int) -> np.ndarray:
+    """For each byte of a slice whether a repeated window begins there."""
+    size = len(part.raw)
+
+    def marked(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        depth = np.zeros(size + 1, np.int32)
+        np.add.at(depth, begin, 1)
+        np.add.at(depth, end, -1)
+        return np.cumsum(depth)[:-1] > 0
+
+    key, _, first, stop = anchors(part.raw, part.bounds, length, gram)
+    chosen = occurrences.may_repeat(key)
+    flags = marked(first[chosen], stop[chosen])
+    own = exceptions.slice(part.rows[0], len(part.rows)).fill_null([])
+    offsets = np.diff(own.offsets.to_numpy())
+    flat = own.flatten()
+    if len(flat):
+        at = flat.field("first").to_numpy() + np.repeat(part.bounds[:-1], offsets)
+        flags &= ~marked(at, at + flat.field("n").to_numpy())
+        windows = flat.field("windows").fill_null([])
+        runs, of = windows.flatten(), np.repeat(at, np.diff(windows.offsets.to_numpy()))
+        if len(runs):
+            flags |= marked(of + runs.field("begin").to_numpy(), of + runs.field("end").to_numpy())
+    return flags
+
+
+def _edges(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Half-open runs of set flags."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], flags.astype(np.int8), [0]))))
     return edges[::2], edges[1::2]
 
 
@@ -480,34 +488,37 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Every row's id, ``n_bytes``, the maximal removed ``spans`` of bytes and the ``kept`` bytes' SHA-256."""
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     texts = docs.select(F.col(id_col).alias("id"), text.alias("text")).select("id", F.xxhash64("text").alias("tag"), "text")
-    spans = repeated_spans(texts, length, gram, group)
-    spans = spans.select(F.col("id").alias("of"), F.col("tag").alias("of_tag"), "spans")
-    joined = texts.join(spans, texts["id"].eqNullSafe(spans["of"]) & (texts["tag"] == spans["of_tag"]), "left")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    expected = 2 * size / (length - gram + 2)
+    sent = docs.sparkSession.sparkContext.broadcast(
+        count(texts, lambda column: anchor_hashes(column, length, gram), expected, most_hot=1)
+    )
+    exceptions = _exceptions(texts, sent, length, gram, group).withColumnsRenamed({"id": "of", "tag": "of_tag"})
+    same = texts["id"].eqNullSafe(exceptions["of"]) & (texts["tag"] == exceptions["of_tag"])
+    joined = texts.join(exceptions, same, "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
-            sizes, removed, digests = [], [], []
-            for text, own in zip(batch.column(1), batch.column(2), strict=True):
-                raw = np.frombuffer(text.as_buffer(), np.uint8)
-                runs = []
-                if own.is_valid:
-                    flat = own.values.flatten()
-                    begin, end = _united(flat[0].to_numpy(), flat[1].to_numpy(), len(raw))
-                    stay = np.ones(len(raw), bool)
-                    for a, b in zip(begin.tolist(), end.tolist(), strict=True):
-                        stay[a:b] = False
-                        runs.append({"begin": a, "end": b})
-                    raw = raw[stay]
-                sizes.append(len(text.as_buffer()))
-                removed.append(runs)
-                digests.append(hashlib.sha256(raw.tobytes()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, kind), pa.array(digests)],
-                ["id", "n_bytes", "spans", "kept_sha256"],
-            )
-
-    return joined.select("id", "text", "spans").mapInArrow(
+            for part in W.slices(batch.column(1)):
+                begin, end = _edges(_window_flags(part, batch.column(2), sent.value, length, gram))
+                gone = np.zeros(len(part.raw) + 1, np.int32)
+                np.add.at(gone, begin, 1)
+                np.add.at(gone, end - 1 + length, -1)
+                gone = np.cumsum(gone)[:-1] > 0
+                removed, digests = [], []
+                for k in range(len(part.rows)):
+                    low, high = part.bounds[k], part.bounds[k + 1]
+                    own, raw = gone[low:high], part.raw[low:high]
+                    removed.append([{"begin": int(a), "end": int(b)} for a, b in zip(*_edges(own), strict=True)])
+                    digests.append(hashlib.sha256((raw[~own] if removed[-1] else raw).tobytes()).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(part.rows[0], len(part.rows)), pa.array(np.diff(part.bounds), pa.int64()),
+                     pa.array(removed, kind), pa.array(digests)],
+                    ["id", "n_bytes", "spans", "kept_sha256"],
+                )
+
+    return joined.select("id", "text", "contexts").mapInArrow(
         cut, f"id {dict(texts.dtypes)['id']}, n_bytes bigint, spans {RUNS}, kept_sha256 string"
     )
 
