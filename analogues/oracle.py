@@ -440,12 +440,11 @@ def statements() -> dict[str, str]:
             SELECT a.nro_establecimiento, {rounded(km("a", "b"))} AS km FROM geo_location AS a,
                    (SELECT CAST(-34.6 AS DOUBLE) AS latitud, CAST(-58.4 AS DOUBLE) AS longitud) AS b"""),
         "radius_neighbours": query(f"""
-            SELECT nro_establecimiento, nro_vecino, {rounded("km")} AS km FROM (
-                SELECT a.nro_establecimiento, b.nro_establecimiento AS nro_vecino, {km("a", "b")} AS km
-                FROM {POINTS} AS a JOIN {POINTS} AS b
-                     ON a.cuit_establecimiento_host <> b.cuit_establecimiento_host
-                     AND abs(a.latitud - b.latitud) < 0.1) AS near
-            WHERE km <= 5.0"""),
+            SELECT a.nro_establecimiento, COUNT(*) FILTER (
+                       a.cuit_establecimiento_host <> b.cuit_establecimiento_host AND {km("a", "b")} <= 5.0) AS vecinos
+            FROM {POINTS} AS a JOIN {POINTS} AS b ON abs(a.latitud - b.latitud) < 0.1
+            WHERE a.longitud IS NOT NULL AND a.cuit_establecimiento_host IS NOT NULL
+            GROUP BY a.nro_establecimiento"""),
         "neighbour_stats": query(f"""
             SELECT a.cuit_establecimiento_host,
                    {", ".join(f"{rounded(f'AVG(b.{m})')} AS {m}_geo" for m in COHORT_MEASURES)}

@@ -605,15 +605,9 @@ def _points(t: Tables) -> DataFrame:
 
 @query
 def radius_neighbours(t: Tables) -> DataFrame:
-    points = materialize(_points(t))
-    pairs = N.radius_join(points, points, 5.0, exclude=U.OWNER)
-    return tidy(
-        pairs.select(
-            F.col("a_nro_establecimiento").alias("nro_establecimiento"),
-            F.col("b_nro_establecimiento").alias("nro_vecino"),
-            "km",
-        )
-    )
+    """How many establishments of other owners are within five kilometres of each."""
+    near = N.neighbour_counts(_points(t), U.OWNER, 5.0)
+    return tidy(near.select("nro_establecimiento", F.col("n_near").alias("vecinos")))
 
 
 @query

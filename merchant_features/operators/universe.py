@@ -3,7 +3,7 @@
 Two establishments of one owner are paired when a terminal appears under both
 and the second one is active. The pairs themselves are the answer of
 ``reference_universe`` only; the feature plans need sums over them, which
-``row_weights`` and ``paired_sums`` compute without listing the pairs.
+``row_weights`` and ``paired_sums`` compute without listing all pairs.
 """
 
 from __future__ import annotations
@@ -17,12 +17,16 @@ from merchant_features.functions import predicates as P
 from merchant_features.functions.geo import sanitize_geo
 from merchant_features.operators.activity import ESTABLISHMENT, TERMINAL
 from merchant_features.operators.history import top1_per_key
-from merchant_features.operators.lookup import code_names, existing, lookup
+from merchant_features.operators.lookup import code_names, existing, lookup, salted_join
 from merchant_features.sources.storage import materialize
 
+#: A terminal with more establishments of one owner is a hub (see ``paired_sums``); no result depends on it.
+HUB_MEMBERS = 64
+
 OWNER = "cuit_establecimiento_host"
 OWNER_REF = "cuit_establecimiento_host_ref"
 REF = "nro_establecimiento_ref"
+# Output column names.
 GEO_COLUMNS = ("latitud", "longitud", "desc_departamento_geo", "desc_provincia_geo", "desc_localidad_gba_geo")
 ATTRIBUTES = (
     "cod_rubro", "desc_rubro", "nombre_fantasia", "beneficiario_host",
@@ -120,7 +124,7 @@ def reference_universe(universe: DataFrame, active: DataFrame) -> DataFrame:
         *ATTRIBUTES,
     )
     pair_key = active.select(ESTABLISHMENT, F.col(OWNER).alias(OWNER_REF), TERMINAL)
-    paired = reference.join(pair_key, [OWNER_REF, TERMINAL])
+    paired = salted_join(reference, materialize(pair_key), [OWNER_REF, TERMINAL], "inner")
     own = reference.withColumn(ESTABLISHMENT, F.col(REF))
     columns = [ESTABLISHMENT, REF, OWNER_REF, TERMINAL, *ATTRIBUTES]
     return paired.select(*columns).unionByName(own.select(*columns)).dropna(subset=[REF])
@@ -139,7 +143,8 @@ def row_weights(members: DataFrame, located: DataFrame) -> DataFrame:
     """
     places = located.groupBy(ESTABLISHMENT).agg(F.count(F.lit(1)).alias("n_rows"))
     rows = members.join(places, ESTABLISHMENT)
-    per_terminal = rows.groupBy(OWNER, TERMINAL).agg(F.sum("n_rows").alias("n_rows"))
+    # written, so that both sides of the join are plain shuffles and a hot terminal's members can be split
+    per_terminal = materialize(rows.groupBy(OWNER, TERMINAL).agg(F.sum("n_rows").alias("n_rows")))
     paired = members.where("active").join(per_terminal, [OWNER, TERMINAL])
     return (
         paired.select(ESTABLISHMENT, "n_rows")
@@ -149,69 +154,79 @@ def row_weights(members: DataFrame, located: DataFrame) -> DataFrame:
     )
 
 
-def paired_sums(members: DataFrame, weights: DataFrame, names: Sequence[str]) -> DataFrame:
+def _hub_terminals(members: DataFrame, hub_members: int) -> DataFrame:
+    """Number of members of every terminal shared within an owner, and whether it is a hub; written once."""
+    sizes = members.groupBy(OWNER, TERMINAL).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    return materialize(sizes.select(OWNER, TERMINAL, (F.col("__n") > hub_members).alias("hub")))
+
+
+def paired_sums(
+    members: DataFrame, weights: DataFrame, names: Sequence[str], hub_members: int = HUB_MEMBERS
+) -> DataFrame:
     """Sum ``names`` over the distinct establishments paired with every reference establishment.
 
     ``members`` holds owner, establishment, terminal and the active flag;
     ``weights`` at most one row per establishment.
 
-    Establishments that appear with exactly the same shared terminals have the
-    same partners. They are merged into one class (identified by the count and
-    two hashes of the terminal set), so a terminal shared by very many
-    establishments yields a few class pairs instead of all establishment pairs.
+    Terminals with over ``hub_members`` establishments of an owner are hubs. Who
+    an establishment meets at hubs depends on its set of hubs alone, so those
+    sums are taken between the distinct sets (as sorted arrays). Establishments
+    that meet only at smaller terminals are listed, at most ``hub_members`` per
+    establishment and terminal. No pair is counted twice: a listed pair must not
+    share a hub. The work is rows times ``hub_members`` plus pairs of hub sets.
     """
     key, names = [OWNER, ESTABLISHMENT], list(names)
-    shared_terminals = materialize(
-        members.groupBy(OWNER, TERMINAL)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where("__n > 1")
-        .select(OWNER, TERMINAL)
-    )
-    shared = members.join(shared_terminals, [OWNER, TERMINAL], "left_semi")
-    classes = materialize(
-        shared.groupBy(*key).agg(
-            F.bool_or("active").alias("active"),
-            F.count(F.lit(1)).alias("__size"),
-            F.bit_xor(F.xxhash64(TERMINAL)).alias("__mix"),
-            F.sum(F.hash(TERMINAL).cast("bigint")).alias("__total"),
+    terminals = _hub_terminals(members, hub_members)
+    meeting = members.join(terminals, [OWNER, TERMINAL])
+    hubs = F.array_sort(F.collect_set(F.when(F.col("hub"), F.col(TERMINAL))))
+    valued = materialize(
+        members.groupBy(*key)
+        .agg(F.bool_or("active").alias("active"))
+        .join(meeting.groupBy(*key).agg(hubs.alias("hubs")), key, "left")
+        .join(weights, ESTABLISHMENT, "left")
+        .select(
+            *key, "active", F.coalesce("hubs", F.array().cast("array<string>")).alias("hubs"),
+            *[F.coalesce(n, F.lit(0)).alias(n) for n in names],
         )
     )
-    class_id = ["__size", "__mix", "__total"]
-    class_terminals = materialize(
-        shared.join(classes, key).select(OWNER, TERMINAL, *class_id).distinct()
-    )
-    partner_id = [f"{c}2" for c in class_id]
-    partners = (
-        class_terminals.join(
-            class_terminals.withColumnsRenamed(dict(zip(class_id, partner_id, strict=True))),
-            [OWNER, TERMINAL],
+    sums = [F.sum(n).alias(n) for n in names]
+
+    # between sets of hubs
+    with_hubs = valued.where(F.size("hubs") > 0)
+    sets = materialize(
+        with_hubs.groupBy(OWNER, "hubs").agg(
+            *[F.coalesce(F.sum(F.when(F.col("active"), F.col(n))), F.lit(0)).alias(n) for n in names]
         )
-        .select(OWNER, *class_id, *partner_id)
-        .distinct()
     )
-    class_totals = (
-        classes.where("active")
-        .join(weights, ESTABLISHMENT)
-        .groupBy(OWNER, *[F.col(c).alias(p) for c, p in zip(class_id, partner_id, strict=True)])
-        .agg(*[F.sum(n).alias(f"__{n}") for n in names])
+    at_hub = sets.select(OWNER, "hubs", F.explode("hubs").alias(TERMINAL))
+    other = at_hub.withColumnRenamed("hubs", "other")
+    met = at_hub.join(other, [OWNER, TERMINAL]).select(OWNER, "hubs", "other").distinct()
+    of_sets = met.join(sets.withColumnRenamed("hubs", "other"), [OWNER, "other"]).groupBy(OWNER, "hubs").agg(*sums)
+    at_hubs = with_hubs.join(of_sets.withColumnsRenamed({n: f"__{n}" for n in names}), [OWNER, "hubs"]).select(
+        ESTABLISHMENT,
+        *[(F.col(f"__{n}") - F.when(F.col("active"), F.col(n)).otherwise(0)).alias(n) for n in names],
     )
-    paired = (
-        partners.join(class_totals, [OWNER, *partner_id])
-        .groupBy(OWNER, *class_id)
-        .agg(*[F.sum(f"__{n}").alias(f"__{n}") for n in names])
+
+    # between establishments that share smaller terminals only
+    small = materialize(
+        meeting.where(~F.col("hub")).select(*key, TERMINAL).join(valued.select(*key, "hubs"), key)
     )
-    of_shared = classes.join(paired, [OWNER, *class_id], "left").select(
-        ESTABLISHMENT, F.col("active").alias("__counted"), *[f"__{n}" for n in names]
+    partner = small.select(
+        OWNER, TERMINAL, F.col(ESTABLISHMENT).alias("__partner"), F.col("hubs").alias("__hubs")
     )
-    own = members.select(ESTABLISHMENT).distinct().join(weights, ESTABLISHMENT, "left")
-    summed = own.join(of_shared, ESTABLISHMENT, "left")
-    itself = F.when(F.coalesce("__counted", F.lit(False)), 0).otherwise(1)
-    return summed.select(
-        F.col(ESTABLISHMENT).alias(REF),
-        *[
-            (
-                F.coalesce(F.col(f"__{n}"), F.lit(0)) + itself * F.coalesce(F.col(n), F.lit(0))
-            ).alias(n)
-            for n in names
-        ],
+    listed = (
+        small.join(partner, [OWNER, TERMINAL])
+        .where((F.col(ESTABLISHMENT) != F.col("__partner")) & ~F.arrays_overlap("hubs", "__hubs"))
+        .select(ESTABLISHMENT, "__partner")
+        .distinct()
+    )
+    active = valued.where("active").select(F.col(ESTABLISHMENT).alias("__partner"), *names)
+    at_small = listed.join(active, "__partner").select(ESTABLISHMENT, *names)
+
+    own = valued.select(ESTABLISHMENT, *names)
+    return (
+        own.unionByName(at_hubs)
+        .unionByName(at_small)
+        .groupBy(F.col(ESTABLISHMENT).alias(REF))
+        .agg(*sums)
     )

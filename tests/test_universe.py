@@ -7,6 +7,7 @@ from conftest import plan, values
 from pyspark.sql import functions as F
 
 from merchant_features.operators import universe as U
+from merchant_features.sources import storage
 
 GEO = "nro_establecimiento long, latitud double, longitud double, desc_departamento_geo string, desc_provincia_geo string, desc_localidad_gba_geo string"
 ADDRESS = (
@@ -90,13 +91,14 @@ def test_row_weights_equal_the_rows_of_the_reference_universe(world, reference):
     assert values(U.row_weights(members, located), "nro_establecimiento", "n_rows") == values(counted)
 
 
-def test_paired_sums_equal_sums_over_the_listed_pairs(world, reference):
+@pytest.mark.parametrize("hub_members", [1, 2, 3, 64])
+def test_paired_sums_equal_sums_over_the_listed_pairs(world, reference, hub_members):
     fields, _, terminals, activity = world
     members = U.owned_terminals(U.with_active_flag(fields, activity), terminals)
     weights = fields.select(
         "nro_establecimiento", F.col("nro_establecimiento").alias("w"), F.lit(1).cast("long").alias("pairs")
     ).where("nro_establecimiento % 5 <> 0")
-    got = U.paired_sums(members, weights, ["w", "pairs"])
+    got = U.paired_sums(members, weights, ["w", "pairs"], hub_members)
     pairs = U.distinct_ids(reference).select("nro_establecimiento", "nro_establecimiento_ref")
     with_terminal = members.select(F.col("nro_establecimiento").alias("nro_establecimiento_ref")).distinct()
     listed = (
@@ -123,5 +125,27 @@ def test_a_terminal_shared_by_many_establishments_makes_no_pairs(spark):
     assert [(r["w"], r["count"]) for r in row] == [(n // 4, n // 4), (n // 4 + 1, n - n // 4)]
 
 
+@pytest.mark.parametrize("n", [800, 20000])
+def test_different_sets_around_a_hub_make_no_pairs_at_the_hub(spark, monkeypatch, n):
+    """One terminal shared by all and one more by two neighbours each: all terminal sets differ."""
+    ids = spark.range(n).select(F.col("id").alias("nro_establecimiento"))
+    terminals = F.array(F.lit("hub"), F.concat(F.lit("x"), F.col("nro_establecimiento")),
+                        F.concat(F.lit("x"), F.col("nro_establecimiento") + 1))
+    members = ids.select(
+        "nro_establecimiento", F.lit("T").alias("cuit_establecimiento_host"), F.explode(terminals).alias("nro_terminal"),
+        (F.col("nro_establecimiento") % 2 == 0).alias("active"),
+    )
+    written = []
+
+    def counted(df):
+        written.append(storage.materialize(df))
+        return written[-1]
+
+    monkeypatch.setattr(U, "materialize", counted)
+    got = U.paired_sums(members, ids.withColumn("w", F.lit(1).cast("long")), ["w"])
+    assert sorted(map(tuple, got.groupBy("w").count().collect())) == [(n // 2, n // 2), (n // 2 + 1, n // 2)]
+    assert sum(df.count() for df in written) <= 8 * n
+
+
 def test_no_cartesian_product(reference):
     assert "Cartesian" not in plan(reference) and "NestedLoop" not in plan(reference)
