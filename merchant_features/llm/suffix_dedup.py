@@ -45,6 +45,9 @@ from merchant_features.sources.storage import materialize
 LENGTH = 200
 GRAM = 64
 GROUP = 20_000
+#: Suffixes a task sorts at a time, and contexts that meet in one merge.
+RUN_SUFFIXES = 30_000
+BUCKET_CONTEXTS = 2_000
 KEY_BITS = 26
 ID_BITS = 23
 
@@ -68,29 +71,37 @@ def _powers(base: int, bits: int) -> np.ndarray:
 def range_hashes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
     """Two independent 64-bit hashes of raw[begin:end]."""
     bits = max(20, int(len(raw)).bit_length())
-    found = []
+    found, values = [], _values()[raw]
     for base in BASES:
         sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_values()[raw] * _powers(base, bits)[: len(raw)], out=sums[1:])
+        np.cumsum(values * _powers(base, bits)[: len(raw)], out=sums[1:])
         back = _powers(pow(base, -1, 1 << 64), bits)
         found.append(W.mix((sums[end] - sums[begin]) * back[begin] + (end - begin).astype(np.uint64)))
     return found
 
 
 def anchors(raw: np.ndarray, bounds: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(k-gram hash, anchor, first window, last window + 1) for the windows of a slice, in order."""
+    """(k-gram hash, anchor, first window, last window + 1) for the windows of a slice, in order.
+
+    ``gram`` is 8 times a power of two.
+    """
     none = tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64))
     if len(raw) < length:
         return none
+    # 8 bytes at every position, then hashes of twice the length from two neighbouring ones
     x = raw.astype(np.uint64)
     for step, shift in ((1, 8), (2, 16), (4, 32)):
         x = x[:-step] | (x[step:] << np.uint64(shift))
-    m = len(raw) - gram + 1
-    h = np.zeros(m, np.uint64)
-    for k in range(0, gram, 8):
-        h = (h ^ x[k : k + m]) * C1
-        h ^= h >> np.uint64(29)
+    h = x * C1
+    h ^= h >> np.uint64(32)
+    step = 8
+    while step < gram:
+        longer = h[:-step] * C1
+        longer += h[step:]
+        longer ^= longer >> np.uint64(29)
+        h, step = longer, 2 * step
     h = W.mix(h)
+    m = len(raw) - gram + 1
     # the smallest hash within reach of every window, the leftmost of equal ones
     reach = length - gram + 1
     keyed = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(m, dtype=np.uint64)
@@ -286,7 +297,7 @@ def _suffix_runs(texts: DataFrame, keys, ids, buckets_bits: int, length: int, gr
                     suffix = key.to_bytes(8, "big") + raw[a : e - 1 + length]
                     buckets.setdefault(key >> (64 - buckets_bits), []).append((suffix, raw[b:a], a - e + 1, context))
                     n += 1
-                    if n >= 200_000:
+                    if n >= RUN_SUFFIXES:
                         yield emitted(buckets)
                         buckets, n = {}, 0
         if n:
@@ -440,7 +451,7 @@ def _exceptions(texts: DataFrame, occurrences, length: int, gram: int, group: in
     holders = contexts.join(shared_keys, "key", "left_semi").select(holder.alias("slot"))
     ids = context.broadcast(slot_bitmap(holders, ID_BITS))
     n_contexts = several.agg(F.sum("count")).first()[0] or 0
-    buckets_bits = max(6, int(n_contexts / 20_000).bit_length())
+    buckets_bits = max(6, int(n_contexts / BUCKET_CONTEXTS).bit_length())
     partial = _merge_buckets(_suffix_runs(texts, keys, ids, buckets_bits, length, gram), length, gram)
     crowded = several.where(F.col("count") > group)
     if not crowded.isEmpty():
