@@ -30,6 +30,7 @@ from merchant_features.plans import model as PM
 from merchant_features.plans import principal as PP
 from merchant_features.plans import target as PT
 from merchant_features.plans.session import configure
+from merchant_features.plans.shared import prepare_shared
 from merchant_features.sources import feature_store as FS
 from merchant_features.sources.storage import materialize, shared_dir
 from merchant_features.sources.tables import (
@@ -684,9 +685,10 @@ def ingest_job(t: Tables) -> DataFrame:
 
 @whole
 def model_table(t: Tables) -> DataFrame:
-    principal = materialize(PP.principal_features(t, DATE_REF))
-    establishments = materialize(PE.establishment_features(t, DATE_REF))
-    target = PT.activation_target(t, DATE_REF)
+    shared = prepare_shared(t, DATE_REF)
+    principal = materialize(PP.principal_features(t, DATE_REF, shared=shared))
+    establishments = PE.establishment_features(t, DATE_REF)
+    target = PT.activation_target(t, DATE_REF, shared=shared)
     return tidy(PM.model_table(principal, target, establishments), places=3)
 
 

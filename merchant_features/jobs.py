@@ -22,7 +22,7 @@ from merchant_features.plans.model import model_table
 from merchant_features.plans.principal import principal_features
 from merchant_features.plans.session import configure
 from merchant_features.plans.target import activation_target
-from merchant_features.sources import feature_store, tables
+from merchant_features.sources import feature_store, storage, tables
 
 PREPARE = {
     "establishment": (establishment_features, tables.ESTABLISHMENT_SOURCES),
@@ -102,15 +102,16 @@ def main(arguments: Sequence[str] | None = None) -> None:
 
     args = parser.parse_args(arguments)
     spark = SparkSession.builder.getOrCreate()
-    if args.command == "prepare":
-        with open(args.paths) as file:
-            paths = json.load(file)
-        prepare(spark, args.name, paths, args.date_ref, args.output, args.weighting, args.partitions)
-    elif args.command == "ingest":
-        ingest(spark, args.name, args.input, args.table, args.epoch)
-    else:
-        df = model_from_store(spark, args.establishment, args.principal, args.target, args.date_ref)
-        tables.write_features(df, args.output)
+    with storage.run(spark):
+        if args.command == "prepare":
+            with open(args.paths) as file:
+                paths = json.load(file)
+            prepare(spark, args.name, paths, args.date_ref, args.output, args.weighting, args.partitions)
+        elif args.command == "ingest":
+            ingest(spark, args.name, args.input, args.table, args.epoch)
+        else:
+            df = model_from_store(spark, args.establishment, args.principal, args.target, args.date_ref)
+            tables.write_features(df, args.output)
 
 
 if __name__ == "__main__":

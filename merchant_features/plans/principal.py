@@ -19,14 +19,12 @@ from merchant_features.operators.activity import (
     establishment_days,
     of_known_establishments,
     per_unit_measures,
-    summarise_authorisations,
-    terminal_days,
     terminals_per,
     trailing_months_deflated,
 )
 from merchant_features.operators.address import latest_unified_addresses
 from merchant_features.operators.contracts import cast_to_schema
-from merchant_features.operators.terminals import installed_base
+from merchant_features.plans.shared import Shared, prepare_shared
 from merchant_features.sources.storage import materialize
 from merchant_features.sources.tables import PRINCIPAL_SOURCES, narrow
 
@@ -189,18 +187,19 @@ def reference_days(universe: Universe, installs: Installs) -> DataFrame:
 
 
 def principal_features(
-    tables: Mapping[str, DataFrame], date_ref: date, weighting: str = "none", **installed_options
+    tables: Mapping[str, DataFrame], date_ref: date, weighting: str = "none", shared: Shared | None = None,
+    **installed_options,
 ) -> DataFrame:
-    """One row per owner, establishment and location with activity and activation features."""
+    """One row per owner, establishment and location with activity and activation features.
+
+    ``shared`` is given where the label table is built from the same tables too.
+    """
     a = anchors(date_ref)
     tables = narrow(tables, PRINCIPAL_SOURCES, date_ref)
     index = tables["inflation_index"]
-    summary = materialize(summarise_authorisations(tables["authorisations"]))
-    universe = build_universe(tables, summary, weighting)
-    installed = installed_base(
-        tables, a.lastday, terminal_days(summary, a.lastday), **installed_options
-    )
-    installs = build_installs(installed, summary, index, a)
+    shared = shared or prepare_shared(tables, date_ref, **installed_options)
+    universe = build_universe(tables, shared.summary, weighting)
+    installs = build_installs(shared.installed, shared.summary, index, a)
     # Every side below has one row per establishment; they meet before the located rows.
     ids = universe.members.select(F.col(ESTABLISHMENT).alias(U.REF)).distinct()
     stats = (

@@ -9,33 +9,26 @@ from pyspark.sql import DataFrame
 
 from merchant_features.functions.periods import anchors, with_period
 from merchant_features.operators.activation import establishment_label, owner_label
-from merchant_features.operators.activity import (
-    acquiring_days,
-    summarise_authorisations,
-    terminal_days,
-)
-from merchant_features.operators.terminals import installed_base
+from merchant_features.operators.activity import acquiring_days
 from merchant_features.operators.universe import OWNER, latest_establishments
-from merchant_features.sources.storage import materialize
+from merchant_features.plans.shared import Shared, prepare_shared
 from merchant_features.sources.tables import TARGET_SOURCES, narrow
 
 
 def activation_target(
-    tables: Mapping[str, DataFrame], date_ref: date, weighting: str = "none", **installed_options
+    tables: Mapping[str, DataFrame], date_ref: date, weighting: str = "none", shared: Shared | None = None,
+    **installed_options,
 ) -> DataFrame:
     """Activation class and adjusted amount of every owner in the last full month."""
     a = anchors(date_ref)
     tables = narrow(tables, TARGET_SOURCES, date_ref)
     establishments = latest_establishments(tables["establishment_history"], [OWNER])
-    summary = materialize(summarise_authorisations(tables["authorisations"]))
-    installed = installed_base(
-        tables, a.lastday, terminal_days(summary, a.lastday), **installed_options
-    )
+    shared = shared or prepare_shared(tables, date_ref, **installed_options)
     labels = establishment_label(
         establishments,
-        installed,
+        shared.installed,
         tables["inflation_index"],
-        acquiring_days(summary),
+        acquiring_days(shared.summary),
         a,
         weighting,
     )

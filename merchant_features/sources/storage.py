@@ -2,32 +2,58 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+#: Called with every frame before it is written, for tests that look at plans.
+on_write: Callable[[DataFrame], None] | None = None
+_runs: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names; only a local master may fall back to a temporary one."""
+    """The folder the cluster names; only a local master may fall back to a temporary one, removed at exit."""
     configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
     fallback = tempfile.mkdtemp(prefix="checkpoint-")
+    atexit.register(shutil.rmtree, fallback, ignore_errors=True)
     spark.conf.set(CHECKPOINT_DIR, fallback)
     return fallback
 
 
+@contextmanager
+def run(spark: SparkSession) -> Iterator[str]:
+    """A folder for the tables written inside, removed at the end; results must have been written or taken by then."""
+    folder = f"{shared_dir(spark)}/tables/run-{uuid.uuid4().hex}"
+    _runs.append(folder)
+    try:
+        yield folder
+    finally:
+        _runs.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write once and continue from the written table.
 
     Lost executors cost nothing computed before, later steps read only the
     columns they need, and Spark knows the table's size when it picks joins.
     """
-    path = f"{shared_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    if on_write is not None:
+        on_write(df)
+    folder = _runs[-1] if _runs else f"{shared_dir(df.sparkSession)}/tables"
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,6 +13,8 @@ from merchant_features.plans import establishment as PE
 from merchant_features.plans import model as PM
 from merchant_features.plans import principal as PP
 from merchant_features.plans import target as PT
+from merchant_features.plans.shared import prepare_shared
+from merchant_features.sources import storage
 from merchant_features.sources.storage import materialize
 from merchant_features.sources.tables import ESTABLISHMENT_SOURCES, PRINCIPAL_SOURCES, narrow
 
@@ -64,8 +66,30 @@ def test_the_scan_window_reaches_the_facts(tables):
     assert len(re.findall(r"\) Exchange", text)) == 1
 
 
-def test_the_largest_table_is_read_once(principal):
-    assert "l_extendedprice" not in plan(principal)
+def steps(monkeypatch, build) -> list[str]:
+    """The plans of every written step of a table, and of what remains at the end."""
+    found: list[str] = []
+    monkeypatch.setattr(storage, "on_write", lambda df: found.append(plan(df)))
+    last = plan(build())
+    return [*found, last]
+
+
+def test_every_written_step(tables, monkeypatch):
+    def model():
+        shared = prepare_shared(tables, views.DATE_REF)
+        principal = PP.principal_features(tables, views.DATE_REF, shared=shared)
+        target = PT.activation_target(tables, views.DATE_REF, shared=shared)
+        return PM.model_table(principal, target, PE.establishment_features(tables, views.DATE_REF))
+
+    found = steps(monkeypatch, model)
+    assert len(found) > 10
+    for text in found:
+        for word in ("CartesianProduct", "BroadcastNestedLoop", "PythonUDF", "ArrowEval", "BatchEvalPython"):
+            assert word not in text
+    # amounts of the authorisations are read by one step of the whole model run, in one scan
+    reading = [text for text in found if "l_extendedprice" in text]
+    assert len(reading) == 1
+    assert len(re.findall(r"ReadSchema: [^\n]*l_extendedprice", reading[0])) == 1
 
 
 def test_features_do_not_depend_on_partitioning(spark, tables):
