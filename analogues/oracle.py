@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from merchant_features.functions.expressions import TECHNOLOGIES, UNKNOWN_TECHNOLOGY_RANK
+from merchant_features.operators.terminals import placeholder_types
+from merchant_features.sources.tables import ESTABLISHMENT_SOURCES
 
 from analogues.oracle_relations import (
     ADDRESS_FIELDS,
@@ -232,6 +234,12 @@ def model() -> str:
     return query(body.replace("cohort_levels AS", f"({cohorts}) AS"))
 
 
+#: Typed NULL columns; dates are returned as text and integers as double.
+PLACEHOLDERS = ", ".join(
+    f"CAST(NULL AS {'DOUBLE' if kind in ('int', 'bigint', 'double', 'float') else 'VARCHAR'}) AS {name}"
+    for name, kind in placeholder_types().items()
+)
+
 DATE_COLUMNS = {
     "fe_proceso", "fecha_alta", "fecha_contrato", "fecha_fin", "fecha_host_entrada_autoriz",
     "fecha_inicio", "fecha_inicio_facturacion", "fecha_instalacion", "fecha_movimiento", "o_orderdate",
@@ -375,6 +383,12 @@ def statements() -> dict[str, str]:
             ("id_terminal", "ccuit", "nro_establecimiento_contrato", "nro_terminal", "fecha_instalacion",
              "fecha_contrato", "telefono_ater", "estadoterminal_id", "cdomiciliocalle", "fecha_proceso"),
         ),
+        "contract_placeholders": query(f"SELECT nro_terminal, {PLACEHOLDERS} FROM terminal_contract"),
+        "registry_load": query(" UNION ALL ".join(
+            f"SELECT '{spec.name}' AS tabla, COUNT(*) AS filas FROM {spec.name}"
+            + (f" WHERE fecha_movimiento {WINDOW}" if spec.name == "movements" else "")
+            for spec in ESTABLISHMENT_SOURCES
+        )),
         "latest_beneficiary": tidy("latest_beneficiary", ("cuit_establecimiento_host", "beneficiario_host")),
         "latest_legal_name": tidy("latest_legal_name", ("ccuit", "crazonsocial")),
         "installed_base": tidy("installed_base", INSTALLED_COLUMNS),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ from merchant_features.sources.tables import (
     PRINCIPAL_SOURCES,
     SourceSpec,
     ESTABLISHMENT_SOURCES,
+    load_all,
     load_table,
     narrow,
     write_features,
@@ -111,6 +113,20 @@ def whole(function: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFra
 # Sources and filters
 
 
+@whole
+def registry_load(t: Tables) -> DataFrame:
+    """Sources written as files and read back through the registry, with its filters and columns."""
+    spark = t["movements"].sparkSession
+    paths = {spec.name: _new_path(spark, spec.name) for spec in ESTABLISHMENT_SOURCES}
+    for name, path in paths.items():
+        t[name].write.parquet(path)
+    loaded = load_all(spark, paths, ESTABLISHMENT_SOURCES, DATE_REF)
+    counts = [
+        df.groupBy(F.lit(name).alias("tabla")).agg(F.count(F.lit(1)).alias("filas")) for name, df in loaded.items()
+    ]
+    return tidy(reduce(DataFrame.unionByName, counts))
+
+
 def source_window_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = SourceSpec(
         "orders",
@@ -421,6 +437,15 @@ def terminal_contract(t: Tables) -> DataFrame:
     )
 
 
+@query
+def contract_placeholders(t: Tables) -> DataFrame:
+    """The columns that the output has and no source fills; integers as double, as nullable ones always."""
+    contract = TE.terminal_contract(t["terminals"], t["contracts"], t["state_log"], ANCHORS.lastday)
+    kept = contract.select("nro_terminal", *TE.placeholder_types())
+    whole = [c for c, kind in kept.dtypes if kind in ("int", "bigint")]
+    return tidy(kept.withColumns({c: F.col(c).cast("double") for c in whole}))
+
+
 @query
 def latest_beneficiary(t: Tables) -> DataFrame:
     return tidy(TE.latest_beneficiary(t["establishment_history"]))
@@ -689,7 +714,9 @@ def model_table(t: Tables) -> DataFrame:
     principal = materialize(PP.principal_features(t, DATE_REF, shared=shared))
     establishments = PE.establishment_features(t, DATE_REF)
     target = PT.activation_target(t, DATE_REF, shared=shared)
-    return tidy(PM.model_table(principal, target, establishments), places=3)
+    path = _new_path(t["movements"].sparkSession, "model")
+    write_features(PM.model_table(principal, target, establishments), path)
+    return tidy(load_table(t["movements"].sparkSession, path), places=3)
 
 
 def queries() -> dict[str, Query]:

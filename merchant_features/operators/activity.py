@@ -354,13 +354,3 @@ def per_unit_measures(df: DataFrame, names: Sequence[str], unit: str) -> DataFra
             for n in names
         }
     )
-
-
-def sum_measures(df: DataFrame, key: str, names: Mapping[str, str]) -> DataFrame:
-    """Sum measures per key under new names."""
-    return df.groupBy(key).agg(*[F.sum(source).alias(name) for name, source in names.items()])
-
-
-def average_measures(df: DataFrame, key: str | Sequence[str], names: Mapping[str, str]) -> DataFrame:
-    keys = [key] if isinstance(key, str) else list(key)
-    return df.groupBy(*keys).agg(*[F.avg(source).alias(name) for name, source in names.items()])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,8 +48,9 @@ def add_nulls(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.withColumns({name: F.lit(None).cast(dtype) for name, dtype in types.items()})
 
 
-def fill_numeric(df: DataFrame, value: float = 0.0) -> DataFrame:
-    return df.fillna(value)
+def fill_numeric(df: DataFrame, value: float = 0.0, columns: Sequence[str] | None = None) -> DataFrame:
+    """Replace NULL in the numeric columns, or in those named."""
+    return df.fillna(value, subset=None if columns is None else list(columns))
 
 
 def _feature_column(field: T.StructField, strings_only: bool, null_int: int, null_string: str | None) -> Column:

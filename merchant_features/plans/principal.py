@@ -23,7 +23,7 @@ from merchant_features.operators.activity import (
     trailing_months_deflated,
 )
 from merchant_features.operators.address import latest_unified_addresses
-from merchant_features.operators.contracts import cast_to_schema
+from merchant_features.operators.contracts import cast_to_schema, fill_numeric
 from merchant_features.plans.shared import Shared, prepare_shared
 from merchant_features.sources.storage import materialize
 from merchant_features.sources.tables import PRINCIPAL_SOURCES, narrow
@@ -210,7 +210,5 @@ def principal_features(
     joined = universe.located.withColumnsRenamed({ESTABLISHMENT: U.REF, U.OWNER: U.OWNER_REF}).join(
         stats, U.REF
     )
-    typed = cast_to_schema(
-        joined, ATTRIBUTE_TYPES | MEASURE_TYPES, defaults=dict.fromkeys(MEASURE_TYPES, 0)
-    )
+    typed = cast_to_schema(fill_numeric(joined, columns=list(MEASURE_TYPES)), ATTRIBUTE_TYPES | MEASURE_TYPES)
     return with_period(typed.distinct(), date_ref)

@@ -81,6 +81,7 @@ def _terminal_filter(a: Anchors) -> Column:
     return P.valid_in_window("fecha_inicio", "fecha_fin", a.firstday, a.lastday, null_is_open=True)
 
 
+# Source tables with the columns that are read, as the inputs name them.
 AUTHORISATIONS = SourceSpec(
     "authorisations",
     (

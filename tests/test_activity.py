@@ -188,9 +188,3 @@ def test_terminals_and_per_unit_measures(frame):
     measured = counted.join(frame("k int, x int", (1, 7)), "k", "left")
     got = AC.per_unit_measures(measured, ["x"], "cant_term").select("k", F.col("x").cast("double"))
     assert values(got) == [(1, 3.5), (2, 0.0)]
-
-
-def test_sum_and_average(frame):
-    df = frame("k int, x double", (1, 1.0), (1, 2.0), (1, None), (2, None))
-    assert values(AC.sum_measures(df, "k", {"s": "x"})) == sorted([(1, 3.0), (2, None)], key=repr)
-    assert values(AC.average_measures(df, "k", {"a": "x"})) == sorted([(1, 1.5), (2, None)], key=repr)
