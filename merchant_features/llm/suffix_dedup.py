@@ -120,7 +120,8 @@ def anchors(raw: np.ndarray, bounds: np.ndarray, length: int = LENGTH, gram: int
     # a run of windows ends before the next edge, or where its document's windows end
     stop = np.flatnonzero(np.concatenate((edge, [True]))[1:] & inside | (inside & ~np.concatenate((inside[1:], [False])))) + 1
     at = anchor[first]
-    return h[at], at, first, stop
+    # the chosen hashes are the smallest ones: mixed again, they spread over all buckets and bitmap places
+    return W.mix(h[at] + C1), at, first, stop
 
 
 def anchor_hashes(texts: pa.Array, length: int, gram: int) -> Iterator[np.ndarray]:
