@@ -15,15 +15,18 @@ reaches a threshold. Equal sets are one class from the start. The steps:
 3. A list's leader is the class that has the n-gram at the first position: it
    has the fewest rare n-grams in front, as the origin of many near copies has.
    Each class of a list is compared with the leader first.
-4. Of the remaining pairs of a list those are skipped that are in one component
-   already, whose lengths differ too much, whose positions leave too little
-   room, or for which the known overlaps with the leader decide: the leader's
-   computed answers bound the overlap of two of its neighbours from both sides.
-   What is left is compared on the sets.
-
-The result names the component of every document and can name the links that
-were found; links between classes that a component joins already are not all
-computed, no component loses one.
+4. Of the remaining pairs of a list those are skipped whose lengths differ too
+   much, whose positions leave too little room, or for which the known overlaps
+   with the leader decide: the leader's computed answers bound the overlap of
+   two of its neighbours from both sides. What is left is compared on the sets.
+   Lists of more than ``LIST`` classes are cut into blocks, and every two blocks
+   are compared in one group, each set moved once per block and not per pair.
+
+The result names the component of every document, all links between classes
+and the number of documents each document is linked to; copies are counted by
+the sizes of their classes, not listed. Where components alone are asked for
+(``links=False``), pairs that are in one component already are skipped too; no
+component loses a link by that.
 
 Defined cases: null, empty or blank text is an empty set and linked with
 nothing. Rows with a null id take no part and have a null component. Rows of
@@ -47,6 +50,12 @@ from merchant_features.llm.occurrences import Occurrences, count, in_bitmap, slo
 from merchant_features.sources.storage import materialize
 
 ID_BITS = 23
+#: Longer index lists are compared block by block, with blocks of about so many classes and n-grams at most.
+LIST = 32
+BLOCK_SETS = 256
+BLOCK_GRAMS = 2 << 20
+#: Blocks hold classes of like size and position: sizes in steps of 2 %, positions in fiftieths of the size.
+STEP = 1.02
 
 
 def shingle_sets(texts: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -157,18 +166,117 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return materialize(joined.mapInArrow(counted, "a binary, b binary, overlap int"))
 
 
+def _counts(xs: list[np.ndarray], ys: list[np.ndarray], step: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of every x with every y."""
+    x, y = np.concatenate(xs), np.concatenate(ys)
+    of_x, of_y = (np.repeat(np.arange(len(v)), [len(t) for t in v]) for v in (xs, ys))
+    both = np.intersect1d(x, y)
+    total = np.zeros((len(xs), len(ys)), np.float64)
+    for low in range(0, len(both), step):
+        some = both[low : low + step]
+        sides = []
+        for tokens, owner, n in ((x, of_x, len(xs)), (y, of_y, len(ys))):
+            at = np.minimum(np.searchsorted(some, tokens), len(some) - 1)
+            inside = some[at] == tokens
+            side = np.zeros((n, len(some)), np.float32)
+            side[owner[inside], at[inside]] = 1
+            sides.append(side)
+        total += sides[0] @ sides[1].T
+    return total.astype(np.int64)
+
+
+def _block_links(members: DataFrame, sets: DataFrame, percent: int, links: bool) -> DataFrame:
+    """(a, b, overlap, crossing) of the linked pairs of long lists, written once.
+
+    ``members`` has token, digest, size, pos and component. A pair that shares
+    several lists is named in the first of them in the global order only.
+    """
+    own = members.groupBy("digest").agg(F.collect_list("token").alias("early"), F.collect_list("pos").alias("at"))
+    cell = [F.floor(F.log(STEP, F.col("size"))).cast("int").alias("s"), F.expr("int(pos * 50 div size)").alias("p")]
+    placed = members.select("*", *cell)
+    cells = placed.groupBy("token", "s", "p").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("size") / BLOCK_GRAMS)).cast("int").alias("parts"),
+        F.min("size").alias("least"), F.max("size").alias("most"), F.min("pos").alias("pos"),
+    )
+    cells = materialize(cells)
+    placed = placed.join(cells.select("token", "s", "p", "parts"), ["token", "s", "p"]).withColumn(
+        "part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int")
+    )
+
+    # every two blocks whose sizes may be near enough, once
+    reach = int(np.ceil(np.log(100 / percent) / np.log(STEP))) + 1
+    names = ["p", "parts", "least", "most", "pos"]
+    x = cells.select("token", "s", *[F.col(c).alias(f"{c}_a") for c in names])
+    x = x.withColumn("s_b", F.explode(F.sequence(F.col("s"), F.col("s") + reach))).withColumnRenamed("s", "s_a")
+    y = cells.select("token", F.col("s").alias("s_b"), *[F.col(c).alias(f"{c}_b") for c in names])
+    near = x.join(y, ["token", "s_b"]).where("s_a < s_b OR p_a <= p_b")
+    blocks = near.withColumn("part_a", F.explode(F.sequence(F.lit(0), F.col("parts_a") - 1))).withColumn(
+        "part_b", F.explode(F.sequence(F.lit(0), F.col("parts_b") - 1))
+    ).where("s_a < s_b OR p_a < p_b OR part_a <= part_b")
+    key = ["token", "s_a", "p_a", "part_a", "s_b", "p_b", "part_b"]
+    blocks = materialize(blocks.select(*key))
+    one = F.expr("s_a = s_b AND p_a = p_b AND part_a = part_b")
+    sides = []
+    for k, side in enumerate("ab"):
+        at = {f"{c}_{side}": c for c in ("s", "p", "part")}
+        wanted = blocks if k == 0 else blocks.where(~one)
+        keyed = placed.select("token", "digest", "size", "pos", "component", *[F.col(c).alias(n) for n, c in at.items()])
+        sides.append(wanted.join(keyed, ["token", *at]).select(*key, F.lit(k).alias("side"), "digest", "size", "pos", "component"))
+    rows = sides[0].unionByName(sides[1]).join(sets, "digest").join(own, "digest")
+
+    def compared(group: pa.Table) -> pa.Table:
+        side, size, pos = (group.column(c).to_numpy() for c in ("side", "size", "pos"))
+        digests, parts = group.column("digest").to_pylist(), group.column("component").to_pylist()
+        sets = [np.frombuffer(t.as_buffer(), np.uint64) for t in group.column("tokens")]
+        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        alone = not len(y)
+        if alone:
+            y = x
+        component = np.unique(np.array([c.hex() for c in parts]), return_inverse=True)[1]
+        most = np.minimum((size - pos)[x][:, None], (size - pos)[y][None, :]).astype(np.int64)
+        a, b = size[x][:, None].astype(np.int64), size[y][None, :].astype(np.int64)
+        tried = (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & ((100 + percent) * most >= percent * (a + b))
+        if alone:
+            tried &= np.arange(len(x))[:, None] < np.arange(len(y))[None, :]
+        crossing = component[x][:, None] != component[y][None, :]
+        if not links:
+            tried &= crossing
+        in_x, in_y = np.flatnonzero(tried.any(1)), np.flatnonzero(tried.any(0))
+        i = j = overlap = np.zeros(0, np.int64)
+        if len(in_x):
+            both = _counts([sets[k] for k in x[in_x]], [sets[k] for k in y[in_y]])
+            early = [np.array(t.as_py(), np.int64) for t in group.column("early")]
+            at = [np.array(t.as_py(), np.int64) for t in group.column("at")]
+            before = [t[u < q] for t, u, q in zip(early, at, pos, strict=True)]
+            first = _counts([before[k] for k in x[in_x]], [before[k] for k in y[in_y]]) == 0
+            held = tried[np.ix_(in_x, in_y)] & first & ((100 + percent) * both >= percent * (a[in_x] + b[:, in_y]))
+            k, m = np.nonzero(held)
+            i, j, overlap = x[in_x[k]], y[in_y[m]], both[k, m]
+        ordered = [(digests[k], digests[m]) if digests[k] < digests[m] else (digests[m], digests[k]) for k, m in zip(i, j, strict=True)]
+        return pa.table(
+            {
+                "a": pa.array([o[0] for o in ordered], pa.binary()), "b": pa.array([o[1] for o in ordered], pa.binary()),
+                "overlap": pa.array(overlap.astype(np.int32)), "crossing": pa.array(component[i] != component[j], pa.bool_()),
+            }
+        )
+
+    return materialize(rows.groupBy(*key).applyInArrow(compared, "a binary, b binary, overlap int, crossing boolean"))
+
+
 @dataclass
 class Joined:
-    """``members``: (id, tag, size, digest, component) of every row, tag the text's hash; ``links``: verified (a, b, overlap) of classes."""
+    """``members``: (id, tag, size, digest, component, n_links) of every row, tag the text's hash, n_links the other
+    documents it is linked to; ``links``: all linked (a, b, overlap) of classes, a < b, overlap null where the leader's
+    overlaps decide. Without links: no n_links, None."""
 
     members: DataFrame
-    links: DataFrame
+    links: DataFrame | None
 
 
 def similar_sets(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, percent: int = 90
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, percent: int = 90, links: bool = True
 ) -> Joined:
-    """Components of the documents under Jaccard similarity of at least ``percent`` / 100."""
+    """Links and components of the documents under Jaccard similarity of at least ``percent`` / 100."""
     text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
     texts = docs.select(F.col(id_col).alias("id"), text).select("id", F.xxhash64("text").alias("tag"), "text")
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -184,8 +292,8 @@ def similar_sets(
     lists = entries.groupBy("token").agg(
         F.min(F.struct("pos", "size", "digest")).alias("leader"), F.count(F.lit(1)).alias("length")
     )
-    lists = materialize(lists.where("length > 1").select("token", F.col("leader.*"))).select(
-        "token", F.col("digest").alias("leader"), F.col("size").alias("leader_size"), F.col("pos").alias("leader_pos")
+    lists = materialize(lists.where("length > 1").select("token", "length", F.col("leader.*"))).select(
+        "token", "length", F.col("digest").alias("leader"), F.col("size").alias("leader_size"), F.col("pos").alias("leader_pos")
     )
     listed = materialize(entries.join(lists, "token"))
     wanted = listed.select("digest").distinct().join(
@@ -200,7 +308,7 @@ def similar_sets(
         return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & ((100 + percent) * most >= percent * (a + b))
 
     with_leader = listed.where("digest <> leader").where(room("size", "pos", "leader_size", "leader_pos"))
-    sized = with_leader.groupBy(F.col("digest").alias("a"), F.col("leader").alias("b")).agg(
+    sized = with_leader.groupBy(F.least("digest", "leader").alias("a"), F.greatest("digest", "leader").alias("b")).agg(
         (F.first("size") + F.first("leader_size")).alias("sizes")
     )
     sized = materialize(sized)
@@ -209,17 +317,33 @@ def similar_sets(
     first_links = answers.where("linked").select("a", "b", "overlap")
     joined = components(first_links)
 
-    # what the leaders' answers leave open: lists that hold several components
+    # what the leaders' answers leave open: all other pairs, or lists that hold several components
     known = listed.join(joined.withColumnRenamed("node", "digest"), "digest", "left").withColumn(
         "component", F.coalesce("component", "digest")
     )
-    split = known.groupBy("token").agg((F.min("component") < F.max("component")).alias("open")).where("open").select("token")
-    overlaps = answers.select(F.col("a").alias("digest"), F.col("b").alias("leader"), "overlap")
-    opened = known.where("digest <> leader").join(split, "token").join(overlaps, ["digest", "leader"], "left")
+    if links:
+        known = known.where("length > 2")
+    else:
+        split = known.groupBy("token").agg((F.min("component") < F.max("component")).alias("open")).where("open")
+        known = known.join(split.select("token"), "token")
+    overlaps = answers.select(F.col("a").alias("digest"), F.col("b").alias("leader"), "overlap").union(
+        answers.select("b", "a", "overlap")
+    )
+    rest = materialize(
+        known.where("digest <> leader").select(
+            "token", "length", "leader", "digest", "size", "pos", "component", "leader_size"
+        )
+    )
+    in_blocks = _block_links(
+        rest.where(F.col("length") > LIST).select("token", "digest", "size", "pos", "component"), sets, percent, links
+    )
+    opened = rest.where(F.col("length") <= LIST).join(overlaps, ["digest", "leader"], "left")
     opened = materialize(opened.select("token", "digest", "size", "pos", "component", "leader_size", "overlap"))
     x = opened.select("token", "leader_size", *[F.col(c).alias(f"{c}_a") for c in ("digest", "size", "pos", "component", "overlap")])
     y = opened.select("token", *[F.col(c).alias(f"{c}_b") for c in ("digest", "size", "pos", "component", "overlap")])
-    pairs = x.join(y, "token").where("digest_a < digest_b AND component_a <> component_b")
+    pairs = x.join(y, "token").where("digest_a < digest_b")
+    if not links:
+        pairs = pairs.where("component_a <> component_b")
     pairs = pairs.where(room("size_a", "pos_a", "size_b", "pos_b"))
     both_sizes = F.col("size_a") + F.col("size_b")
     most = F.least("overlap_a", "overlap_b") + F.least(
@@ -228,40 +352,52 @@ def similar_sets(
     least = F.col("overlap_a") + F.col("overlap_b") - F.col("leader_size")
     pairs = pairs.where(F.coalesce((100 + percent) * most >= percent * both_sizes, F.lit(True)))
     derived = F.coalesce((100 + percent) * least >= percent * both_sizes, F.lit(False))
-    decided = materialize(
-        pairs.groupBy(F.col("digest_a").alias("a"), F.col("digest_b").alias("b")).agg(
-            F.max(derived).alias("derived"), F.first(both_sizes).alias("sizes")
-        )
+    decided = pairs.groupBy(F.col("digest_a").alias("a"), F.col("digest_b").alias("b")).agg(
+        F.max(derived).alias("derived"), F.first(both_sizes).alias("sizes"),
+        F.first(F.col("component_a") != F.col("component_b")).alias("crossing"),
     )
-    tried = answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    undecided = materialize(decided.where("NOT derived").join(tried, ["a", "b"], "left_anti"))
-    checked = _overlaps(undecided.select("a", "b"), sets).join(undecided.select("a", "b", "sizes"), ["a", "b"])
-    more = checked.where((100 + percent) * F.col("overlap") >= percent * F.col("sizes")).select("a", "b", "overlap")
-    links = first_links.unionByName(more).unionByName(
-        decided.where("derived").select("a", "b", F.lit(None).cast("int").alias("overlap"))
+    decided = materialize(decided.join(answers.select("a", "b"), ["a", "b"], "left_anti"))
+    undecided = decided.where("NOT derived")
+    checked = _overlaps(undecided.select("a", "b"), sets).join(undecided.select("a", "b", "sizes", "crossing"), ["a", "b"])
+    more = checked.where((100 + percent) * F.col("overlap") >= percent * F.col("sizes"))
+    columns = ["a", "b", "overlap", "crossing"]
+    found = first_links.withColumn("crossing", F.lit(True)).unionByName(more.select(*columns)).unionByName(
+        decided.where("derived").select("a", "b", F.lit(None).cast("int").alias("overlap"), "crossing")
     )
-    links = materialize(links)
-    joined = components(links)
+    found = found.unionByName(in_blocks).groupBy("a", "b").agg(
+        F.max("overlap").alias("overlap"), F.max("crossing").alias("crossing")
+    )
+    found = materialize(found)
+    joined = components(found.where("crossing"))
 
     # a component is named by its smallest document
-    classes = named.groupBy("digest").agg(F.min("id").alias("least")).join(
+    classes = named.groupBy("digest").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")).join(
         joined.withColumnRenamed("node", "digest"), "digest", "left"
     ).withColumn("component", F.coalesce("component", "digest"))
     classes = materialize(classes)
     names = classes.groupBy("component").agg(F.min("least").alias("name"))
-    of_class = classes.join(names, "component").select("digest", F.col("name").alias("component"))
-    members = rows.join(of_class, "digest", "left").select(
-        "id", "tag", "size", "digest",
-        F.when(F.col("digest").isNull() | F.col("id").isNull(), F.col("id")).otherwise(F.col("component")).alias("component"),
+    of_class = classes.join(names, "component").select("digest", F.col("name").alias("component"), "copies")
+    component = F.when(F.col("digest").isNull() | F.col("id").isNull(), F.col("id")).otherwise(F.col("component"))
+    columns = ["id", "tag", "size", "digest", component.alias("component")]
+    if not links:
+        return Joined(rows.join(of_class, "digest", "left").select(*columns), None)
+    ends = found.select(F.col("a").alias("digest"), F.col("b").alias("other")).union(found.select("b", "a"))
+    copies = classes.select(F.col("digest").alias("other"), "copies")
+    linked = ends.join(copies, "other").groupBy("digest").agg(F.sum("copies").alias("others"))
+    of_class = materialize(
+        of_class.join(linked, "digest", "left").select(
+            "digest", "component", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
+        )
     )
-    return Joined(members, links)
+    n_links = F.when(F.col("id").isNotNull(), F.coalesce("n_links", F.lit(0))).alias("n_links")
+    return Joined(rows.join(of_class, "digest", "left").select(*columns, n_links), found.select("a", "b", "overlap"))
 
 
 def keep_one(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80
 ) -> DataFrame:
     """The rows of ``docs`` that name their component, or have a null id; rows without words stay."""
-    members = similar_sets(docs, id_col, text_col, n, percent).members
+    members = similar_sets(docs, id_col, text_col, n, percent, links=False).members
     gone = materialize(members.where("id <> component").select("id", "tag").distinct())
     tag = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
     return docs.join(gone, (docs[id_col] == gone["id"]) & (tag == gone["tag"]), "left_anti")

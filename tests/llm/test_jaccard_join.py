@@ -89,6 +89,42 @@ def test_links_are_real(spark):
         assert 10 * len(x & y) >= 9 * len(x | y)
 
 
+def all_links(rows, n, percent):
+    """Linked pairs of distinct sets, and the number of other rows each row is linked to."""
+    sets = [shingles(t, n) for _, t in rows]
+    near = lambda x, y: bool(x) and 100 * len(x & y) >= percent * len(x | y)
+    distinct = list(dict.fromkeys(s for s in sets if s))
+    pairs = {frozenset((x, y)) for k, x in enumerate(distinct) for y in distinct[:k] if near(x, y)}
+    return pairs, sorted((i, sum(near(x, y) for y in sets) - bool(x)) for (i, _), x in zip(rows, sets, strict=True))
+
+
+@pytest.mark.parametrize("longest,block", [(32, 256), (2, 5)])
+def test_all_links_and_their_numbers(spark, monkeypatch, longest, block):
+    monkeypatch.setattr(J, "LIST", longest)
+    monkeypatch.setattr(J, "BLOCK_SETS", block)
+    rng = random.Random(21)
+    origin = [f"w{k}" for k in range(150)]
+    rows = family(9)
+    for k in range(40):
+        copy = list(origin)
+        for _ in range(1 + k % 3):
+            copy[rng.randrange(len(copy))] = f"own{k}x{rng.randrange(9)}"
+        rows.append((1000 + k, " ".join(copy)))
+    rows += [(2000, rows[-1][1]), (2001, rows[-1][1]), (2002, rows[3][1]), (2003, ""), (2004, None)]
+    pairs, numbers = all_links(rows, 3, 90)
+    joined = J.similar_sets(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), n=3, percent=90)
+    members = joined.members.collect()
+    sets = dict((i, shingles(t, 3)) for i, t in rows)
+    of_class = {bytes(r.digest): sets[r.id] for r in members if r.digest}
+    links = joined.links.collect()
+    assert len(links) == len(pairs) > 150
+    assert {frozenset((of_class[bytes(r.a)], of_class[bytes(r.b)])) for r in links} == pairs
+    assert sorted((r.id, r.n_links) for r in members) == numbers
+    assert sorted((r.id, r["size"], r.component) for r in members) == plain(rows, 3, 90)
+    alone = J.similar_sets(spark.createDataFrame(rows, "doc_id long, text string"), n=3, percent=90, links=False)
+    assert sorted((r.id, r["size"], r.component) for r in alone.members.collect()) == plain(rows, 3, 90)
+
+
 def test_one_of_each_group_stays(spark, docs, texts, nothing):
     left = J.keep_one(docs)
     assert left.columns == docs.columns
