@@ -5,7 +5,8 @@ notice of n characters may have k = n // ``CHARS_PER_EDIT`` edits. Cut into
 k + 1 pieces, one piece of any such occurrence is untouched: these exact seeds
 find the candidates, and in the window that a seed leaves for the notice the
 ``regex`` library's bounded-error matching confirms it and counts its edits.
-Seeds that stand near each other share a window.
+Seeds that stand near each other share a window; the best match of a window is
+taken first, then the parts left and right of it are searched again.
 
 Base phrases are found exactly, as consecutive words.
 
@@ -67,6 +68,19 @@ def _places(text: bytes, piece: bytes) -> Iterator[int]:
         at = text.find(piece, at + 1)
 
 
+def _matches(part: bytes, low: int, high: int, pattern) -> Iterator[tuple[int, int, int]]:
+    """(begin, end, edits) of the best match of a stretch, and of those left and right of it, in order."""
+    open_parts: list[tuple] = [(low, high)]
+    while open_parts:
+        at = open_parts.pop()
+        if len(at) == 3:
+            yield at
+            continue
+        m = pattern.search(part, *at)
+        if m is not None and m.end() > m.start():
+            open_parts += [(m.end(), at[1]), (m.start(), m.end(), sum(m.fuzzy_counts)), (at[0], m.start())]
+
+
 def notice_spans(text: bytes, notice: str) -> list[tuple[int, int, int]]:
     """(begin, end, edits) of the notice in ``text``, where zero bytes part documents."""
     edits = len(notice.encode()) // CHARS_PER_EDIT
@@ -85,10 +99,10 @@ def notice_spans(text: bytes, notice: str) -> list[tuple[int, int, int]]:
         # a window ends where its document does
         start = max(low, 0)
         for part in text[start:high].split(b"\0"):
-            for m in _pattern(notice, edits).finditer(part):
-                if m.end() > m.start() and start + m.start() >= end:
-                    end = start + m.end()
-                    spans.append((start + m.start(), end, sum(m.fuzzy_counts)))
+            for first, last, count in _matches(part, 0, len(part), _pattern(notice, edits)):
+                if start + first >= end:
+                    end = start + last
+                    spans.append((start + first, end, count))
             start += len(part) + 1
     return spans
 

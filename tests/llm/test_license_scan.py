@@ -50,6 +50,20 @@ def test_every_notice_within_its_edits_is_found():
             assert spans and spans[0][2] <= most, (inside, label)
 
 
+def test_notices_side_by_side_are_all_found():
+    cases = [
+        ("creative comons attribution or creative commons attribution", L.NOTICES[4][0], [1, 0]),
+        ("mozila public license mozilla public license", L.NOTICES[5][0], [1, 0]),
+        ("mozilla public license mozila public license mozilla publik license", L.NOTICES[5][0], [0, 1, 1]),
+    ]
+    for text, notice, edits in cases:
+        spans = L.notice_spans(b"\0" + text.encode() + b"\0", notice)
+        assert [e for _, _, e in spans] == edits
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+    many = " ".join(f"mozil{'l' * (k % 2)}a public license" for k in range(400))
+    assert len(L.notice_spans(b"\0" + many.encode() + b"\0", "mozilla public license")) == 400
+
+
 def test_far_texts_are_not_notices():
     assert L.notice_spans(b"\0released into the wild by many licence holders\0", "released under the mit license") == []
     # half of a notice in one document, half in the next
