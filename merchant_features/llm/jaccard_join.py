@@ -203,13 +203,16 @@ def _block_links(members: DataFrame, sets: DataFrame, percent: int, links: bool)
         "part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int")
     )
 
-    # every two blocks whose sizes may be near enough, once
+    # every two blocks with room for a link, once; the rooms of cells are exact where size and position are one
     reach = int(np.ceil(np.log(100 / percent) / np.log(STEP))) + 1
     names = ["p", "parts", "least", "most", "pos"]
     x = cells.select("token", "s", *[F.col(c).alias(f"{c}_a") for c in names])
     x = x.withColumn("s_b", F.explode(F.sequence(F.col("s"), F.col("s") + reach))).withColumnRenamed("s", "s_a")
     y = cells.select("token", F.col("s").alias("s_b"), *[F.col(c).alias(f"{c}_b") for c in names])
-    near = x.join(y, ["token", "s_b"]).where("s_a < s_b OR p_a <= p_b")
+    near = x.join(y, ["token", "s_b"]).where("s_a < s_b OR p_a <= p_b").where(
+        f"100 * most_a >= {percent} * least_b AND 100 * most_b >= {percent} * least_a"
+        f" AND {100 + percent} * least(most_a - pos_a, most_b - pos_b) >= {percent} * (least_a + least_b)"
+    )
     blocks = near.withColumn("part_a", F.explode(F.sequence(F.lit(0), F.col("parts_a") - 1))).withColumn(
         "part_b", F.explode(F.sequence(F.lit(0), F.col("parts_b") - 1))
     ).where("s_a < s_b OR p_a < p_b OR part_a <= part_b")

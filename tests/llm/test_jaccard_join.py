@@ -125,6 +125,27 @@ def test_all_links_and_their_numbers(spark, monkeypatch, longest, block):
     assert sorted((r.id, r["size"], r.component) for r in alone.members.collect()) == plain(rows, 3, 90)
 
 
+def test_a_list_without_room_forms_no_blocks(spark, monkeypatch):
+    written = {}
+
+    def recorded(df):
+        out = materialize(df)
+        written[tuple(out.columns)] = out.count()
+        return out
+
+    materialize = J.materialize
+    monkeypatch.setattr(J, "materialize", recorded)
+    digests = [bytes([k]) * 16 for k in range(50)]
+    members = [(7, d, 30, 3, d) for d in digests]
+    sets = [(d, np.arange(30, dtype=np.uint64).tobytes()) for d in digests]
+    found = J._block_links(
+        spark.createDataFrame(members, "token long, digest binary, size int, pos int, component binary"),
+        spark.createDataFrame(sets, "digest binary, tokens binary"), 90, True,
+    )
+    assert found.count() == 0
+    assert written["token", "s_a", "p_a", "part_a", "s_b", "p_b", "part_b"] == 0
+
+
 def test_one_of_each_group_stays(spark, docs, texts, nothing):
     left = J.keep_one(docs)
     assert left.columns == docs.columns
