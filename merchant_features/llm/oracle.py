@@ -96,9 +96,121 @@ SELECT d.page_id, octet_length(encode(d.body))::BIGINT AS payload_bytes, d.code
 FROM digest d JOIN first f USING (body)
 """
 
+FILTER_AUDIT = r"""
+WITH doc AS (
+    SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS part,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), label AS (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), least AS (
+    SELECT text, min(doc_id) AS doc_id FROM doc GROUP BY text
+), failed AS (
+    SELECT d.part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic,
+           (CASE WHEN len(d.words) < 200 THEN ['A'] ELSE [] END)
+           || (CASE WHEN 100 * len(list_distinct(d.words)) < 50 * len(d.words) THEN ['B'] ELSE [] END)
+           || (CASE WHEN 100 * length(regexp_replace(d.text, '[^A-Z]', '', 'g')) > 2 * length(d.text) THEN ['C'] ELSE [] END)
+           || (CASE WHEN regexp_matches(d.text, '[#$%&*|]') THEN ['D'] ELSE [] END)
+           || (CASE WHEN d.doc_id > f.doc_id THEN ['E'] ELSE [] END) AS fails
+    FROM doc d JOIN least f USING (text) LEFT JOIN label l ON l.doc_id = d.doc_id
+), counted AS (
+    SELECT part, fails, good, toxic, count(*) AS n FROM failed GROUP BY ALL
+), letter AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+), ordering AS (
+    SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+    FROM letter a, letter b, letter c, letter d, letter e
+    WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), place AS (
+    SELECT filter_order, s.step, filter_order[s.step] AS f, string_split(filter_order[:s.step - 1], '') AS earlier
+    FROM ordering, unnest(range(1, 6)) AS s(step)
+), seen AS (
+    SELECT c.part, p.filter_order, p.step, p.f, c.fails, c.n, c.good, c.toxic,
+           list_contains(c.fails, p.f) AS here, list_has_any(c.fails, p.earlier) AS gone
+    FROM counted c, place p
+), summed AS (
+    SELECT part, filter_order, step, f,
+           coalesce(sum(n) FILTER (NOT here AND NOT gone), 0)::BIGINT AS kept,
+           coalesce(sum(n) FILTER (here AND NOT gone), 0)::BIGINT AS removed,
+           coalesce(sum(n) FILTER (here AND gone), 0)::BIGINT AS redundant,
+           coalesce(sum(n) FILTER (here AND len(fails) = 1), 0)::BIGINT AS unique_fails,
+           coalesce(sum(n) FILTER (here AND NOT gone AND good), 0)::BIGINT AS good_lost,
+           coalesce(sum(n) FILTER (here AND NOT gone AND toxic), 0)::BIGINT AS toxic_lost
+    FROM seen GROUP BY ALL
+)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM summed
+"""
+
+_LETTERS = "regexp_extract_all(" + _LOWER + ", '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+SOURCE_DIVERGENCE = f"""
+WITH doc AS (
+    SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           {_LETTERS.format("coalesce(text, '')")} AS words
+    FROM documents
+), word AS (
+    SELECT k, lang, source, unnest(words) AS term FROM doc
+), kept AS (
+    SELECT lang, term, count(*) AS n FROM word GROUP BY lang, term HAVING count(DISTINCT k) >= 10
+), size AS (
+    SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang
+), found AS (
+    SELECT w.lang, w.source, w.term, count(*) AS n FROM word w JOIN kept t USING (lang, term) GROUP BY ALL
+), grp AS (
+    SELECT g.lang, g.source, coalesce(s.v, 0)::HUGEINT AS v,
+           coalesce((SELECT sum(n) FROM found f WHERE f.lang = g.lang AND f.source = g.source), 0)::HUGEINT AS total
+    FROM (SELECT DISTINCT lang, source FROM doc) g LEFT JOIN size s USING (lang)
+), share AS (
+    SELECT g.lang, g.source, t.term, coalesce(f.n, 0) AS n,
+           1 + (1000000000::HUGEINT * (coalesce(f.n, 0) + 2)) // (g.total + 2 * g.v) AS p,
+           1 + (1000000000::HUGEINT * (t.n + 2)) // (s.total + 2 * s.v) AS q
+    FROM grp g JOIN kept t USING (lang) JOIN size s USING (lang) LEFT JOIN found f ON f.lang = g.lang AND f.source = g.source AND f.term = t.term
+), pair AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+    FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), every_pair AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+    FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pair p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+), term AS (
+    SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value
+    FROM share WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+    FROM (FROM every_pair UNION ALL FROM term)
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+EMBEDDING_FOREST = """
+WITH RECURSIVE vec AS (
+    SELECT row_number() OVER () AS k, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), usable AS (
+    SELECT * FROM vec
+    WHERE vec_id IS NOT NULL AND len(v) > 0 AND len(list_filter(v, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(v, x -> x <> 0)) > 0
+), link AS (
+    SELECT a.k AS x, b.k AS y FROM usable a JOIN usable b ON a.k <> b.k AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reach AS (
+    SELECT k AS x, k AS y FROM vec UNION SELECT r.x, l.y FROM reach r JOIN link l ON l.x = r.y
+), component AS (
+    SELECT r.x AS k, min(v.vec_id) AS component_id FROM reach r JOIN vec v ON v.k = r.y GROUP BY r.x
+), counted AS (
+    SELECT x AS k, count(*) AS n FROM link GROUP BY x
+)
+SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.component_id, coalesce(v.vec_id = c.component_id, false) AS kept
+FROM vec v JOIN component c USING (k) LEFT JOIN counted n USING (k)
+"""
+
 STATEMENTS = {
     "op2_jaccard_join": JACCARD_JOIN,
     "op4_line_dedup": LINE_DEDUP,
     "op5_decontamination": DECONTAMINATION,
     "op10_warc_zip": WARC_ZIP,
+    "op11_filter_audit": FILTER_AUDIT,
+    "op12_source_divergence": SOURCE_DIVERGENCE,
+    "op13_embedding_forest": EMBEDDING_FOREST,
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchant_features.llm import decontamination, jaccard_join, language_id, license_scan, line_dedup, mixing, quality_rules, suffix_dedup, token_counts, warc_zip
+from merchant_features.llm import decontamination, embedding_forest, filter_audit, jaccard_join, language_id, license_scan, line_dedup, mixing, quality_rules, source_divergence, suffix_dedup, token_counts, warc_zip
 from merchant_features.llm.frames import table
 from merchant_features.llm.occurrences import rows_of
 from merchant_features.sources.storage import shared_dir
@@ -112,6 +112,22 @@ def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_files(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
+        F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -130,6 +146,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": op8_token_counts,
         "op9_language_id": op9_language_id,
         "op10_warc_zip": op10_warc_zip,
+        "op11_filter_audit": op11_filter_audit,
+        "op12_source_divergence": op12_source_divergence,
+        "op13_embedding_forest": op13_embedding_forest,
         "pipeline": pipeline,
     }
 

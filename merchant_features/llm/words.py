@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,30 +18,39 @@ SLICE_BYTES = 1 << 20
 SOLID = "solid"
 #: ASCII letters and digits, and everything beyond ASCII.
 ALNUM = "alnum"
+#: ASCII letters, and everything beyond ASCII.
+LETTERS = "letters"
+
+#: Tables made once per process. A plain dictionary: functions that use it are shipped by value with it,
+#: where a caching decorator would be looked up by the module's name.
+_made: dict[str, np.ndarray] = {}
 
 
-@lru_cache
 def _table(kind: str) -> np.ndarray:
-    inside = np.ones(256, bool)
-    if kind == SOLID:
-        inside[[0x20, *range(0x09, 0x0E)]] = False
-    else:
-        inside[:0x80] = False
-        for low, high in ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A)):
-            inside[low : high + 1] = True
-    return inside
+    if kind not in _made:
+        inside = np.ones(256, bool)
+        if kind == SOLID:
+            inside[[0x20, *range(0x09, 0x0E)]] = False
+        else:
+            inside[:0x80] = False
+            for low, high in ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A)):
+                inside[low : high + 1] = kind != LETTERS or low > 0x40
+        _made[kind] = inside
+    return _made[kind]
 
 
-@lru_cache
 def _lower() -> np.ndarray:
-    table = np.arange(256, dtype=np.uint8)
-    table[0x41:0x5B] += 0x20
-    return table
+    if "lower" not in _made:
+        table = np.arange(256, dtype=np.uint8)
+        table[0x41:0x5B] += 0x20
+        _made["lower"] = table
+    return _made["lower"]
 
 
-@lru_cache
 def _random() -> np.ndarray:
-    return np.random.Generator(np.random.PCG64(20)).integers(0, 2**64, size=256 * 256, dtype=np.uint64)
+    if "random" not in _made:
+        _made["random"] = np.random.Generator(np.random.PCG64(20)).integers(0, 2**64, size=256 * 256, dtype=np.uint64)
+    return _made["random"]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
