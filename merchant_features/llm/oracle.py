@@ -189,8 +189,8 @@ WITH RECURSIVE vec AS (
     SELECT row_number() OVER () AS k, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
 ), usable AS (
     SELECT * FROM vec
-    WHERE vec_id IS NOT NULL AND len(v) > 0 AND len(list_filter(v, x -> x IS NULL OR NOT isfinite(x))) = 0
-      AND len(list_filter(v, x -> x <> 0)) > 0
+    WHERE vec_id IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(v, lambda x: x <> 0)) > 0
 ), link AS (
     SELECT a.k AS x, b.k AS y FROM usable a JOIN usable b ON a.k <> b.k AND len(a.v) = len(b.v)
     WHERE list_cosine_similarity(a.v, b.v) >= 0.95
