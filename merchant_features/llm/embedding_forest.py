@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from merchant_features.llm.components import components
+from merchant_features.llm.groups import first_shared, reachable
 from merchant_features.sources.storage import materialize
 
 TREES = 10
@@ -275,34 +276,6 @@ def _leaves(classes: DataFrame, kind: str, threshold: float, trees: int, leaf: i
         placed = _split_again(placed, full, kind, leaf, threshold)
 
 
-def _labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest index reachable from each of ``n`` along the links i - j."""
-    label = np.arange(n)
-    while len(i):
-        new = label.copy()
-        np.minimum.at(new, i, label[j])
-        np.minimum.at(new, j, label[i])
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    return label
-
-
-def _first_here(leaf: int, leaves: list[np.ndarray], i: np.ndarray, j: np.ndarray, step: int = 8192) -> np.ndarray:
-    """Which pairs of rows hold no common leaf before this one."""
-    early = [own[own < leaf] for own in leaves]
-    codes = np.unique(np.concatenate(early), return_inverse=True)[1].ravel()
-    width = max([1, *map(len, early)])
-    held = np.full((len(early), width), -1, np.int32)
-    held[np.repeat(np.arange(len(early)), [len(e) for e in early]), np.concatenate([np.arange(len(e)) for e in early])] = codes
-    keep = np.ones(len(i), bool)
-    for low in range(0, len(i), step):
-        a, b = held[i[low : low + step]], held[j[low : low + step]]
-        keep[low : low + step] = ~((a[:, :, None] == b[:, None, :]) & (a >= 0)[:, :, None]).any((1, 2))
-    return keep
-
-
 def _compared(leaves: DataFrame, copies: DataFrame, kind: str, threshold: float) -> DataFrame:
     """(cls, others, root): documents linked to a class in a leaf, and the class it hangs on there; written once."""
     key = F.xxhash64("dim", "tree", "node")
@@ -333,11 +306,11 @@ def _compared(leaves: DataFrame, copies: DataFrame, kind: str, threshold: float)
         exact = (raw[i] * raw[j]).sum(1) / (np.sqrt((raw[i] ** 2).sum(1)) * np.sqrt((raw[j] ** 2).sum(1))) if len(i) else np.zeros(0)
         i, j = i[exact >= threshold], j[exact >= threshold]
         if len(i):
-            first = _first_here(leaf, [np.array(v.as_py(), np.int64) for v in group.column("leaves")], i, j)
+            first = first_shared(leaf, group.column("leaves").combine_chunks(), i, j)
             i, j = i[first], j[first]
         n, copies = len(part), group.column("copies").to_numpy()
         others = np.bincount(i, copies[j], n) + np.bincount(j, copies[i], n)
-        label = _labels(n, i, j)
+        label = reachable(n, i, j)
         told = np.flatnonzero(others > 0)
         classes = group.column("cls").combine_chunks()
         return pa.table(

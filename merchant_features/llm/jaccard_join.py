@@ -12,21 +12,21 @@ reaches a threshold. Equal sets are one class from the start. The steps:
 2. Each class puts the first |x| - ceil(t|x|) + 1 n-grams of its order into the
    index; two linked classes share one of these. N-grams that occur once open no
    list, so most documents enter nothing.
-3. A list's leader is the class that has the n-gram at the first position: it
-   has the fewest rare n-grams in front, as the origin of many near copies has.
-   Each class of a list is compared with the leader first.
-4. Of the remaining pairs of a list those are skipped whose lengths differ too
-   much, whose positions leave too little room, or for which the known overlaps
-   with the leader decide: the leader's computed answers bound the overlap of
-   two of its neighbours from both sides. What is left is compared on the sets.
-   Lists of more than ``LIST`` classes are cut into blocks, and every two blocks
-   are compared in one group, each set moved once per block and not per pair.
-
-The result names the component of every document, all links between classes
-and the number of documents each document is linked to; copies are counted by
-the sizes of their classes, not listed. Where components alone are asked for
-(``links=False``), pairs that are in one component already are skipped too; no
-component loses a link by that.
+3. An index list is cut into blocks by the sizes of its sets. A block knows its
+   best position; an entry is skipped where no block of like sizes leaves room
+   for the overlap that the threshold asks for.
+4. A list's leader is the entry at the first position: it has the fewest rare
+   n-grams in front, as the origin of many near copies has. Lists with one
+   leader L are one group, and a set x is in it once, by its difference to the
+   leader: L - x and x - L. These are the leader's answers, and they give the
+   answers of all others without comparing the sets again:
+   ``|x & y| = |L| - |L - x| - |L - y| + |(L - x) & (L - y)| + |(x - L) & (y - L)|``.
+   Near copies differ little, so little is moved and compared. Groups of more
+   than ``BLOCK_SETS`` sets are compared block by block.
+5. A pair that is in several groups counts in the first of them. What leaves a
+   task are each class's number of linked documents (copies counted by the sizes
+   of their classes) and one edge per class that joins it to the group; the
+   linked pairs themselves are returned only where they are asked for.
 
 Defined cases: null, empty or blank text is an empty set and linked with
 nothing. Rows with a null id take no part and have a null component. Rows of
@@ -41,20 +41,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchant_features.llm import words as W
 from merchant_features.llm.components import components
+from merchant_features.llm.frames import row_columns, row_struct
+from merchant_features.llm.groups import first_shared, reachable
 from merchant_features.llm.occurrences import Occurrences, count, in_bitmap, slot_bitmap
 from merchant_features.sources.storage import materialize
 
 ID_BITS = 23
-#: Longer index lists are compared block by block, with blocks of about so many classes and n-grams at most.
-LIST = 32
-BLOCK_SETS = 256
-BLOCK_GRAMS = 2 << 20
-#: Blocks hold classes of like size and position: sizes in steps of 2 %, positions in fiftieths of the size.
+#: Larger groups are compared block by block, with blocks of about so many classes and n-grams of differences.
+BLOCK_SETS = 512
+BLOCK_GRAMS = 1 << 20
+#: Blocks hold classes of like size, in steps of 2 %.
 STEP = 1.02
 
 
@@ -147,31 +148,64 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return materialize(sets.join(wanted.select("digest").distinct(), "digest").dropDuplicates(["digest"]))
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, overlap) of pairs of classes, written once."""
-    a = sets.select(F.col("digest").alias("a"), F.col("tokens").alias("x"))
-    b = sets.select(F.col("digest").alias("b"), F.col("tokens").alias("y"))
+def _size_step() -> Column:
+    return F.floor(F.log(STEP, F.col("size"))).cast("int")
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _reach(percent: int) -> int:
+    """Steps of size that two linked sets can be apart."""
+    return int(np.ceil(np.log(100 / percent) / np.log(STEP))) + 1
+
+
+def _with_room(entries: DataFrame, percent: int) -> DataFrame:
+    """Index entries that another entry of their list may link to, by sizes and positions of the list's blocks."""
+    blocks = entries.groupBy("token", _size_step().alias("step")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("size").alias("least"), F.max(F.col("size") - F.col("pos")).alias("best")
+    )
+    near = Window.partitionBy("token").orderBy("step").rangeBetween(-_reach(percent), _reach(percent))
+    seen = blocks.select(
+        "token", "step", F.sum("n").over(near).alias("n_near"), F.min("least").over(near).alias("least"),
+        F.max("best").over(near).alias("best"),
+    ).where("n_near > 1")
+    room = F.least(F.col("size") - F.col("pos"), F.col("best")) * (100 + percent) >= percent * (F.col("size") + F.col("least"))
+    found = entries.withColumn("step", _size_step()).join(seen, ["token", "step"]).where(room)
+    return found.select("token", "digest", "size", "pos")
+
+
+def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(leader, digest, size, leader_size, fewer, more): what each class of a group lacks and has beside its leader."""
+    x = sets.select("digest", F.col("tokens").alias("x"))
+    y = sets.select(F.col("digest").alias("leader"), F.col("tokens").alias("y"))
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = [
-                len(np.intersect1d(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), True))
-                for x, y in zip(batch.column(2), batch.column(3), strict=True)
-            ]
+            sizes, fewer, more = [], [], []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                own, of_leader = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                sizes.append((len(own), len(of_leader)))
+                fewer.append(np.setdiff1d(of_leader, own, True).tobytes())
+                more.append(np.setdiff1d(own, of_leader, True).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(counts, pa.int32())], ["a", "b", "overlap"]
+                [
+                    batch.column(0), batch.column(1), pa.array([s[0] for s in sizes], pa.int32()),
+                    pa.array([s[1] for s in sizes], pa.int32()), pa.array(fewer, pa.binary()), pa.array(more, pa.binary()),
+                ],
+                ["leader", "digest", "size", "leader_size", "fewer", "more"],
             )
 
-    joined = pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y")
-    return materialize(joined.mapInArrow(counted, "a binary, b binary, overlap int"))
+    joined = pairs.join(x, "digest").join(y, "leader").select("leader", "digest", "x", "y")
+    schema = "leader binary, digest binary, size int, leader_size int, fewer binary, more binary"
+    return materialize(joined.mapInArrow(compared, schema))
 
 
 def _counts(xs: list[np.ndarray], ys: list[np.ndarray], step: int = 4096) -> np.ndarray:
     """Sizes of the intersections of every x with every y."""
     x, y = np.concatenate(xs), np.concatenate(ys)
-    of_x, of_y = (np.repeat(np.arange(len(v)), [len(t) for t in v]) for v in (xs, ys))
-    both = np.intersect1d(x, y)
     total = np.zeros((len(xs), len(ys)), np.float64)
+    both = np.intersect1d(x, y)
+    if not len(both):
+        return total.astype(np.int64)
+    of_x, of_y = (np.repeat(np.arange(len(v)), [len(t) for t in v]) for v in (xs, ys))
     for low in range(0, len(both), step):
         some = both[low : low + step]
         sides = []
@@ -185,92 +219,103 @@ def _counts(xs: list[np.ndarray], ys: list[np.ndarray], step: int = 4096) -> np.
     return total.astype(np.int64)
 
 
-def _block_links(members: DataFrame, sets: DataFrame, percent: int, links: bool) -> DataFrame:
-    """(a, b, overlap, crossing) of the linked pairs of long lists, written once.
-
-    ``members`` has token, digest, size, pos and component. A pair that shares
-    several lists is named in the first of them in the global order only.
-    """
-    own = members.groupBy("digest").agg(F.collect_list("token").alias("early"), F.collect_list("pos").alias("at"))
-    cell = [F.floor(F.log(STEP, F.col("size"))).cast("int").alias("s"), F.expr("int(pos * 50 div size)").alias("p")]
-    placed = members.select("*", *cell)
-    cells = placed.groupBy("token", "s", "p").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("size") / BLOCK_GRAMS)).cast("int").alias("parts"),
-        F.min("size").alias("least"), F.max("size").alias("most"), F.min("pos").alias("pos"),
-    )
-    cells = materialize(cells)
-    placed = placed.join(cells.select("token", "s", "p", "parts"), ["token", "s", "p"]).withColumn(
-        "part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int")
+def _blocks(members: DataFrame, percent: int) -> DataFrame:
+    """``members`` of the groups, each row in every pair of blocks that it is compared in (low, high, side)."""
+    sizes = members.groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("fewer") + F.length("more")).alias("grams"))
+    large = (F.col("n") > BLOCK_SETS) | (F.col("grams") > 8 * BLOCK_GRAMS)
+    sizes = materialize(sizes.where("n > 1").select("leader", large.alias("large")))
+    stepped = members.join(sizes, "leader").withColumn("step", F.when(F.col("large"), _size_step()).otherwise(-1))
+    cells = materialize(
+        stepped.groupBy("leader", "step").agg(
+            F.greatest(
+                F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum(F.length("fewer") + F.length("more")) / (8 * BLOCK_GRAMS))
+            ).cast("int").alias("parts"),
+            F.min("size").alias("least"), F.max("size").alias("most"),
+        )
     )
-
-    # every two blocks with room for a link, once; the rooms of cells are exact where size and position are one
-    reach = int(np.ceil(np.log(100 / percent) / np.log(STEP))) + 1
-    names = ["p", "parts", "least", "most", "pos"]
-    x = cells.select("token", "s", *[F.col(c).alias(f"{c}_a") for c in names])
-    x = x.withColumn("s_b", F.explode(F.sequence(F.col("s"), F.col("s") + reach))).withColumnRenamed("s", "s_a")
-    y = cells.select("token", F.col("s").alias("s_b"), *[F.col(c).alias(f"{c}_b") for c in names])
-    near = x.join(y, ["token", "s_b"]).where("s_a < s_b OR p_a <= p_b").where(
+    x = cells.select("leader", *[F.col(c).alias(f"{c}_a") for c in ("step", "parts", "least", "most")])
+    x = x.withColumn("step_b", F.explode(F.sequence("step_a", F.when(F.col("step_a") < 0, -1).otherwise(F.col("step_a") + _reach(percent)))))
+    y = cells.select("leader", *[F.col(c).alias(f"{c}_b") for c in ("step", "parts", "least", "most")])
+    near = x.join(y, ["leader", "step_b"]).where(
         f"100 * most_a >= {percent} * least_b AND 100 * most_b >= {percent} * least_a"
-        f" AND {100 + percent} * least(most_a - pos_a, most_b - pos_b) >= {percent} * (least_a + least_b)"
     )
     blocks = near.withColumn("part_a", F.explode(F.sequence(F.lit(0), F.col("parts_a") - 1))).withColumn(
         "part_b", F.explode(F.sequence(F.lit(0), F.col("parts_b") - 1))
-    ).where("s_a < s_b OR p_a < p_b OR part_a <= part_b")
-    key = ["token", "s_a", "p_a", "part_a", "s_b", "p_b", "part_b"]
+    ).where("step_a < step_b OR part_a <= part_b")
+    key = ["leader", "step_a", "part_a", "step_b", "part_b"]
     blocks = materialize(blocks.select(*key))
-    one = F.expr("s_a = s_b AND p_a = p_b AND part_a = part_b")
+    placed = stepped.join(cells.select("leader", "step", "parts"), ["leader", "step"]).withColumn(
+        "part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int")
+    )
     sides = []
-    for k, side in enumerate("ab"):
-        at = {f"{c}_{side}": c for c in ("s", "p", "part")}
-        wanted = blocks if k == 0 else blocks.where(~one)
-        keyed = placed.select("token", "digest", "size", "pos", "component", *[F.col(c).alias(n) for n, c in at.items()])
-        sides.append(wanted.join(keyed, ["token", *at]).select(*key, F.lit(k).alias("side"), "digest", "size", "pos", "component"))
-    rows = sides[0].unionByName(sides[1]).join(sets, "digest").join(own, "digest")
-
-    def compared(group: pa.Table) -> pa.Table:
-        side, size, pos = (group.column(c).to_numpy() for c in ("side", "size", "pos"))
-        digests, parts = group.column("digest").to_pylist(), group.column("component").to_pylist()
-        sets = [np.frombuffer(t.as_buffer(), np.uint64) for t in group.column("tokens")]
-        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    for side, wanted in (("a", blocks), ("b", blocks.where("step_a < step_b OR part_a < part_b"))):
+        keyed = placed.withColumnsRenamed({"step": f"step_{side}", "part": f"part_{side}"}).drop("parts", "large")
+        joined = wanted.join(keyed, ["leader", f"step_{side}", f"part_{side}"])
+        sides.append(joined.withColumn("second", F.lit(side == "b")))
+    return sides[0].unionByName(sides[1])
+
+
+def _linked(blocks: DataFrame, percent: int, listed: bool) -> DataFrame:
+    """Written once: (digest, others, root) of the classes linked in a block, or all linked (a, b, overlap)."""
+
+    def compare(group: pa.Table) -> pa.Table:
+        second, size = group.column("second").to_numpy(), group.column("size").to_numpy().astype(np.int64)
+        leader_size = group.column("leader_size")[0].as_py()
+        fewer, more = (
+            [np.frombuffer(t.as_buffer(), np.uint64) for t in group.column(c)] for c in ("fewer", "more")
+        )
+        x, y = np.flatnonzero(~second), np.flatnonzero(second)
         alone = not len(y)
         if alone:
             y = x
-        component = np.unique(np.array([c.hex() for c in parts]), return_inverse=True)[1]
-        most = np.minimum((size - pos)[x][:, None], (size - pos)[y][None, :]).astype(np.int64)
-        a, b = size[x][:, None].astype(np.int64), size[y][None, :].astype(np.int64)
-        tried = (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & ((100 + percent) * most >= percent * (a + b))
+        lacks = np.array([len(t) for t in fewer], np.int64)
+        # the overlap is at least what the leader leaves to both, and grows by what they lack or have in common
+        base = leader_size - lacks[x][:, None] - lacks[y][None, :]
+        extra = size - (leader_size - lacks)
+        most = base + np.minimum(lacks[x][:, None], lacks[y][None, :]) + np.minimum(extra[x][:, None], extra[y][None, :])
+        total = size[x][:, None] + size[y][None, :]
+        tried = (100 + percent) * most >= percent * total
         if alone:
             tried &= np.arange(len(x))[:, None] < np.arange(len(y))[None, :]
-        crossing = component[x][:, None] != component[y][None, :]
-        if not links:
-            tried &= crossing
         in_x, in_y = np.flatnonzero(tried.any(1)), np.flatnonzero(tried.any(0))
         i = j = overlap = np.zeros(0, np.int64)
         if len(in_x):
-            both = _counts([sets[k] for k in x[in_x]], [sets[k] for k in y[in_y]])
-            early = [np.array(t.as_py(), np.int64) for t in group.column("early")]
-            at = [np.array(t.as_py(), np.int64) for t in group.column("at")]
-            before = [t[u < q] for t, u, q in zip(early, at, pos, strict=True)]
-            first = _counts([before[k] for k in x[in_x]], [before[k] for k in y[in_y]]) == 0
-            held = tried[np.ix_(in_x, in_y)] & first & ((100 + percent) * both >= percent * (a[in_x] + b[:, in_y]))
+            both = base[np.ix_(in_x, in_y)]
+            for own in (fewer, more):
+                both = both + _counts([own[k] for k in x[in_x]], [own[k] for k in y[in_y]])
+            held = tried[np.ix_(in_x, in_y)] & ((100 + percent) * both >= percent * total[np.ix_(in_x, in_y)])
             k, m = np.nonzero(held)
             i, j, overlap = x[in_x[k]], y[in_y[m]], both[k, m]
-        ordered = [(digests[k], digests[m]) if digests[k] < digests[m] else (digests[m], digests[k]) for k, m in zip(i, j, strict=True)]
+        if len(i):
+            first = first_shared(group.column("group_key")[0].as_py(), group.column("groups").combine_chunks(), i, j)
+            i, j, overlap = i[first], j[first], overlap[first]
+        digests = group.column("digest").combine_chunks()
+        if listed:
+            names = digests.to_pylist()
+            swap = np.array([names[a] > names[b] for a, b in zip(i, j, strict=True)], bool)
+            a, b = np.where(swap, j, i), np.where(swap, i, j)
+            return pa.table(
+                {"a": digests.take(pa.array(a)), "b": digests.take(pa.array(b)), "overlap": pa.array(overlap.astype(np.int32))}
+            )
+        copies, n = group.column("copies").to_numpy(), len(size)
+        others = np.bincount(i, copies[j], n) + np.bincount(j, copies[i], n)
+        told = np.flatnonzero(others > 0)
+        root = reachable(n, i, j)
         return pa.table(
             {
-                "a": pa.array([o[0] for o in ordered], pa.binary()), "b": pa.array([o[1] for o in ordered], pa.binary()),
-                "overlap": pa.array(overlap.astype(np.int32)), "crossing": pa.array(component[i] != component[j], pa.bool_()),
+                "digest": digests.take(pa.array(told)), "others": pa.array(others[told].astype(np.int64)),
+                "root": digests.take(pa.array(root[told])),
             }
         )
 
-    return materialize(rows.groupBy(*key).applyInArrow(compared, "a binary, b binary, overlap int, crossing boolean"))
+    schema = "a binary, b binary, overlap int" if listed else "digest binary, others bigint, root binary"
+    return materialize(blocks.groupBy("leader", "step_a", "part_a", "step_b", "part_b").applyInArrow(compare, schema))
 
 
 @dataclass
 class Joined:
     """``members``: (id, tag, size, digest, component, n_links) of every row, tag the text's hash, n_links the other
-    documents it is linked to; ``links``: all linked (a, b, overlap) of classes, a < b, overlap null where the leader's
-    overlaps decide. Without links: no n_links, None."""
+    documents it is linked to; ``links``: all linked (a, b, overlap) of classes, a < b, if asked for, else None."""
 
     members: DataFrame
     links: DataFrame | None
@@ -279,128 +324,73 @@ class Joined:
 def similar_sets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, percent: int = 90, links: bool = True
 ) -> Joined:
-    """Links and components of the documents under Jaccard similarity of at least ``percent`` / 100."""
+    """Components and numbers of links of the documents under Jaccard similarity of at least ``percent`` / 100.
+
+    ``links`` names the linked pairs of classes as well, which grow with the square of a group.
+    """
     text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
     texts = docs.select(F.col(id_col).alias("id"), text).select("id", F.xxhash64("text").alias("tag"), "text")
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     occurrences = count(texts, lambda column: (t for _, t in shingle_sets(column, n)), n_bytes / 7)
     sent = docs.sparkSession.sparkContext.broadcast(occurrences)
-    both = materialize(_indexed(texts, sent, n, percent, dict(texts.dtypes)["id"]))
+    id_type = texts.schema["id"].dataType.simpleString()
+    both = materialize(_indexed(texts, sent, n, percent, id_type))
     rows = both.where("token IS NULL").select("id", "tag", "size", "digest")
-    entries = both.where("token IS NOT NULL").select("token", "digest", "size", "pos").distinct()
     named = rows.where("id IS NOT NULL AND digest IS NOT NULL")
+    classes = materialize(named.groupBy("digest").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")))
 
-    # lists with two classes or more, and their leaders
-    entries = materialize(entries)
+    entries = materialize(both.where("token IS NOT NULL").select("token", "digest", "size", "pos").distinct())
+    entries = materialize(_with_room(entries.join(classes.select("digest"), "digest", "left_semi"), percent))
     lists = entries.groupBy("token").agg(
-        F.min(F.struct("pos", "size", "digest")).alias("leader"), F.count(F.lit(1)).alias("length")
-    )
-    lists = materialize(lists.where("length > 1").select("token", "length", F.col("leader.*"))).select(
-        "token", "length", F.col("digest").alias("leader"), F.col("size").alias("leader_size"), F.col("pos").alias("leader_pos")
-    )
-    listed = materialize(entries.join(lists, "token"))
-    wanted = listed.select("digest").distinct().join(
-        named.groupBy("digest").agg(F.min("id").alias("id")), "digest"
+        F.min(F.struct("pos", "size", "digest"))["digest"].alias("leader"), F.count(F.lit(1)).alias("length")
     )
-    sets = _sets(texts, wanted, n)
-
-    def room(size_a: str, pos_a: str, size_b: str, pos_b: str):
-        """Lengths and positions allow the overlap that the threshold asks for."""
-        a, b = F.col(size_a), F.col(size_b)
-        most = F.least(a - F.col(pos_a), b - F.col(pos_b))
-        return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & ((100 + percent) * most >= percent * (a + b))
-
-    with_leader = listed.where("digest <> leader").where(room("size", "pos", "leader_size", "leader_pos"))
-    sized = with_leader.groupBy(F.least("digest", "leader").alias("a"), F.greatest("digest", "leader").alias("b")).agg(
-        (F.first("size") + F.first("leader_size")).alias("sizes")
-    )
-    sized = materialize(sized)
-    answers = _overlaps(sized.select("a", "b"), sets).join(sized, ["a", "b"])
-    answers = materialize(answers.withColumn("linked", (100 + percent) * F.col("overlap") >= percent * F.col("sizes")))
-    first_links = answers.where("linked").select("a", "b", "overlap")
-    joined = components(first_links)
-
-    # what the leaders' answers leave open: all other pairs, or lists that hold several components
-    known = listed.join(joined.withColumnRenamed("node", "digest"), "digest", "left").withColumn(
-        "component", F.coalesce("component", "digest")
-    )
-    if links:
-        known = known.where("length > 2")
-    else:
-        split = known.groupBy("token").agg((F.min("component") < F.max("component")).alias("open")).where("open")
-        known = known.join(split.select("token"), "token")
-    overlaps = answers.select(F.col("a").alias("digest"), F.col("b").alias("leader"), "overlap").union(
-        answers.select("b", "a", "overlap")
-    )
-    rest = materialize(
-        known.where("digest <> leader").select(
-            "token", "length", "leader", "digest", "size", "pos", "component", "leader_size"
-        )
-    )
-    in_blocks = _block_links(
-        rest.where(F.col("length") > LIST).select("token", "digest", "size", "pos", "component"), sets, percent, links
-    )
-    opened = rest.where(F.col("length") <= LIST).join(overlaps, ["digest", "leader"], "left")
-    opened = materialize(opened.select("token", "digest", "size", "pos", "component", "leader_size", "overlap"))
-    x = opened.select("token", "leader_size", *[F.col(c).alias(f"{c}_a") for c in ("digest", "size", "pos", "component", "overlap")])
-    y = opened.select("token", *[F.col(c).alias(f"{c}_b") for c in ("digest", "size", "pos", "component", "overlap")])
-    pairs = x.join(y, "token").where("digest_a < digest_b")
-    if not links:
-        pairs = pairs.where("component_a <> component_b")
-    pairs = pairs.where(room("size_a", "pos_a", "size_b", "pos_b"))
-    both_sizes = F.col("size_a") + F.col("size_b")
-    most = F.least("overlap_a", "overlap_b") + F.least(
-        F.col("size_a") - F.col("overlap_a"), F.col("size_b") - F.col("overlap_b")
-    )
-    least = F.col("overlap_a") + F.col("overlap_b") - F.col("leader_size")
-    pairs = pairs.where(F.coalesce((100 + percent) * most >= percent * both_sizes, F.lit(True)))
-    derived = F.coalesce((100 + percent) * least >= percent * both_sizes, F.lit(False))
-    decided = pairs.groupBy(F.col("digest_a").alias("a"), F.col("digest_b").alias("b")).agg(
-        F.max(derived).alias("derived"), F.first(both_sizes).alias("sizes"),
-        F.first(F.col("component_a") != F.col("component_b")).alias("crossing"),
-    )
-    decided = materialize(decided.join(answers.select("a", "b"), ["a", "b"], "left_anti"))
-    undecided = decided.where("NOT derived")
-    checked = _overlaps(undecided.select("a", "b"), sets).join(undecided.select("a", "b", "sizes", "crossing"), ["a", "b"])
-    more = checked.where((100 + percent) * F.col("overlap") >= percent * F.col("sizes"))
-    columns = ["a", "b", "overlap", "crossing"]
-    found = first_links.withColumn("crossing", F.lit(True)).unionByName(more.select(*columns)).unionByName(
-        decided.where("derived").select("a", "b", F.lit(None).cast("int").alias("overlap"), "crossing")
-    )
-    found = found.unionByName(in_blocks).groupBy("a", "b").agg(
-        F.max("overlap").alias("overlap"), F.max("crossing").alias("crossing")
-    )
-    found = materialize(found)
-    joined = components(found.where("crossing"))
+    grouped = materialize(entries.join(lists.where("length > 1"), "token").select("leader", "digest").distinct())
+    wanted = grouped.select("digest").distinct().join(classes.select("digest", F.col("least").alias("id")), "digest")
+    members = _differences(grouped, _sets(texts, wanted, n))
+
+    group_key = F.xxhash64("leader")
+    groups = grouped.groupBy("digest").agg(F.sort_array(F.collect_set(group_key)).alias("groups"))
+    known = materialize(groups.join(classes.select("digest", "copies"), "digest"))
+    blocks = _blocks(members, percent).join(known, "digest").withColumn("group_key", group_key)
+    told = _linked(blocks, percent, False)
+    others = told.groupBy("digest").agg(F.sum("others").alias("others"))
+    joined = components(told.select(F.col("digest").alias("a"), F.col("root").alias("b")))
 
     # a component is named by its smallest document
-    classes = named.groupBy("digest").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")).join(
-        joined.withColumnRenamed("node", "digest"), "digest", "left"
-    ).withColumn("component", F.coalesce("component", "digest"))
-    classes = materialize(classes)
-    names = classes.groupBy("component").agg(F.min("least").alias("name"))
-    of_class = classes.join(names, "component").select("digest", F.col("name").alias("component"), "copies")
-    component = F.when(F.col("digest").isNull() | F.col("id").isNull(), F.col("id")).otherwise(F.col("component"))
-    columns = ["id", "tag", "size", "digest", component.alias("component")]
-    if not links:
-        return Joined(rows.join(of_class, "digest", "left").select(*columns), None)
-    ends = found.select(F.col("a").alias("digest"), F.col("b").alias("other")).union(found.select("b", "a"))
-    copies = classes.select(F.col("digest").alias("other"), "copies")
-    linked = ends.join(copies, "other").groupBy("digest").agg(F.sum("copies").alias("others"))
     of_class = materialize(
-        of_class.join(linked, "digest", "left").select(
-            "digest", "component", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
-        )
+        classes.join(others, "digest", "left")
+        .join(joined.withColumnsRenamed({"node": "digest", "component": "root"}), "digest", "left")
+        .withColumn("root", F.coalesce("root", "digest"))
+        .withColumn("n_links", F.col("copies") - 1 + F.coalesce("others", F.lit(0)))
     )
+    names = of_class.groupBy("root").agg(F.min("least").alias("component"))
+    of_class = materialize(of_class.join(names, "root").select("digest", "component", "n_links"))
+    component = F.when(F.col("digest").isNull() | F.col("id").isNull(), F.col("id")).otherwise(F.col("component"))
     n_links = F.when(F.col("id").isNotNull(), F.coalesce("n_links", F.lit(0))).alias("n_links")
-    return Joined(rows.join(of_class, "digest", "left").select(*columns, n_links), found.select("a", "b", "overlap"))
+    named_rows = rows.join(of_class, "digest", "left").select("id", "tag", "size", "digest", component.alias("component"), n_links)
+    return Joined(named_rows, _linked(blocks, percent, True) if links else None)
 
 
 def keep_one(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80
 ) -> DataFrame:
-    """The rows of ``docs`` that name their component, or have a null id; rows without words stay."""
-    members = similar_sets(docs, id_col, text_col, n, percent, links=False).members
-    gone = materialize(members.where("id <> component").select("id", "tag").distinct())
-    tag = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
-    return docs.join(gone, (docs[id_col] == gone["id"]) & (tag == gone["tag"]), "left_anti")
+    """One row of every component of ``docs``: the smallest id (null last), of several texts or rows of it one.
+
+    Rows without words are linked with nothing and all stay.
+    """
+    key = F.struct(F.col(f"`{id_col}`").isNull().alias("none"), F.col(f"`{id_col}`").alias("id"))
+    keyed = docs.select(row_struct(docs), key.alias("key"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("body"))
+    found = similar_sets(keyed, "key", "body", n, percent, links=False).members
+    members = materialize(
+        found.where("digest IS NOT NULL").groupBy("id", "tag", "component").agg(F.count(F.lit(1)).alias("n"))
+    )
+    stay = members.groupBy("component").agg(F.min(F.struct("id", "tag")).alias("first")).select("first.*", F.lit(True).alias("stays"))
+    judged = members.join(stay, ["id", "tag"], "left").where("stays IS NULL OR n > 1")
+    changed = materialize(judged.select(F.col("id").alias("key"), "tag", F.col("stays").isNotNull().alias("stays")))
+    tagged = keyed.select("row", "key", F.xxhash64("body").alias("tag"))
+    untouched = tagged.join(changed, ["key", "tag"], "left_anti")
+    # of rows with one id and text one stays, whichever has the smallest hash
+    repeated = tagged.join(changed.where("stays"), ["key", "tag"], "left_semi").withColumn("hash", F.xxhash64(F.to_json("row")))
+    one = Window.partitionBy("key", "tag").orderBy("hash")
+    chosen = repeated.withColumn("nth", F.row_number().over(one)).where("nth = 1")
+    return untouched.select("row").unionByName(chosen.select("row")).select(*row_columns(docs))

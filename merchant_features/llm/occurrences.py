@@ -1,7 +1,9 @@
 """Which 64-bit hashes occur more than once, and how often the frequent ones do.
 
 Hashes are sent as 32-bit residues packed by bucket (their first bits), so a
-hash costs four bytes in one shuffle, and every bucket is counted on its own.
+hash costs four bytes in one shuffle, and every bucket is counted on its own. A
+task adds up what repeats before it sends: a hash that makes up a third of all
+costs one residue and one number per flush.
 The outcome that tasks are sent later has a fixed bound: a bitmap over the first
 ``BITMAP_BITS`` bits of the hashes (bits of a fuller bitmap rule out less, never
 too much), and the hashes that make up at least 1 / ``most_hot`` of all.
@@ -57,14 +59,20 @@ def count(
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flushed(held: list[np.ndarray]) -> pa.RecordBatch:
-            own = np.sort(np.concatenate(held))
-            buckets = (own >> np.uint64(64 - bits)).astype(np.int64)
-            residues = ((own >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            own = np.sort(np.concatenate(held)) >> np.uint64(32 - bits)
+            firsts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+            n = np.diff(np.concatenate((firsts, [len(own)])))
+            own = own[firsts]
+            buckets = (own >> np.uint64(32)).astype(np.int64)
+            residues = (own & np.uint64(0xFFFFFFFF)).astype(np.uint32)
             heads = np.flatnonzero(np.concatenate(([True], np.diff(buckets) > 0)))
             ends = np.concatenate((heads[1:], [len(own)]))
             blobs = [residues[a:b].tobytes() for a, b in zip(heads, ends, strict=True)]
+            more = [residues[a:b][n[a:b] > 1].tobytes() for a, b in zip(heads, ends, strict=True)]
+            times = [n[a:b][n[a:b] > 1].astype(np.int64).tobytes() for a, b in zip(heads, ends, strict=True)]
             return pa.RecordBatch.from_arrays(
-                [pa.array(buckets[heads].astype(np.int32)), pa.array(blobs, pa.binary())], ["bucket", "residues"]
+                [pa.array(buckets[heads].astype(np.int32)), *[pa.array(v, pa.binary()) for v in (blobs, more, times)]],
+                ["bucket", "residues", "repeated", "times"],
             )
 
         held, n = [], 0
@@ -79,24 +87,28 @@ def count(
             yield flushed(held)
 
     def counted(group: pa.Table) -> pa.Table:
-        residues = np.sort(np.concatenate([np.frombuffer(b.as_buffer(), np.uint32) for b in group.column("residues")]))
+        def read(column: str, kind: type) -> np.ndarray:
+            return np.concatenate([np.frombuffer(b.as_buffer(), kind) for b in group.column(column)])
+
+        residues = np.sort(read("residues", np.uint32))
         heads = np.flatnonzero(np.concatenate(([True], residues[1:] != residues[:-1])))
         counts = np.diff(np.concatenate((heads, [len(residues)])))
         values = residues[heads]
+        np.add.at(counts, np.searchsorted(values, read("repeated", np.uint32)), read("times", np.int64) - 1)
         bitmap = np.zeros(1 << (BITMAP_BITS - bits), bool)
         bitmap[values[counts > 1] >> np.uint32(32 - BITMAP_BITS + bits)] = True
         frequent = counts >= least_hot
         return pa.table(
             {
                 "bucket": pa.array([group.column("bucket")[0].as_py()], pa.int32()),
-                "total": pa.array([len(residues)], pa.int64()),
+                "total": pa.array([int(counts.sum())], pa.int64()),
                 "twice": pa.array([np.packbits(bitmap, bitorder="little").tobytes()], pa.binary()),
                 "hot": pa.array([values[frequent].tolist()], pa.list_(pa.int64())),
                 "frequency": pa.array([counts[frequent].tolist()], pa.list_(pa.int64())),
             }
         )
 
-    residues = texts.select("text").mapInArrow(packed, "bucket int, residues binary")
+    residues = texts.select("text").mapInArrow(packed, "bucket int, residues binary, repeated binary, times binary")
     found = materialize(
         residues.groupBy("bucket").applyInArrow(
             counted, "bucket int, total bigint, twice binary, hot array<bigint>, frequency array<bigint>"

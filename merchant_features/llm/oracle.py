@@ -71,8 +71,9 @@ WITH RECURSIVE doc AS (
 ), reach AS (
     SELECT doc_id AS x, doc_id AS y FROM doc UNION SELECT r.x, l.y FROM reach r JOIN link l ON l.x = r.y
 )
-SELECT d.doc_id, coalesce(t.n, 0)::BIGINT AS n_shingles, r.least AS component_id
+SELECT d.doc_id, coalesce(t.n, 0)::BIGINT AS n_shingles, r.least AS component_id, coalesce(l.n, 0)::BIGINT AS n_links
 FROM doc d JOIN (SELECT x, min(y) AS least FROM reach GROUP BY x) r ON r.x = d.doc_id LEFT JOIN total t USING (doc_id)
+LEFT JOIN (SELECT x, count(*) AS n FROM link GROUP BY x) l ON l.x = d.doc_id
 """
 
 WARC_ZIP = """

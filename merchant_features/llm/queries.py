@@ -19,10 +19,10 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members = jaccard_join.similar_sets(table(spark, sf_dir, "documents"), n=3, percent=90).members
+    members = jaccard_join.similar_sets(table(spark, sf_dir, "documents"), n=3, percent=90, links=False).members
     return members.select(
         F.col("id").alias("doc_id"), F.col("size").cast("long").alias("n_shingles"),
-        F.col("component").alias("component_id"),
+        F.col("component").alias("component_id"), "n_links",
     )
 
 

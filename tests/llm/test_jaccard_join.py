@@ -85,7 +85,7 @@ def test_links_are_real(spark):
     assert links
     for a, b, overlap in links:
         x, y = sets[sizes[bytes(a)][0]], sets[sizes[bytes(b)][0]]
-        assert overlap is None or overlap == len(x & y)
+        assert overlap == len(x & y)
         assert 10 * len(x & y) >= 9 * len(x | y)
 
 
@@ -98,9 +98,8 @@ def all_links(rows, n, percent):
     return pairs, sorted((i, sum(near(x, y) for y in sets) - bool(x)) for (i, _), x in zip(rows, sets, strict=True))
 
 
-@pytest.mark.parametrize("longest,block", [(32, 256), (2, 5)])
-def test_all_links_and_their_numbers(spark, monkeypatch, longest, block):
-    monkeypatch.setattr(J, "LIST", longest)
+@pytest.mark.parametrize("block", [256, 5])
+def test_all_links_and_their_numbers(spark, monkeypatch, block):
     monkeypatch.setattr(J, "BLOCK_SETS", block)
     rng = random.Random(21)
     origin = [f"w{k}" for k in range(150)]
@@ -122,28 +121,47 @@ def test_all_links_and_their_numbers(spark, monkeypatch, longest, block):
     assert sorted((r.id, r.n_links) for r in members) == numbers
     assert sorted((r.id, r["size"], r.component) for r in members) == plain(rows, 3, 90)
     alone = J.similar_sets(spark.createDataFrame(rows, "doc_id long, text string"), n=3, percent=90, links=False)
+    assert alone.links is None
     assert sorted((r.id, r["size"], r.component) for r in alone.members.collect()) == plain(rows, 3, 90)
+    assert sorted((r.id, r.n_links) for r in alone.members.collect()) == numbers
 
 
-def test_a_list_without_room_forms_no_blocks(spark, monkeypatch):
-    written = {}
+@pytest.mark.parametrize("copies", [20, 60, 240])
+def test_groups_of_every_size_go_one_way(spark, monkeypatch, copies):
+    """All pairs of a group of near copies link; every overlap is known and no pairs are written for the numbers."""
+    monkeypatch.setattr(J, "BLOCK_SETS", 100)
+    rng = random.Random(copies)
+    origin = [f"w{k}" for k in range(200)]
+    rows = []
+    for k in range(copies):
+        copy = list(origin)
+        copy[rng.randrange(200)] = f"own{k}"
+        rows.append((k, " ".join(copy)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    written = []
+    materialize = J.materialize
 
-    def recorded(df):
-        out = materialize(df)
-        written[tuple(out.columns)] = out.count()
+    def recorded(frame):
+        out = materialize(frame)
+        written.append(out.count())
         return out
 
-    materialize = J.materialize
     monkeypatch.setattr(J, "materialize", recorded)
-    digests = [bytes([k]) * 16 for k in range(50)]
-    members = [(7, d, 30, 3, d) for d in digests]
-    sets = [(d, np.arange(30, dtype=np.uint64).tobytes()) for d in digests]
-    found = J._block_links(
-        spark.createDataFrame(members, "token long, digest binary, size int, pos int, component binary"),
-        spark.createDataFrame(sets, "digest binary, tokens binary"), 90, True,
-    )
-    assert found.count() == 0
-    assert written["token", "s_a", "p_a", "part_a", "s_b", "p_b", "part_b"] == 0
+    members = J.similar_sets(df, n=3, percent=90, links=False).members.collect()
+    pairs, numbers = all_links(rows, 3, 90)
+    assert sorted((r.id, r.n_links) for r in members) == numbers
+    assert {r.component for r in members} == {0}
+    assert max(written) <= 60 * copies
+    links = J.similar_sets(df, n=3, percent=90).links.collect()
+    assert len(links) == len(pairs) == copies * (copies - 1) // 2
+    assert all(r.overlap is not None for r in links)
+
+
+def test_a_list_without_room_enters_nothing(spark):
+    """A template's common n-gram stands too late in all sets that have it: no entry is left of its list."""
+    entries = [(7, bytes([k]) * 16, 30, 4, ) for k in range(50)] + [(8, bytes([k]) * 16, 30, 1) for k in range(2)]
+    df = spark.createDataFrame(entries, "token long, digest binary, size int, pos int")
+    assert {r.token for r in J._with_room(df, 90).collect()} == {8}
 
 
 def test_one_of_each_group_stays(spark, docs, texts, nothing):
@@ -161,6 +179,22 @@ def test_null_ids_and_repeated_rows(spark):
     assert sorted(rows, key=repr) == sorted([(5, 3), (5, 3), (None, None), (3, 3), (9, 9)], key=repr)
 
 
+def test_one_row_of_repeated_rows_stays(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    near = text.replace("w39", "other")
+    rows = [
+        (5, text, "a"), (5, text, "a"), (5, near, "b"), (7, text, "c"), (None, text, "d"), (None, text, "d"),
+        (None, "alone in the world with no copy", "e"), (None, "alone in the world with no copy", "e"),
+        (8, "", "f"), (8, "", "f"), (8, None, "g"), (9, "quite another text of its own words", "h"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key string").repartition(3)
+    left = sorted((tuple(r) for r in J.keep_one(df).collect()), key=repr)
+    kept = [r for r in left if r[2] in "ab"]
+    assert len(kept) == 1 and kept[0][0] == 5
+    assert sorted(r[2] for r in left if r[2] not in "ab") == ["e", "f", "f", "g", "h"]
+    assert sorted(tuple(r) for r in J.keep_one(df.where("key = 'd'")).collect()) == [(None, text, "d")]
+
+
 def test_components(spark):
     rng = random.Random(3)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(k, k + 1) for k in range(400, 460)]
