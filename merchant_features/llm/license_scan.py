@@ -5,10 +5,13 @@ notice of n characters may have k = n // ``CHARS_PER_EDIT`` edits. Cut into
 k + 1 pieces, one piece of any such occurrence is untouched: these exact seeds
 find the candidates, and in the window that a seed leaves for the notice the
 ``regex`` library's bounded-error matching confirms it and counts its edits.
-Seeds that stand near each other share a window; the best match of a window is
-taken first, then the parts left and right of it are searched again.
+Every window is of the notice's length and twice its edits, so the work grows
+with the seeds, however long the text is. Of matches that overlap, those with
+the fewest edits stay, the first of equal ones.
 
-Base phrases are found exactly, as consecutive words.
+Base phrases are found exactly, as consecutive words. Notices, phrases and their
+labels are parameters; they go to every task, so there should be thousands at
+most.
 
 Defined cases: null and empty texts have no words and no notices. Rows are
 scanned each on its own, whatever their id.
@@ -16,8 +19,7 @@ scanned each on its own, whatever their id.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -54,11 +56,17 @@ def pieces(notice: str, edits: int) -> list[tuple[int, bytes]]:
     return [(a, text[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-@lru_cache
-def _pattern(notice: str, edits: int):
-    import regex
+class Notice:
+    """A notice with its seeds and its pattern, made in the task that uses it."""
 
-    return regex.compile(b"(?be)(?:" + regex.escape(notice.encode()) + b"){e<=%d}" % edits)
+    def __init__(self, text: str, label: str, chars_per_edit: int = CHARS_PER_EDIT):
+        import regex
+
+        raw = text.encode()
+        self.label, self.length = label, len(raw)
+        self.edits = len(raw) // chars_per_edit
+        self.pieces = pieces(text, self.edits)
+        self.pattern = regex.compile(b"(?be)(?:" + regex.escape(raw) + b"){e<=%d}" % self.edits)
 
 
 def _places(text: bytes, piece: bytes) -> Iterator[int]:
@@ -68,46 +76,35 @@ def _places(text: bytes, piece: bytes) -> Iterator[int]:
         at = text.find(piece, at + 1)
 
 
-def _matches(part: bytes, low: int, high: int, pattern) -> Iterator[tuple[int, int, int]]:
-    """(begin, end, edits) of the best match of a stretch, and of those left and right of it, in order."""
-    open_parts: list[tuple] = [(low, high)]
-    while open_parts:
-        at = open_parts.pop()
-        if len(at) == 3:
-            yield at
-            continue
-        m = pattern.search(part, *at)
-        if m is not None and m.end() > m.start():
-            open_parts += [(m.end(), at[1]), (m.start(), m.end(), sum(m.fuzzy_counts)), (at[0], m.start())]
+def _fewest_edits(spans: set[tuple[int, int, int]], size: int) -> list[tuple[int, int, int]]:
+    """Spans that do not overlap, in order; those with fewer edits are taken first, then those that begin first."""
+    taken, covered = [], bytearray(size)
+    for begin, end, edits in sorted(spans, key=lambda s: (s[2], s[0], s[1])):
+        if not any(covered[begin:end]):
+            covered[begin:end] = b"\1" * (end - begin)
+            taken.append((begin, end, edits))
+    return sorted(taken)
 
 
-def notice_spans(text: bytes, notice: str) -> list[tuple[int, int, int]]:
+def notice_spans(text: bytes, notice: Notice) -> list[tuple[int, int, int]]:
     """(begin, end, edits) of the notice in ``text``, where zero bytes part documents."""
-    edits = len(notice.encode()) // CHARS_PER_EDIT
-    length = len(notice.encode())
-    windows = []
-    for offset, piece in pieces(notice, edits):
-        windows += [(at - offset - edits, at - offset + length + edits) for at in _places(text, piece)]
-    spans, end = [], -1
-    merged: list[list[int]] = []
-    for low, high in sorted(windows):
-        if merged and low <= merged[-1][1]:
-            merged[-1][1] = max(high, merged[-1][1])
-        else:
-            merged.append([low, high])
-    for low, high in merged:
-        # a window ends where its document does
-        start = max(low, 0)
-        for part in text[start:high].split(b"\0"):
-            for first, last, count in _matches(part, 0, len(part), _pattern(notice, edits)):
-                if start + first >= end:
-                    end = start + last
-                    spans.append((start + first, end, count))
-            start += len(part) + 1
-    return spans
-
-
-def _scan(texts: pa.Array) -> Iterator[tuple]:
+    k, spans, seen = notice.edits, set(), set()
+    for offset, piece in notice.pieces:
+        for at in _places(text, piece):
+            start = at - offset
+            if start in seen:
+                continue
+            seen.add(start)
+            # the window ends where its document does
+            low = max(text.rfind(b"\0", max(0, start - k), at) + 1, start - k, 0)
+            end = text.find(b"\0", at, start + notice.length + k)
+            m = notice.pattern.search(text, low, end if end >= 0 else start + notice.length + k)
+            if m is not None and m.end() > m.start():
+                spans.add((m.start(), m.end(), sum(m.fuzzy_counts)))
+    return _fewest_edits(spans, len(text)) if spans else []
+
+
+def _scan(texts: pa.Array, notices: Sequence[Notice], phrases: Sequence[tuple[str, str]] = BASE) -> Iterator[tuple]:
     """(words, base places, notices) per text; a place is (first word, label), a notice a dict."""
     for part in W.slices(texts):
         w = W.words(part, W.ALNUM, hashed=False)
@@ -115,24 +112,24 @@ def _scan(texts: pa.Array) -> Iterator[tuple]:
         text = p.text.tobytes()
         base: dict[int, list] = {}
         found: dict[int, list] = {}
-        for phrase, label in BASE:
+        for phrase, label in phrases:
             needle = phrase.encode()
             for at in _places(text, needle):
                 if text[at - 1] in (0, 0x20) and text[at + len(needle)] in (0, 0x20):
                     document = int(np.searchsorted(p.bounds, at, side="right")) - 1
                     word = int(np.searchsorted(p.starts, at, side="right")) - 1
                     base.setdefault(document, []).append((word - int(w.first[document]), label))
-        for notice, label in NOTICES:
+        for notice in notices:
             for begin, end, edits in notice_spans(text, notice):
                 document = int(np.searchsorted(p.bounds, begin, side="right")) - 1
                 first = max(int(np.searchsorted(p.starts, begin, side="right")) - 1, int(w.first[document]))
                 last = max(first, int(np.searchsorted(p.starts, end - 1, side="right")) - 1)
                 found.setdefault(document, []).append(
                     {
-                        "label": label, "first_word": first - int(w.first[document]),
+                        "label": notice.label, "first_word": first - int(w.first[document]),
                         "last_word": last - int(w.first[document]), "begin_byte": int(w.starts[first] - part.bounds[document]),
                         "end_byte": int(w.ends[last] - part.bounds[document]), "edits": edits,
-                        "score": 1.0 - edits / len(notice),
+                        "score": 1.0 - edits / notice.length,
                     }
                 )
         for k in range(len(part.rows)):
@@ -144,8 +141,14 @@ NOTICE_TYPE = (
 )
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, ``n_words``, ``base`` (places of base phrases) and ``notices`` (spans with edits)."""
+def scan(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", notices: Sequence[tuple[str, str]] = NOTICES,
+    phrases: Sequence[tuple[str, str]] = BASE, chars_per_edit: int = CHARS_PER_EDIT,
+) -> DataFrame:
+    """Per row: id, ``n_words``, ``base`` (places of base phrases) and ``notices`` (spans with edits).
+
+    ``notices`` and ``phrases`` are (words joined by blanks, A-Z lower-cased; label).
+    """
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     base_type = pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string())]))
     integers = ("first_word", "last_word", "begin_byte", "end_byte")
@@ -156,8 +159,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     )
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compiled = [Notice(text, label, chars_per_edit) for text, label in notices]
         for batch in batches:
-            rows = list(_scan(batch.column(1)))
+            rows = list(_scan(batch.column(1), compiled, phrases))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
