@@ -10,6 +10,9 @@ A batch is committed when its deltas are written completely (the writer's
 success marker). Applying a committed batch again changes nothing, and a batch
 that broke off is written anew, so a driver may repeat any step.
 
+Long runs of white space are encoded as the one piece that the pattern makes of
+them, without the pattern, which cannot take them.
+
 Defined cases: a null text has no tokens and counts as a document. Rows with a
 null id are left out: they could never be revised. Rows of one id in one batch
 all count, and a later revision or deletion takes all of them back. Null source
@@ -20,6 +23,7 @@ that a batch both inserts and deletes is deleted first and then inserted.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +35,10 @@ from pyspark.sql import functions as F
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
+#: The characters that ``\\s`` stands for in the pattern.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = 50_000
+
 ENTRIES = "id string, source string, lang string, version string, docs bigint, tokens bigint"
 KEYS = ["source", "lang", "version"]
 
@@ -44,6 +52,16 @@ class Tokenizer:
     pattern: str = PATTERN
 
 
+def count_tokens(encoding, text: str, long_run: int = LONG_RUN) -> int:
+    """Tokens of a text. A run of white space is one piece, but for its last character if a word follows."""
+    total, start = 0, 0
+    for run in re.finditer(f"[{WHITE}]{{{long_run},}}", text):
+        end = run.end() - (run.end() < len(text))
+        total += len(encoding.encode_ordinary(text[start : run.start()])) + len(encoding._encode_single_piece(text[run.start() : end]))
+        start = end
+    return total + len(encoding.encode_ordinary(text[start:]))
+
+
 def with_tokens(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     """``docs`` (id, text, source, lang) with ``tokens`` in place of the text; whole texts are encoded."""
     with open(tokenizer.path, "rb") as file:
@@ -56,7 +74,7 @@ def with_tokens(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in sent.value.splitlines() if line)}
         encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         for batch in batches:
-            counts = [len(encoding.encode_ordinary(t.as_py())) if t.is_valid else 0 for t in batch.column(1)]
+            counts = [count_tokens(encoding, t.as_py()) if t.is_valid else 0 for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), batch.column(3), pa.array(counts, pa.int64())],
                 ["id", "source", "lang", "tokens"],

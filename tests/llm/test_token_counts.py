@@ -86,6 +86,22 @@ def test_rows_of_one_id_are_taken_back_together(spark, tmp_path):
     assert totals(ledger) == {}
 
 
+def test_long_white_space_is_counted(spark, tmp_path, encoding):
+    """Runs that the pattern cannot take count like the pieces it would make of them."""
+    texts = [f"a{c * n}{tail}" for c in (" ", "\n", "\u3000") for n in (5, 60, 700) for tail in ("", "b", "  b", "1")]
+    texts += [" \t\n" * 200 + "x" + "\n" * 300 + " y", "\x1c" * 200 + "x"]
+    for text in texts:
+        assert T.count_tokens(encoding, text, 50) == len(encoding.encode_ordinary(text)), repr(text[:20])
+    run = 5_000_000
+    rows = [("1", "\n" * run + "a", "s", "en"), ("2", " " * run, "s", "de"), ("3", "b" + " \n" * (run // 2) + "c", "s", "fr")]
+    ledger = T.Ledger(spark, f"{tmp_path}/ledger")
+    ledger.apply("b1", A, spark.createDataFrame(rows, SCHEMA))
+    got = {k[1]: v[1] for k, v in totals(ledger).items()}
+    assert got["de"] == len(encoding._encode_single_piece(" " * run))
+    assert got["en"] == len(encoding._encode_single_piece("\n" * (run - 1))) + len(encoding.encode_ordinary("\na"))
+    assert got["fr"] > 1
+
+
 def test_odd_tables(spark, tmp_path, docs, nothing):
     ledger = T.Ledger(spark, f"{tmp_path}/ledger")
     ledger.apply("empty", A, nothing)
