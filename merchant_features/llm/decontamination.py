@@ -10,12 +10,17 @@ within it, and the words' bytes are compared. All positions of a batch of
 documents move on side by side, one cursor per ``STRIDE`` words of text.
 
 The benchmark is read in blocks of at most ``block_windows`` windows (by item),
-so that what each task is sent is bounded however long the benchmark is; every
-block is held against all documents and the blocks' hits are united.
+one at a time, so that what the driver compiles and each task is sent is bounded
+however long the benchmark is; every block is held against all documents and the
+blocks' hits are united.
 
-Defined cases: null text has no words; items with a null id or without words
-are no patterns; an item id given twice has the patterns of both texts. Rows of
-one id are searched each on its own and every row comes back.
+The table has ``SLOTS_PER_WINDOW`` slots or more per window, so that a full block
+of windows leaves most of it free and positions still move on by most of a window.
+
+Defined cases: null text has no words; items without words are no patterns; the
+patterns of an item with a null id hit, only the list of items cannot name it; an
+item id given twice has the patterns of both texts. Rows of one id are searched
+each on its own and every row comes back.
 """
 
 from __future__ import annotations
@@ -31,11 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchant_features.llm import words as W
+from merchant_features.sources.storage import materialize
 
 WIDTH = 10
 STRIDE = 2048
 BLOCK_WINDOWS = 400_000
-SHIFT_BITS = 18
+SLOTS_PER_WINDOW = 16
+LEAST_BITS, MOST_BITS = 16, 24
 
 
 @dataclass
@@ -44,24 +51,25 @@ class Patterns:
 
     length: int
     block: int
+    bits: int
     shift: np.ndarray
     keys: np.ndarray  # sorted whole-pattern hashes
     texts: list[bytes]  # words joined by blanks, in the order of keys
     items: list[tuple[str, ...]]
 
 
-def _block_hash(hashes: np.ndarray, block: int) -> np.ndarray:
+def _block_hash(hashes: np.ndarray, block: int, bits: int) -> np.ndarray:
     """Table slots of the blocks that start at each word."""
-    return (W.shingles(hashes, block) >> np.uint64(64 - SHIFT_BITS)).astype(np.int64)
+    return (W.shingles(hashes, block) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def compile_patterns(items: list[tuple[object, str | None]], width: int = WIDTH) -> list[Patterns]:
     """One set of tables per pattern length."""
     found: dict[int, dict[bytes, set[str]]] = defaultdict(lambda: defaultdict(set))
     keys: dict[bytes, int] = {}
-    shifts: dict[int, np.ndarray] = {}
+    read: dict[int, list[np.ndarray]] = defaultdict(list)
     for item, text in items:
-        if item is None or text is None:
+        if text is None:
             continue
         for part in W.slices(pa.array([text])):
             w = W.words(part, W.ALNUM)
@@ -69,22 +77,24 @@ def compile_patterns(items: list[tuple[object, str | None]], width: int = WIDTH)
             length = min(width, len(tokens))
             if not length:
                 continue
-            block = min(2, length)
-            windows = len(tokens) - length + 1
-            shift = shifts.setdefault(length, np.full(1 << SHIFT_BITS, length - block + 1, np.int16))
-            slots = _block_hash(w.hashes, block)
-            for k in range(length - block + 1):
-                np.minimum.at(shift, slots[k : k + windows], np.int16(length - block - k))
+            read[length].append(w.hashes)
             for k, key in enumerate(W.shingles(w.hashes, length).tolist()):
                 joined = b" ".join(tokens[k : k + length])
-                found[length][joined].add(str(item))
+                found[length][joined].update([] if item is None else [str(item)])
                 keys[joined] = key
     compiled = []
     for length, texts in sorted(found.items()):
+        block = min(2, length)
+        bits = min(MOST_BITS, max(LEAST_BITS, (SLOTS_PER_WINDOW * len(texts) - 1).bit_length()))
+        shift = np.full(1 << bits, length - block + 1, np.int16)
+        for hashes in read[length]:
+            windows, slots = len(hashes) - length + 1, _block_hash(hashes, block, bits)
+            for k in range(length - block + 1):
+                np.minimum.at(shift, slots[k : k + windows], np.int16(length - block - k))
         ordered = sorted(texts, key=lambda t: (keys[t], t))
         compiled.append(
             Patterns(
-                length, min(2, length), shifts[length], np.array([keys[t] for t in ordered], np.uint64), ordered,
+                length, block, bits, shift, np.array([keys[t] for t in ordered], np.uint64), ordered,
                 [tuple(sorted(texts[t])) for t in ordered],
             )
         )
@@ -103,7 +113,7 @@ def _occurrences(w: W.Words, p: Patterns) -> tuple[np.ndarray, np.ndarray]:
     nth = np.arange(len(lane_doc)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
     cursor = w.first[lane_doc] + p.length - 1 + nth * STRIDE
     stop = np.minimum(cursor + STRIDE, w.first[lane_doc + 1])
-    slots = _block_hash(w.hashes, p.block)
+    slots = _block_hash(w.hashes, p.block, p.bits)
     tried = []
     while len(cursor):
         step = p.shift[slots[cursor - p.block + 1]].astype(np.int64)
@@ -150,7 +160,7 @@ def search(texts: pa.Array, compiled: list[Patterns]) -> Iterator[tuple[int, int
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_windows: int) -> list[DataFrame]:
     """The items in bounded blocks."""
-    usable = benchmark.where(F.col(item_col).isNotNull() & F.col(text_col).isNotNull()).select(
+    usable = benchmark.where(F.col(text_col).isNotNull()).select(
         F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")
     )
     # a text of n bytes has at most n / 2 + 1 windows
@@ -195,7 +205,11 @@ def hits(
                     out.append((ids[row], _tag(column[row]) if several else b"", n, spans, sorted(items)))
                 yield _batch(out, batch.schema.field(0).type)
 
-        parts.append(texts.mapInArrow(scan, schema))
+        part = texts.mapInArrow(scan, schema)
+        if several:  # one block's tables at a time: the next are compiled when these are gone
+            part = materialize(part)
+            compiled.unpersist()
+        parts.append(part)
     if len(parts) == 1:
         return parts[0].drop("tag")
     united = parts[0]
@@ -244,18 +258,24 @@ def n_hit(spans: str = "spans"):
 
 
 def clean(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+    width: int = WIDTH, block_windows: int = BLOCK_WINDOWS,
 ) -> DataFrame:
     """``docs`` without the rows that hold a benchmark window; all columns stay."""
-    compiled = [_compiled(block, width) for block in _blocks(benchmark, "item_id", "text", BLOCK_WINDOWS)]
     at = docs.columns.index(text_col)
+    blocks = _blocks(benchmark, item_col, item_text_col, block_windows)
+    for nth, block in enumerate(blocks, 1):
+        compiled = _compiled(block, width)
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            stay = np.ones(batch.num_rows, bool)
-            for patterns in compiled:
-                for row, _, hit, _ in search(batch.column(at), patterns.value):
-                    stay[row] &= not len(hit)
-            yield batch.filter(pa.array(stay))
-
-    return docs.mapInArrow(keep, docs.schema)
+        def keep(batches: Iterator[pa.RecordBatch], compiled=compiled) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                stay = np.ones(batch.num_rows, bool)
+                for row, _, hit, _ in search(batch.column(at), compiled.value):
+                    stay[row] = not len(hit)
+                yield batch.filter(pa.array(stay))
+
+        docs = docs.mapInArrow(keep, docs.schema)
+        if nth < len(blocks):  # written before the next block's tables are made
+            docs = materialize(docs)
+            compiled.unpersist()
+    return docs

@@ -29,7 +29,7 @@ _ALNUM = "regexp_extract_all(" + _LOWER + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7
 
 DECONTAMINATION = f"""
 WITH item AS (
-    SELECT item_id, {_ALNUM.format("text")} AS words FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL
+    SELECT item_id, {_ALNUM.format("text")} AS words FROM benchmark WHERE text IS NOT NULL
 ), pattern AS (
     SELECT DISTINCT item_id, least(10, len(words)) AS width,
            array_to_string(words[start:start + least(10, len(words)) - 1], ' ') AS body
@@ -46,7 +46,7 @@ WITH item AS (
     SELECT doc_id, count(DISTINCT start + k) AS n_hit FROM found, unnest(range(0, width)) AS r(k) GROUP BY doc_id
 ), named AS (
     SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
-    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY doc_id
 )
 SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_hit,
        coalesce(n.n_items, 0)::BIGINT AS n_items, sha256(coalesce(n.ids, '')) AS items_sha256,

@@ -21,10 +21,10 @@ def plain(rows, items, width=10):
     patterns = set()
     for item, text in items:
         w = tokens(text)
-        if item is None or not w:
+        if not w:
             continue
         n = min(width, len(w))
-        patterns |= {(str(item), tuple(w[k : k + n])) for k in range(len(w) - n + 1)}
+        patterns |= {(None if item is None else str(item), tuple(w[k : k + n])) for k in range(len(w) - n + 1)}
     out = []
     for i, t in rows:
         w = tokens(t)
@@ -33,7 +33,7 @@ def plain(rows, items, width=10):
             for k in range(len(w) - len(p) + 1):
                 if tuple(w[k : k + len(p)]) == p:
                     hit |= set(range(k, k + len(p)))
-                    named.add(item)
+                    named |= {item} - {None}
         out.append((i, len(w), len(hit), tuple(sorted(named))))
     return sorted(out, key=repr)
 
@@ -79,11 +79,33 @@ def test_positions_are_skipped():
     text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(20_000))
     (patterns,) = D.compile_patterns([(1, item)])
     w = W.words(next(W.slices(pa.array([text]))), W.ALNUM)
-    slots = D._block_hash(w.hashes, patterns.block)
+    slots = D._block_hash(w.hashes, patterns.block, patterns.bits)
     assert np.mean(patterns.shift[slots]) > 8.9
     assert len(D._occurrences(w, patterns)[0]) == 0
 
 
+def test_positions_are_skipped_beside_many_windows():
+    rng = random.Random(6)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(60_000)]
+    (patterns,) = D.compile_patterns([(k, " ".join(words[10 * k : 10 * k + 10])) for k in range(6000)])
+    other = W.words(next(W.slices(pa.array([" ".join(f"v{rng.randrange(10**6)}" for _ in range(20_000))]))), W.ALNUM)
+    slots = D._block_hash(other.hashes, patterns.block, patterns.bits)
+    assert len(patterns.shift) >= 16 * 6000 and np.mean(patterns.shift[slots]) > 5 and np.mean(patterns.shift[slots] == 0) < 0.1
+
+
+def test_blocks_go_one_at_a_time(spark, docs, texts, monkeypatch):
+    """Three blocks and more: tables are compiled for one only after the former one's rows are written."""
+    items, benchmark = bench(spark, texts)
+    steps = []
+    compiled, materialize = D._compiled, D.materialize
+    monkeypatch.setattr(D, "_compiled", lambda *a: steps.append("compiled") or compiled(*a))
+    monkeypatch.setattr(D, "materialize", lambda df: steps.append("written") or materialize(df))
+    dirty = {r[0] for r in plain(list(enumerate(texts)), items) if r[2]}
+    left = D.clean(docs, benchmark, block_windows=800)
+    assert steps.count("compiled") >= 3 and steps == ["compiled", "written"] * steps.count("written") + ["compiled"]
+    assert {r.doc_id for r in left.collect()} == set(range(len(texts))) - dirty
+
+
 def test_clean_keeps_rows_and_columns(spark, docs, texts, nothing):
     items, benchmark = bench(spark, texts)
     dirty = {r[0] for r in plain(list(enumerate(texts)), items) if r[2]}
