@@ -189,6 +189,7 @@ def _page_of(urn: str | None) -> str | None:
     return None if urn is None or urn.startswith("<urn:payload:") else urn.removeprefix("<urn:page:").removesuffix(">")
 
 
+TASKS_PER_CORE = 8
 RECORDS = "page_id string, url string, record_type string, refers_to string, payload_bytes bigint, payload_digest string, payload binary"
 
 
@@ -234,8 +235,10 @@ def read_records(packages: DataFrame) -> DataFrame:
                     )
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    ranges = packages.select("path").mapInArrow(ranged, "path string, offset bigint, lengths array<bigint>")
-    return ranges.repartition("path", "offset").mapInArrow(records, RECORDS)
+    ranges = materialize(packages.select("path").mapInArrow(ranged, "path string, offset bigint, lengths array<bigint>"))
+    # the rows are tiny and what they stand for is not: the number of tasks is given, so that none are merged
+    tasks = min(ranges.count(), TASKS_PER_CORE * packages.sparkSession.sparkContext.defaultParallelism)
+    return ranges.repartition(max(1, tasks)).mapInArrow(records, RECORDS)
 
 
 # --- writing packages -------------------------------------------------------------------------------------------------
