@@ -12,7 +12,8 @@ documents is never in one task. In the first round hashes are range-partitioned
 together with a bucket of the document; a line that is not of the smallest
 document of its (hash, bucket) is lost for certain. Only the winners, at most
 ``buckets`` documents per key, meet in the second round, partitioned by hash
-alone. No line is ever joined with another.
+alone. There are as many buckets as the root of the number of rows, so that the
+groups of both rounds stay small. No line is ever joined with another.
 
 Defined cases: null text is one empty line. Rows with a null id take no part and
 come back unchanged. Rows that share an id are one document: their lines never
@@ -21,13 +22,15 @@ drop each other, and every row comes back. Equal rows give equal results.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchant_features.llm.frames import SPACE, let, lower_az, row_columns, row_struct
 from merchant_features.sources.storage import materialize
 
-BUCKETS = 64
+LEAST_BUCKETS = 64
 
 
 def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
@@ -53,10 +56,11 @@ def _streamed(lines: DataFrame, *keys: str) -> DataFrame:
 
 
 def dropped_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, buckets: int = BUCKETS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, buckets: int | None = None
 ) -> DataFrame:
     """(id, tag, drops): the sorted positions each document loses; documents that lose none are absent."""
     lines = materialize(line_hashes(docs, id_col, text_col, min_chars))
+    buckets = buckets or max(LEAST_BUCKETS, math.isqrt(docs.count()))
     salted = lines.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)))
     first_round = materialize(_streamed(salted, "hash", "bucket").drop("bucket"))
     second_round = _streamed(first_round.where(~F.col("lost")).drop("lost"), "hash")
@@ -73,7 +77,7 @@ def _keep_runs(drops: Column, n_lines: Column) -> Column:
 
 
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10,
-                 buckets: int = BUCKETS) -> DataFrame:
+                 buckets: int | None = None) -> DataFrame:
     """Every row as the struct ``row``, with ``n_lines``, ``n_dropped`` and ``keep_runs`` (null: all lines stay)."""
     drops = dropped_lines(docs, id_col, text_col, min_chars, buckets)
     rows = docs.select(row_struct(docs)).select(
