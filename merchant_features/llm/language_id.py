@@ -2,7 +2,7 @@
 
 A text is read as its lower-cased words (digits aside they are letters) with
 blanks between; the 1-, 2- and 3-byte grams of all of it are counted in
-``DIMENSIONS`` hashed places, weighted by (1 + log count) * idf and normalised.
+``DIMENSIONS`` hashed places, weighted by log(1 + count) * idf and normalised.
 Document frequencies are counted over all training rows. Every language has
 several centroids, clustered by cosine from a sample of at most ``SAMPLE``
 training rows, split evenly over the languages, taken by smallest hash. The

@@ -17,9 +17,13 @@ Everything is a function of the rows and the seed; reruns agree. The driver
 holds one row per source (the weights are given per source) and the tree's
 counts, source by shard.
 
+A source has ``MOST_BLOCKS`` blocks at most: beyond that many times
+``BLOCK_WORDS`` words its blocks grow, which the tree does not mind.
+
 Defined cases: null text has size 0. A document of size 0 is never taken. Null
 is a source of its own, after all others. Rows of one id are separate documents
 that are taken alike if their texts are equal. An empty table gives an empty mix.
+Columns that an earlier mix has added are replaced, so a mix can be mixed again.
 """
 
 from __future__ import annotations
@@ -40,6 +44,7 @@ BLOCK_WORDS = 20_000
 MOST_BLOCKS = 8192
 SHARDS = 64
 SEED = 17
+MIX_COLUMNS = ("mix_shard", "mix_pass", "mix_order")
 
 
 @dataclass(frozen=True)
@@ -166,21 +171,25 @@ def draws(sizes: DataFrame, sources: list[Source], shards: int = SHARDS, seed: i
 
 def taken_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """Every row's id, size, source, the source's size and target, and the words the mix takes of it."""
+    """Every row's id, size, source, the source's size and target, the words the mix takes of it, and the shards
+    that the tree sends it to (ascending; one per time it is taken)."""
     sizes = sized(docs, id_col, text_col, source_col)
     sources = plan_sources(sizes)
     table = _source_table(sizes.sparkSession, sources)
-    times = draws(sizes, sources, shards, seed).select("id", "tag", "source", "pass").distinct()
-    times = times.groupBy("id", "tag", "source").agg(F.count(F.lit(1)).alias("times"))
+    times = draws(sizes, sources, shards, seed).select("id", "tag", "source", "pass", "shard").distinct()
+    times = times.groupBy("id", "tag", "source").agg(
+        F.count(F.lit(1)).alias("times"), F.sort_array(F.collect_list("shard")).alias("shards")
+    )
     sized_rows = sizes.join(F.broadcast(table), sizes["source"].eqNullSafe(table["source"]), "left").drop(table["source"])
     same = (
         sized_rows["id"].eqNullSafe(times["id"]) & (sized_rows["tag"] == times["tag"])
         & sized_rows["source"].eqNullSafe(times["source"])
     )
-    joined = sized_rows.join(times.select("id", "tag", "source", "times"), same, "left")
+    joined = sized_rows.join(times, same, "left")
     return joined.select(
         sized_rows["id"], sized_rows["source"], sized_rows["size"], "source_size", "target",
         (sized_rows["size"] * F.coalesce("times", F.lit(0))).alias("taken"),
+        F.coalesce("shards", F.array().cast("array<int>")).alias("shards"),
     )
 
 
@@ -198,7 +207,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         & rows["origin"].eqNullSafe(taken["source"])
     )
     order = F.xxhash64(F.lit(seed + 3), "shard", "pass", "doc", "digest")
+    kept = docs.select([c for c in docs.columns if c not in MIX_COLUMNS])
     mixed = rows.join(taken, same).select(
-        *row_columns(docs), F.col("shard").alias("mix_shard"), F.col("pass").alias("mix_pass"), order.alias("mix_order")
+        *row_columns(kept), F.col("shard").alias("mix_shard"), F.col("pass").alias("mix_pass"), order.alias("mix_order")
     )
     return mixed.repartitionByRange("mix_shard", "mix_order").sortWithinPartitions("mix_shard", "mix_order")

@@ -15,7 +15,8 @@ from merchant_features.sources.storage import shared_dir
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.taken_words(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("source")
+    taken = mixing.taken_words(table(spark, sf_dir, "documents"))
+    return taken.withColumnRenamed("id", "doc_id").drop("source").withColumn("shards", F.array_join("shards", ","))
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +98,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    # a null id is not learned from
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(True))
     model = language_id.train(docs.where(~held_out))
     predicted = language_id.predict(docs, model).withColumnRenamed("id", "doc_id")
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")

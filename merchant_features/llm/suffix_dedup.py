@@ -31,7 +31,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -55,17 +54,23 @@ C1 = np.uint64(0x9E3779B97F4A7C15)
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
-@lru_cache
+#: Tables made once per process, in a plain dictionary (see ``words._made``).
+_made: dict[object, np.ndarray] = {}
+
+
 def _values() -> np.ndarray:
-    return np.random.Generator(np.random.PCG64(7)).integers(0, 2**64, size=256, dtype=np.uint64)
+    if "values" not in _made:
+        _made["values"] = np.random.Generator(np.random.PCG64(7)).integers(0, 2**64, size=256, dtype=np.uint64)
+    return _made["values"]
 
 
-@lru_cache
 def _powers(base: int, bits: int) -> np.ndarray:
     """base ** i for i below 2 ** bits, modulo 2 ** 64."""
-    out = np.full(1 << bits, np.uint64(base))
-    out[0] = 1
-    return np.multiply.accumulate(out)
+    if (base, bits) not in _made:
+        out = np.full(1 << bits, np.uint64(base))
+        out[0] = 1
+        _made[base, bits] = np.multiply.accumulate(out)
+    return _made[base, bits]
 
 
 def range_hashes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[np.ndarray]:

@@ -19,6 +19,15 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_a_null_id_is_held_out(spark, tmp_path):
+    rows = [(k, text, lang) for k in range(12) for text, lang in ((f"the cat sat on mat {k}", "en"), (f"der Hund und die {k}", "de"))]
+    rows.append((None, "quelque chose en francais", "fr"))
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op9_language_id(spark, str(tmp_path)).collect()
+    assert all(r.held_out is not None for r in got) and "fr" not in {r.lang_pred for r in got}
+    assert [r.held_out for r in got if r.doc_id is None] == [True]
+
+
 def test_counts_equal_the_plain_version():
     column = pa.array(["Ab c9", "", None, "é!"])
     rows = {row: c for part, counts in L.gram_counts(column) for row, c in zip(part, counts, strict=True)}

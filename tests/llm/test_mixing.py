@@ -102,6 +102,32 @@ def test_blocks_of_one_source_are_disjoint_over_shards(corpus):
     assert len(per_shard) == 8
 
 
+def test_the_tree_decides_the_shards(corpus, monkeypatch):
+    """The rows name the shards that the tree gives them, and its quotas are what the shards hold."""
+    df, _ = corpus
+    got = M.taken_words(df, shards=8).collect()
+    assert all(len(r.shards) * r["size"] == r.taken for r in got if r.id != 5001)
+    drawn = M.draws(M.sized(df, "doc_id", "text", "source"), M.plan_sources(M.sized(df, "doc_id", "text", "source")), shards=8).collect()
+    want = {}
+    for r in drawn:
+        want.setdefault((r.id, r.source), []).append(r.shard)
+    assert {(r.id, r.source): r.shards for r in got if r.shards and r.id != 5001} == {k: sorted(v) for k, v in want.items() if k[0] != 5001}
+    assert len({s for r in got for s in r.shards}) > 4
+
+    def all_left(quotas, shards, rng):
+        counts = np.zeros((len(quotas), shards), np.int64)
+        counts[:, 0] = quotas
+        return counts
+
+    monkeypatch.setattr(M, "splitting_tree", all_left)
+    assert {s for r in M.taken_words(df, shards=8).collect() for s in r.shards} == {0}
+
+
+def test_a_mix_can_be_mixed_again(docs):
+    again = M.mix(M.mix(docs))
+    assert again.columns == [*docs.columns, "mix_shard", "mix_pass", "mix_order"] and again.count() >= 0
+
+
 def test_odd_tables(docs, nothing, spark):
     assert M.mix(docs).columns == [*docs.columns, "mix_shard", "mix_pass", "mix_order"]
     assert M.taken_words(docs).count() == docs.count()
