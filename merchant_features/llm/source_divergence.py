@@ -37,8 +37,9 @@ from merchant_features.sources.storage import materialize
 
 GROUP_BLOCK = 64
 TERM_BLOCK = 4096
-#: Distinct (group, term) rows that a task holds before it passes them on.
-HELD_TERMS = 400_000
+#: Distinct (group, term) rows that a task holds before it passes them on, and bytes of text that it reads at a time.
+HELD_TERMS = 120_000
+SLICE_BYTES = 1 << 19
 #: Shares are in parts of this.
 UNIT = 1_000_000_000
 
@@ -83,7 +84,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             lang, source = (batch.column(c).dictionary_encode() for c in (0, 1))
             group = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
-            for part in W.slices(batch.column(2)):
+            for part in W.slices(batch.column(2), SLICE_BYTES):
                 g, terms, n, df = _slice_terms(part, group[part.rows.start : part.rows.stop])
                 if not len(g):
                     continue
