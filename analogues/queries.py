@@ -374,7 +374,7 @@ def reference_universe(t: Tables) -> DataFrame:
 
 @query
 def reference_ids(t: Tables) -> DataFrame:
-    return tidy(U.distinct_ids(U.reference_universe(_principal(t), _active(t))))
+    return tidy(U.paired_ids(_universe(t).members))
 
 
 @query

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchant_features.functions import predicates as P
@@ -20,8 +20,11 @@ from merchant_features.operators.history import top1_per_key
 from merchant_features.operators.lookup import code_names, existing, lookup, salted_join
 from merchant_features.sources.storage import materialize
 
-#: A terminal with more establishments of one owner is a hub (see ``paired_sums``); no result depends on it.
+#: No result depends on these. A terminal with more establishments of one owner is a hub (see ``paired_sums``);
+#: sets of more hubs never go through the trie; establishments with more shared terminals do not list them.
 HUB_MEMBERS = 64
+MOST_TUPLE_HUBS = 16
+MOST_TERMINALS = 256
 
 OWNER = "cuit_establecimiento_host"
 OWNER_REF = "cuit_establecimiento_host_ref"
@@ -160,6 +163,85 @@ def _hub_terminals(members: DataFrame, hub_members: int) -> DataFrame:
     return materialize(sizes.select(OWNER, TERMINAL, (F.col("__n") > hub_members).alias("hub")))
 
 
+def _at_first_shared(a: str, b: str, terminal: str = TERMINAL) -> Column:
+    """The canonical-terminal rule: of all terminals that two sorted lists share, this is the smallest."""
+    return F.array_min(F.array_intersect(a, b)) == F.col(terminal)
+
+
+def paired_ids(members: DataFrame, most_terminals: int = MOST_TERMINALS) -> DataFrame:
+    """Every establishment with itself and with each active establishment of its owner that it shares a terminal with.
+
+    The distinct ids of the reference universe, without building it: a pair is
+    made only at the smallest terminal that both hold, so no pair is made twice
+    and none are compared for being distinct. Establishments of more than
+    ``most_terminals`` shared terminals do not carry the list of them along;
+    their pairs, and theirs alone, are made at every shared terminal and reduced.
+    """
+    key = [OWNER, ESTABLISHMENT]
+    shared = members.join(_hub_terminals(members, HUB_MEMBERS).drop("hub"), [OWNER, TERMINAL])
+    held = materialize(
+        shared.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"), F.bool_or("active").alias("active"))
+    )
+    few = held.where(F.col("__n") <= most_terminals).select(*key)
+    lists = shared.join(few, key).groupBy(*key).agg(F.sort_array(F.collect_set(TERMINAL)).alias("__held"))
+    rows = materialize(shared.select(*key, TERMINAL, "active").distinct().join(lists, key, "left"))
+    partner = rows.where("active").select(
+        OWNER, TERMINAL, F.col(ESTABLISHMENT).alias("__partner"), F.col("__held").alias("__partner_held")
+    )
+    met = salted_join(rows.select(*key, TERMINAL, "__held"), materialize(partner), [OWNER, TERMINAL], "inner")
+    met = met.where(F.col(ESTABLISHMENT) != F.col("__partner"))
+    columns = [F.col("__partner").alias(ESTABLISHMENT), F.col(ESTABLISHMENT).alias(REF), F.col(OWNER).alias(OWNER_REF)]
+    listed = F.col("__held").isNotNull() & F.col("__partner_held").isNotNull()
+    pairs = met.where(listed & _at_first_shared("__held", "__partner_held")).select(*columns)
+    if not held.where(F.col("__n") > most_terminals).isEmpty():
+        pairs = pairs.unionByName(met.where(~listed).select(*columns).distinct())
+    own = members.select(*key).distinct().select(
+        ESTABLISHMENT, F.col(ESTABLISHMENT).alias(REF), F.col(OWNER).alias(OWNER_REF)
+    )
+    return own.dropna(subset=[REF]).unionByName(pairs)
+
+
+def _between_hub_sets(sets: DataFrame, names: Sequence[str]) -> DataFrame:
+    """For every set of hubs, the sums over all sets of its owner that share a hub with it, itself included.
+
+    ``sets`` (owner, hubs, sums) is a written table with one row per distinct
+    set. Every pair of sets counts once, whatever they share, in one of two ways:
+
+    * A trie of ordered hub tuples: its nodes are the tuples that some set holds,
+      the sum of a node is that of all sets below it, that is of all that hold
+      the whole tuple. What a set shares a hub with is the signed sum of its own
+      nodes, those of odd length less those of even length, so a set costs
+      2 ** hubs - 1 rows and is never paired with another.
+    * A set with more tuples than its owner has sets is paired with these sets
+      instead, each at the smallest hub that both hold.
+    """
+    names = list(names)
+    total = sets.groupBy(OWNER).agg(F.count(F.lit(1)).alias("__n"))
+    many = (F.size("hubs") > MOST_TUPLE_HUBS) | (F.expr("shiftleft(1L, size(hubs)) - 1") > F.col("__n"))
+    judged = materialize(sets.join(total, OWNER).withColumn("listed", many).drop("__n"))
+    sums = [F.sum(n).alias(n) for n in names]
+
+    in_trie = judged.where("NOT listed").drop("listed")
+    chosen = F.explode(F.expr("sequence(1, shiftleft(1, size(hubs)) - 1)"))
+    held = F.expr("filter(hubs, (h, i) -> (shiftright(__tuple, i) & 1) = 1)")
+    tuples = materialize(in_trie.withColumn("__tuple", chosen).withColumn("__tuple", held))
+    nodes = materialize(tuples.groupBy(OWNER, "__tuple").agg(*sums))
+    sign = F.when(F.size("__tuple") % 2 == 1, 1).otherwise(-1)
+    from_trie = tuples.select(OWNER, "hubs", "__tuple").join(nodes, [OWNER, "__tuple"]).select(
+        OWNER, "hubs", *[(F.col(n) * sign).alias(n) for n in names]
+    )
+    if judged.where("listed").isEmpty():
+        return from_trie.groupBy(OWNER, "hubs").agg(*sums)
+
+    at_hub = materialize(judged.withColumn(TERMINAL, F.explode("hubs")))
+    other = at_hub.withColumnsRenamed({"hubs": "other", "listed": "other_listed"} | {n: f"__{n}" for n in names})
+    met = salted_join(at_hub.where("listed"), other, [OWNER, TERMINAL], "inner").where(_at_first_shared("hubs", "other"))
+    met = materialize(met.drop("listed", TERMINAL))
+    to_listed = met.select(OWNER, "hubs", *[F.col(f"__{n}").alias(n) for n in names])
+    to_others = met.where("NOT other_listed").select(OWNER, F.col("other").alias("hubs"), *names)
+    return from_trie.unionByName(to_listed).unionByName(to_others).groupBy(OWNER, "hubs").agg(*sums)
+
+
 def paired_sums(
     members: DataFrame, weights: DataFrame, names: Sequence[str], hub_members: int = HUB_MEMBERS
 ) -> DataFrame:
@@ -170,22 +252,27 @@ def paired_sums(
 
     Terminals with over ``hub_members`` establishments of an owner are hubs. Who
     an establishment meets at hubs depends on its set of hubs alone, so those
-    sums are taken between the distinct sets (as sorted arrays). Establishments
-    that meet only at smaller terminals are listed, at most ``hub_members`` per
-    establishment and terminal. No pair is counted twice: a listed pair must not
-    share a hub. The work is rows times ``hub_members`` plus pairs of hub sets.
+    sums are taken between the distinct sets (as sorted arrays), through a trie
+    of hub tuples (``_between_hub_sets``). Establishments that meet only at
+    smaller terminals are listed, at most ``hub_members`` per establishment and
+    terminal, at the smallest terminal that both hold. No pair is counted twice:
+    a listed pair must not share a hub.
     """
     key, names = [OWNER, ESTABLISHMENT], list(names)
     terminals = _hub_terminals(members, hub_members)
     meeting = members.join(terminals, [OWNER, TERMINAL])
-    hubs = F.array_sort(F.collect_set(F.when(F.col("hub"), F.col(TERMINAL))))
+    lists = meeting.groupBy(*key).agg(
+        F.array_sort(F.collect_set(F.when(F.col("hub"), F.col(TERMINAL)))).alias("hubs"),
+        F.array_sort(F.collect_set(F.when(~F.col("hub"), F.col(TERMINAL)))).alias("smalls"),
+    )
+    none = F.array().cast("array<string>")
     valued = materialize(
         members.groupBy(*key)
         .agg(F.bool_or("active").alias("active"))
-        .join(meeting.groupBy(*key).agg(hubs.alias("hubs")), key, "left")
+        .join(lists, key, "left")
         .join(weights, ESTABLISHMENT, "left")
         .select(
-            *key, "active", F.coalesce("hubs", F.array().cast("array<string>")).alias("hubs"),
+            *key, "active", F.coalesce("hubs", none).alias("hubs"), F.coalesce("smalls", none).alias("smalls"),
             *[F.coalesce(n, F.lit(0)).alias(n) for n in names],
         )
     )
@@ -198,30 +285,24 @@ def paired_sums(
             *[F.coalesce(F.sum(F.when(F.col("active"), F.col(n))), F.lit(0)).alias(n) for n in names]
         )
     )
-    at_hub = sets.select(OWNER, "hubs", F.explode("hubs").alias(TERMINAL))
-    other = at_hub.withColumnRenamed("hubs", "other")
-    met = at_hub.join(other, [OWNER, TERMINAL]).select(OWNER, "hubs", "other").distinct()
-    of_sets = met.join(sets.withColumnRenamed("hubs", "other"), [OWNER, "other"]).groupBy(OWNER, "hubs").agg(*sums)
+    of_sets = _between_hub_sets(sets, names)
     at_hubs = with_hubs.join(of_sets.withColumnsRenamed({n: f"__{n}" for n in names}), [OWNER, "hubs"]).select(
         ESTABLISHMENT,
         *[(F.col(f"__{n}") - F.when(F.col("active"), F.col(n)).otherwise(0)).alias(n) for n in names],
     )
 
     # between establishments that share smaller terminals only
-    small = materialize(
-        meeting.where(~F.col("hub")).select(*key, TERMINAL).join(valued.select(*key, "hubs"), key)
+    small = materialize(valued.select(*key, "hubs", "smalls", "active", F.explode("smalls").alias(TERMINAL), *names))
+    partner = small.where("active").select(
+        OWNER, TERMINAL, F.col(ESTABLISHMENT).alias("__partner"), F.col("hubs").alias("__hubs"),
+        F.col("smalls").alias("__smalls"), *names,
     )
-    partner = small.select(
-        OWNER, TERMINAL, F.col(ESTABLISHMENT).alias("__partner"), F.col("hubs").alias("__hubs")
-    )
-    listed = (
-        small.join(partner, [OWNER, TERMINAL])
+    at_small = (
+        small.drop("active", *names).join(partner, [OWNER, TERMINAL])
         .where((F.col(ESTABLISHMENT) != F.col("__partner")) & ~F.arrays_overlap("hubs", "__hubs"))
-        .select(ESTABLISHMENT, "__partner")
-        .distinct()
+        .where(_at_first_shared("smalls", "__smalls"))
+        .select(ESTABLISHMENT, *names)
     )
-    active = valued.where("active").select(F.col(ESTABLISHMENT).alias("__partner"), *names)
-    at_small = listed.join(active, "__partner").select(ESTABLISHMENT, *names)
 
     own = valued.select(ESTABLISHMENT, *names)
     return (

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from conftest import plan, values
@@ -147,5 +148,76 @@ def test_different_sets_around_a_hub_make_no_pairs_at_the_hub(spark, monkeypatch
     assert sum(df.count() for df in written) <= 8 * n
 
 
+def hub_world(spark, n, hubs, each, seed=3):
+    """``n`` establishments of one owner with ``each`` random hubs of ``hubs``."""
+    rng = random.Random(seed)
+    rows = [(e, "T", f"07H{h:03d}", e % 3 > 0) for e in range(n) for h in rng.sample(range(hubs), each(rng))]
+    members = spark.createDataFrame(
+        rows, "nro_establecimiento long, cuit_establecimiento_host string, nro_terminal string, active boolean"
+    )
+    return rows, members, members.select("nro_establecimiento", F.col("nro_establecimiento").alias("w")).distinct()
+
+
+@pytest.mark.parametrize("listed", [False, True])
+def test_random_hub_sets_equal_the_plain_sums(spark, monkeypatch, listed):
+    if listed:  # long sets are paired, short ones go through the trie
+        monkeypatch.setattr(U, "MOST_TUPLE_HUBS", 3)
+    rows, members, weights = hub_world(spark, 220, 12, lambda rng: rng.randrange(1, 8))
+    held, active = {}, {}
+    for e, _, t, a in rows:
+        held.setdefault(e, set()).add(t)
+        active[e] = a
+    want = sorted((e, e + sum(o for o in held if o != e and active[o] and held[o] & held[e])) for e in held)
+    assert values(U.paired_sums(members, weights, ["w"], 8), U.REF, "w") == sorted(want, key=repr)
+
+
+def test_rows_grow_with_the_establishments(spark, monkeypatch):
+    """Fifty hubs, four random ones each: what is written grows linearly, no two sets are paired."""
+    made = {}
+    for n in (2000, 4000, 8000):
+        _, members, weights = hub_world(spark, n, 50, lambda rng: 4)
+        members = materialized(members)
+        written = []
+
+        def counted(df, written=written):
+            written.append(storage.materialize(df))
+            return written[-1]
+
+        monkeypatch.setattr(U, "materialize", counted)
+        got = U.paired_sums(members, materialized(weights), ["w"])
+        text = plan(got)
+        assert got.count() == n
+        assert "other_listed" not in text and "Cartesian" not in text
+        made[n] = sum(df.count() for df in written)
+    assert made[8000] <= 2.1 * made[4000] <= 4.4 * made[2000] and made[8000] <= 32 * 8000
+
+
+def materialized(df):
+    return storage.materialize(df)
+
+
+@pytest.mark.parametrize("most", [256, 1])
+def test_paired_ids_equal_the_distinct_ids_of_the_universe(world, reference, most):
+    fields, _, terminals, activity = world
+    members = U.owned_terminals(U.with_active_flag(fields, activity), terminals)
+    got = U.paired_ids(members, most)
+    assert got.count() == got.distinct().count()
+    columns = ("nro_establecimiento", "nro_establecimiento_ref", "cuit_establecimiento_host_ref")
+    assert values(got, *columns) == values(U.distinct_ids(reference), *columns)
+
+
+def test_pairs_are_not_reduced(world, reference):
+    """No aggregate stands above the join that makes the pairs."""
+    fields, _, terminals, activity = world
+    members = U.owned_terminals(U.with_active_flag(fields, activity), terminals)
+
+    def of_pairs(df):
+        tree = df._jdf.queryExecution().optimizedPlan().toString()
+        keys = re.findall(r"Aggregate \[([^\]]*)\]", tree)
+        return [k for k in keys if "__partner" in k or U.REF in k]
+
+    assert of_pairs(U.distinct_ids(reference)) and not of_pairs(U.paired_ids(members))
+
+
 def test_no_cartesian_product(reference):
     assert "Cartesian" not in plan(reference) and "NestedLoop" not in plan(reference)
