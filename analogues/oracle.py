@@ -241,7 +241,7 @@ PLACEHOLDERS = ", ".join(
 )
 
 DATE_COLUMNS = {
-    "fe_proceso", "fecha_alta", "fecha_contrato", "fecha_fin", "fecha_host_entrada_autoriz",
+    "desde", "fe_proceso", "fecha_alta", "fecha_contrato", "fecha_fin", "fecha_host_entrada_autoriz",
     "fecha_inicio", "fecha_inicio_facturacion", "fecha_instalacion", "fecha_movimiento", "o_orderdate",
     "ultima_fecha_actividad", "ultima_parametrizacion",
 }
@@ -341,6 +341,8 @@ def statements() -> dict[str, str]:
         "address_latest": tidy("latest_addresses", ("nro_establecimiento", *ADDRESS_FIELDS)),
         "establishment_universe": tidy("establishment_universe", UNIVERSE_COLUMNS),
         "establishment_features": tidy("establishment_features", FEATURE_COLUMNS),
+        "establishment_universe_dated": tidy("dated_universe", (*UNIVERSE_COLUMNS, "desde")),
+        "establishment_features_dated": tidy("establishment_features_dated", [*FEATURE_COLUMNS, "desde"]),
         "establishment_features_rows": tidy("establishment_features_rows", FEATURE_COLUMNS),
         "establishment_fields": tidy("fields", FIELDS),
         "terminal_universe": tidy("terminal_universe", ("nro_establecimiento", "nro_terminal")),

@@ -311,6 +311,16 @@ def establishment_universe(t: Tables) -> DataFrame:
     return tidy(PE.establishment_universe(t))
 
 
+@query
+def establishment_universe_dated(t: Tables) -> DataFrame:
+    return tidy(PE.establishment_universe(t, places="dated"))
+
+
+@whole
+def establishment_features_dated(t: Tables) -> DataFrame:
+    return tidy(PE.establishment_features(t, DATE_REF, places="dated"))
+
+
 @whole
 def establishment_features(t: Tables) -> DataFrame:
     return tidy(PE.establishment_features(t, DATE_REF))

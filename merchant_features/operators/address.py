@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchant_features.functions.expressions import format_address, is_blank, province_code
-from merchant_features.operators.history import current_versions, top1_per_key
+from merchant_features.operators.history import current_versions, top1_per_key, valid_on_days
 from merchant_features.operators.lookup import lookup
 from merchant_features.sources.storage import materialize
 
@@ -23,9 +23,9 @@ FALLBACK_TYPE = "1"
 
 
 def typed_addresses(
-    addresses: DataFrame, provinces: DataFrame, *kinds: str, current_only: bool = False
+    addresses: DataFrame, provinces: DataFrame, *kinds: str, current_only: bool = False, kept: Sequence[str] = ()
 ) -> DataFrame:
-    """Addresses of the given types with their province and the single-line form."""
+    """Addresses of the given types with their province and the single-line form; ``kept`` names further columns."""
     rows = addresses.where(F.col("cod_tipo_direccion").isin(*kinds))
     if current_only:
         rows = current_versions(rows)
@@ -47,6 +47,7 @@ def typed_addresses(
         "desc_provincia",
         format_address("calle", "numero", "nombre_localidad", "desc_provincia").alias("direccion"),
         "id_carga",
+        *kept,
     )
 
 
@@ -123,3 +124,17 @@ def latest_unified_addresses(
         .join(sides.select(ESTABLISHMENT, chosen.alias("chosen")), ESTABLISHMENT, "left")
         .select(ESTABLISHMENT, *[F.col(f"chosen.{c}").alias(c) for c in ADDRESS_FIELDS])
     )
+
+
+def addresses_on_days(days: DataFrame, addresses: DataFrame, provinces: DataFrame, day: str) -> DataFrame:
+    """The one address of every establishment and day of ``days``: preferred if it names a street, else fallback."""
+    typed = typed_addresses(addresses, provinces, PREFERRED_TYPE, FALLBACK_TYPE, kept=["fecha_fin"])
+    kind = F.col("cod_tipo_direccion")
+    found = valid_on_days(
+        days, typed, ESTABLISHMENT, day, "fecha_fin", {"primary": kind == PREFERRED_TYPE, "secondary": kind == FALLBACK_TYPE},
+        ADDRESS_FIELDS, "id_carga",
+    )
+    chosen = F.when(is_blank("primary.nombre_calle"), F.col("secondary")).otherwise(F.col("primary"))
+    return found.select(ESTABLISHMENT, day, chosen.alias("chosen")).select(
+        ESTABLISHMENT, day, *[F.col(f"chosen.{c}").alias(c) for c in ADDRESS_FIELDS]
+    )

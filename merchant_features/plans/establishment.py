@@ -5,18 +5,20 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from merchant_features.functions.geo import sanitize_geo
 from merchant_features.functions.periods import MONTHS, WEEKS, with_period
 from merchant_features.operators.activity import ESTABLISHMENT, establishment_activity
-from merchant_features.operators.address import unified_addresses
+from merchant_features.operators.address import ADDRESS_FIELDS, addresses_on_days, unified_addresses
 from merchant_features.operators.contracts import cast_to_schema
 from merchant_features.operators.lookup import lookup
-from merchant_features.operators.universe import OWNER, latest_establishments, with_location
+from merchant_features.operators.universe import GEO_COLUMNS, OWNER, latest_establishments, with_location
 from merchant_features.sources.storage import materialize
 from merchant_features.sources.tables import ESTABLISHMENT_SOURCES, narrow
 
+VERSION_DAY = "desde"
 HISTORY_ATTRIBUTES = (
     "cod_rubro", "nombre_fantasia", "cod_estado_establecimiento", "cod_tipo_contrib_ganancias",
     "cod_tipo_iva", "cod_tipo_contrib_ing_brutos", "cod_ciclo_pago_estab",
@@ -99,9 +101,9 @@ def establishment_base(history: DataFrame) -> DataFrame:
     return latest_establishments(history, [OWNER])
 
 
-def _versions(tables: Mapping[str, DataFrame]) -> DataFrame:
+def _versions(tables: Mapping[str, DataFrame], *more: Column) -> DataFrame:
     """Distinct attributes of the history versions with their code names."""
-    versions = tables["establishment_history"].select(ESTABLISHMENT, *HISTORY_ATTRIBUTES).distinct()
+    versions = tables["establishment_history"].select(ESTABLISHMENT, *HISTORY_ATTRIBUTES, *more).distinct()
     for table, key, table_key, name, source in CODE_TABLES:
         names = tables[table].select(table_key, source).distinct()
         versions = lookup(versions, names, {key: table_key}, {name: source})
@@ -118,15 +120,40 @@ def _places(tables: Mapping[str, DataFrame], current_addresses_only: bool) -> Da
 
 
 def establishment_universe(
-    tables: Mapping[str, DataFrame], current_addresses_only: bool = False
+    tables: Mapping[str, DataFrame], current_addresses_only: bool = False, places: str = "all"
 ) -> DataFrame:
     """Every distinct history version with code names, addresses and location.
 
     Versions and places are each reduced to distinct rows before they meet, so
-    their combinations need no further DISTINCT.
+    their combinations need no further DISTINCT. With ``places="dated"`` a
+    version meets one place only, that of the day it starts on, which the column
+    ``desde`` holds: the rows grow with the versions, not with the product.
     """
-    places = materialize(_places(tables, current_addresses_only))
-    return _versions(tables).join(places, ESTABLISHMENT)
+    if places == "dated":
+        return _dated_universe(tables)
+    if places != "all":
+        raise ValueError(f"unknown places {places!r}")
+    located = materialize(_places(tables, current_addresses_only))
+    return _versions(tables).join(located, ESTABLISHMENT)
+
+
+def _dated_universe(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Every version once per day it starts on (``desde``), with the place of that day."""
+    start = F.to_date("fecha_inicio").alias(VERSION_DAY)
+    versions = materialize(_versions(tables, start))
+    days = versions.select(ESTABLISHMENT, VERSION_DAY).distinct()
+    places = addresses_on_days(days, tables["address_history"], tables["provinces"], VERSION_DAY)
+    # locations carry no dates: one of them, the same on every day
+    columns = [F.col(c) for c in GEO_COLUMNS]
+    location = tables["geo_location"].groupBy(ESTABLISHMENT).agg(F.min(F.struct(*columns)).alias("geo")).select(
+        ESTABLISHMENT, "geo.*"
+    )
+    base = establishment_base(tables["establishment_history"])
+    owned = versions.join(base, ESTABLISHMENT)
+    on_day = [F.col(f"v.{c}").eqNullSafe(F.col(f"p.{c}")) for c in (ESTABLISHMENT, VERSION_DAY)]
+    placed = owned.alias("v").join(places.alias("p"), on_day, "left").select("v.*", *[F.col(f"p.{c}") for c in ADDRESS_FIELDS])
+    located = lookup(placed, location, ESTABLISHMENT, GEO_COLUMNS)
+    return located.withColumns(sanitize_geo("desc_provincia"))
 
 
 def establishment_features(
@@ -134,6 +161,7 @@ def establishment_features(
     date_ref: date,
     weighting: str = "none",
     current_addresses_only: bool = False,
+    places: str = "all",
 ) -> DataFrame:
     """Establishment attributes with 12 monthly and 4 weekly counts and volumes.
 
@@ -142,13 +170,19 @@ def establishment_features(
     The activity joins the places, and the versions join last: that one join
     has a written table on one side and a shuffle on the other, the form in
     which adaptive execution splits an establishment with very many versions.
+    With ``places="dated"`` a version has one row per day it starts on, with the
+    place of that day (``weighting="rows"`` is of the product only).
     """
-    if weighting not in ("none", "rows"):
+    if weighting not in ("none", "rows") or (weighting == "rows" and places != "all"):
         raise ValueError(f"unknown weighting {weighting!r}")
     tables = narrow(tables, ESTABLISHMENT_SOURCES, date_ref)
+    activity = establishment_activity(tables["movements"], date_ref)
+    if places == "dated":
+        rows = establishment_universe(tables, places=places).join(materialize(activity), ESTABLISHMENT, "left")
+        kinds = {VERSION_DAY: "date"} | ATTRIBUTE_TYPES | MEASURE_TYPES
+        return with_period(cast_to_schema(rows, kinds, rename=RENAMED, defaults=dict.fromkeys(MEASURE_TYPES, 0)), date_ref)
     versions = _versions(tables)
     places = _places(tables, current_addresses_only)
-    activity = establishment_activity(tables["movements"], date_ref)
     if weighting == "rows":
         places = materialize(places)
         n_places = places.groupBy(ESTABLISHMENT).agg(F.count(F.lit(1)).alias("__places"))

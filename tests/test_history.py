@@ -1,7 +1,10 @@
 from __future__ import annotations
 
-from datetime import date, datetime
+import random
+import re
+from datetime import date, datetime, timedelta
 
+import pytest
 from conftest import plan, values
 from pyspark.sql import functions as F
 
@@ -108,3 +111,50 @@ def test_index_is_one_row_per_month_and_broadcast(frame):
     assert values(got, "v", "indice") == sorted([(1, 1.4), (2, None), (3, None)], key=repr)
     assert values(L.with_index(df, "d", index, "inner"), "v", "indice") == sorted([(1, 1.4), (2, None)], key=repr)
     assert "BroadcastHashJoin" in plan(got)
+
+
+RECORDS = "k long, fin date, carga long, tipo string, v string"
+
+
+def valid_by_hand(days, records, kind):
+    """The first to end on the day or later, of one end the newest, of those the smallest."""
+    out = {}
+    for k, d in set(days):
+        open_records = [
+            (fin or date(9999, 12, 31), carga is None, -(carga or 0), v) for rk, fin, carga, t, v in records
+            if rk == k and k is not None and t == kind and d is not None and (fin or date(9999, 12, 31)) >= d
+        ]
+        out[k, d] = min(open_records)[3] if open_records else None
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_valid_on_days_equals_the_search_by_hand(frame, seed):
+    rng = random.Random(seed)
+    day = lambda: date(2020, 1, 1) + timedelta(days=rng.randrange(200))
+    days = [(rng.choice((None, 1, 2, 3, 4)), rng.choice((None, day(), day(), day()))) for _ in range(150)] + [(1, date(9999, 12, 31))]
+    records = [
+        (rng.choice((None, 1, 2, 3)), rng.choice((None, *[day()] * 6)), rng.choice((None, 1, 2, 3)), rng.choice("abc"), f"v{n % 17}")
+        for n in range(120)
+    ]
+    got = H.valid_on_days(
+        frame("k long, d date", *days), frame(RECORDS, *records), "k", "d", "fin",
+        {"one": F.col("tipo") == "a", "two": F.col("tipo") == "b"}, ["v"], "carga",
+    )
+    rows = got.collect()
+    one, two = (valid_by_hand(days, records, kind) for kind in "ab")
+    assert len(rows) == len(set(days)) and sum(v is not None for v in one.values()) > 30
+    for r in rows:
+        assert (r.one and r.one.v) == one[r.k, r.d], (r.k, r.d)
+        assert (r.two and r.two.v) == two[r.k, r.d], (r.k, r.d)
+
+
+def test_a_key_is_swept_month_by_month(spark, frame):
+    """A key with very many days is not one window: windows over rows are by key and month, those by key over months."""
+    days = spark.range(1000).selectExpr("1L AS k", "date_add(DATE'2000-01-01', CAST(id AS INT)) AS d")
+    got = H.valid_on_days(days, frame(RECORDS, (1, date(2001, 5, 1), 1, "a", "x")), "k", "d", "fin", {"one": F.col("tipo") == "a"}, ["v"], "carga")
+    windows = [x for x in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window " in x]
+    over_rows = [x for x in windows if re.search(r"\], \[__key#\d+L?, __month#\d+\]", x)]
+    assert len(windows) == 2 and len(over_rows) == 1
+    assert got.where("one IS NOT NULL").count() == 487
+    assert "Cartesian" not in plan(got) and "NestedLoop" not in plan(got)
