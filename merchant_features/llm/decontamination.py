@@ -28,7 +28,7 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -170,9 +170,9 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_windows: i
 
 
 def _compiled(block: DataFrame, width: int):
-    """The tables of one block, sent to every executor once."""
+    """The tables of one block, sent to every executor once, as plain tuples (see ``frames.broadcast_fields``)."""
     patterns = compile_patterns([tuple(r) for r in block.collect()], width)
-    return block.sparkSession.sparkContext.broadcast(patterns)
+    return block.sparkSession.sparkContext.broadcast([tuple(getattr(p, f.name) for f in fields(p)) for p in patterns])
 
 
 def _tag(text: pa.Scalar) -> bytes:
@@ -194,10 +194,11 @@ def hits(
         compiled = _compiled(block, width)
 
         def scan(batches: Iterator[pa.RecordBatch], compiled=compiled) -> Iterator[pa.RecordBatch]:
+            patterns = [Patterns(*p) for p in compiled.value]
             for batch in batches:
                 out = []
                 ids, column = batch.column(0).to_pylist(), batch.column(1)
-                for row, n, hit, items in search(column, compiled.value):
+                for row, n, hit, items in search(column, patterns):
                     breaks = np.flatnonzero(np.diff(hit) > 1) + 1
                     begins = hit[np.concatenate(([0], breaks))] if len(hit) else hit
                     ends = hit[np.concatenate((breaks - 1, [len(hit) - 1]))] + 1 if len(hit) else hit
@@ -268,9 +269,10 @@ def clean(
         compiled = _compiled(block, width)
 
         def keep(batches: Iterator[pa.RecordBatch], compiled=compiled) -> Iterator[pa.RecordBatch]:
+            patterns = [Patterns(*p) for p in compiled.value]
             for batch in batches:
                 stay = np.ones(batch.num_rows, bool)
-                for row, _, hit, _ in search(batch.column(at), compiled.value):
+                for row, _, hit, _ in search(batch.column(at), patterns):
                     stay[row] = not len(hit)
                 yield batch.filter(pa.array(stay))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import string
 from collections.abc import Callable
 
@@ -25,6 +26,14 @@ def lower_az(text: Column) -> Column:
     )
 
 
+def broadcast_fields(spark: SparkSession, value):
+    """A dataclass instance sent as the tuple of its fields, to be made again in the tasks.
+
+    Broadcast values are pickled by the names of their classes, which executors need not have; functions are not.
+    """
+    return spark.sparkContext.broadcast(tuple(getattr(value, f.name) for f in dataclasses.fields(value)))
+
+
 def words_of(text: Column) -> Column:
     """Runs of anything but white space."""
     return F.array_remove(F.split(text, SPACE_CLASS + "+"), "")

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from merchant_features.llm import words as W
 from merchant_features.llm.components import components
-from merchant_features.llm.frames import row_columns, row_struct
+from merchant_features.llm.frames import broadcast_fields, row_columns, row_struct
 from merchant_features.llm.groups import first_shared, reachable
 from merchant_features.llm.occurrences import Occurrences, count, in_bitmap, slot_bitmap
 from merchant_features.sources.storage import materialize
@@ -90,16 +90,18 @@ def _indexed(docs: DataFrame, occurrences, n: int, percent: int, id_type: str) -
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "tag", "size", "digest", "token", "pos"]
         entered: set[bytes] = set()  # classes this task has entered: copies add nothing
+        known = Occurrences(*occurrences.value)
         for batch in batches:
             ids, sizes, digests, rows = batch.column(0), [], [], []
-            for _, tokens in shingle_sets(batch.column(2), n):
+            named = ids.is_valid().to_numpy(zero_copy_only=False)
+            for row, tokens in shingle_sets(batch.column(2), n):
                 sizes.append(len(tokens))
                 digests.append(digest(tokens) if len(tokens) else None)
-                if not len(tokens) or digests[-1] in entered:
+                if not len(tokens) or not named[row] or digests[-1] in entered:
                     continue
                 entered.add(digests[-1])
                 prefix = len(tokens) - -(-len(tokens) * percent // 100) + 1
-                ordered, shared = ranked(tokens, occurrences.value)
+                ordered, shared = ranked(tokens, known)
                 at = np.flatnonzero(shared[:prefix])
                 if len(at):
                     rows.append((len(tokens), digests[-1], ordered[at].view(np.int64), at))
@@ -158,15 +160,19 @@ def _reach(percent: int) -> int:
 
 
 def _with_room(entries: DataFrame, percent: int) -> DataFrame:
-    """Index entries that another entry of their list may link to, by sizes and positions of the list's blocks."""
+    """Index entries that another class of their list may link to, by sizes and positions of the list's blocks.
+
+    A class may be entered by several tasks; its entries are equal and count as one.
+    """
     blocks = entries.groupBy("token", _size_step().alias("step")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("size").alias("least"), F.max(F.col("size") - F.col("pos")).alias("best")
+        F.min("digest").alias("first"), F.max("digest").alias("last"), F.min("size").alias("least"),
+        F.max(F.col("size") - F.col("pos")).alias("best"),
     )
     near = Window.partitionBy("token").orderBy("step").rangeBetween(-_reach(percent), _reach(percent))
     seen = blocks.select(
-        "token", "step", F.sum("n").over(near).alias("n_near"), F.min("least").over(near).alias("least"),
-        F.max("best").over(near).alias("best"),
-    ).where("n_near > 1")
+        "token", "step", F.min("first").over(near).alias("first"), F.max("last").over(near).alias("last"),
+        F.min("least").over(near).alias("least"), F.max("best").over(near).alias("best"),
+    ).where("first <> last").drop("first", "last")
     room = F.least(F.col("size") - F.col("pos"), F.col("best")) * (100 + percent) >= percent * (F.col("size") + F.col("least"))
     found = entries.withColumn("step", _size_step()).join(seen, ["token", "step"]).where(room)
     return found.select("token", "digest", "size", "pos")
@@ -194,8 +200,7 @@ def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             )
 
     joined = pairs.join(x, "digest").join(y, "leader").select("leader", "digest", "x", "y")
-    schema = "leader binary, digest binary, size int, leader_size int, fewer binary, more binary"
-    return materialize(joined.mapInArrow(compared, schema))
+    return joined.mapInArrow(compared, "leader binary, digest binary, size int, leader_size int, fewer binary, more binary")
 
 
 def _counts(xs: list[np.ndarray], ys: list[np.ndarray], step: int = 4096) -> np.ndarray:
@@ -220,16 +225,20 @@ def _counts(xs: list[np.ndarray], ys: list[np.ndarray], step: int = 4096) -> np.
 
 
 def _blocks(members: DataFrame, percent: int) -> DataFrame:
-    """``members`` of the groups, each row in every pair of blocks that it is compared in (low, high, side)."""
-    sizes = members.groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("fewer") + F.length("more")).alias("grams"))
-    large = (F.col("n") > BLOCK_SETS) | (F.col("grams") > 8 * BLOCK_GRAMS)
-    sizes = materialize(sizes.where("n > 1").select("leader", large.alias("large")))
-    stepped = members.join(sizes, "leader").withColumn("step", F.when(F.col("large"), _size_step()).otherwise(-1))
+    """``members`` of the groups, each row in every pair of blocks that it is compared in (low, high, side).
+
+    Blocks are found on narrow rows; the differences join them once.
+    """
+    grams = ((F.length("fewer") + F.length("more")) / 8).alias("grams")
+    narrow = members.select("leader", "digest", "size", grams)
+    sizes = narrow.groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.sum("grams").alias("grams"))
+    large = (F.col("n") > BLOCK_SETS) | (F.col("grams") > BLOCK_GRAMS)
+    sizes = sizes.where("n > 1").select("leader", large.alias("large"))
+    stepped = narrow.join(sizes, "leader").withColumn("step", F.when(F.col("large"), _size_step()).otherwise(-1))
+    stepped = materialize(stepped.drop("large"))
     cells = materialize(
         stepped.groupBy("leader", "step").agg(
-            F.greatest(
-                F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum(F.length("fewer") + F.length("more")) / (8 * BLOCK_GRAMS))
-            ).cast("int").alias("parts"),
+            F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("grams") / BLOCK_GRAMS)).cast("int").alias("parts"),
             F.min("size").alias("least"), F.max("size").alias("most"),
         )
     )
@@ -244,15 +253,15 @@ def _blocks(members: DataFrame, percent: int) -> DataFrame:
     ).where("step_a < step_b OR part_a <= part_b")
     key = ["leader", "step_a", "part_a", "step_b", "part_b"]
     blocks = materialize(blocks.select(*key))
-    placed = stepped.join(cells.select("leader", "step", "parts"), ["leader", "step"]).withColumn(
-        "part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int")
+    placed = stepped.join(cells.select("leader", "step", "parts"), ["leader", "step"]).select(
+        "leader", "digest", "step", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int").alias("part")
     )
     sides = []
     for side, wanted in (("a", blocks), ("b", blocks.where("step_a < step_b OR part_a < part_b"))):
-        keyed = placed.withColumnsRenamed({"step": f"step_{side}", "part": f"part_{side}"}).drop("parts", "large")
+        keyed = placed.withColumnsRenamed({"step": f"step_{side}", "part": f"part_{side}"})
         joined = wanted.join(keyed, ["leader", f"step_{side}", f"part_{side}"])
-        sides.append(joined.withColumn("second", F.lit(side == "b")))
-    return sides[0].unionByName(sides[1])
+        sides.append(joined.select(*key, "digest", F.lit(side == "b").alias("second")))
+    return sides[0].unionByName(sides[1]).join(members, ["leader", "digest"])
 
 
 def _linked(blocks: DataFrame, percent: int, listed: bool) -> DataFrame:
@@ -332,26 +341,25 @@ def similar_sets(
     texts = docs.select(F.col(id_col).alias("id"), text).select("id", F.xxhash64("text").alias("tag"), "text")
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     occurrences = count(texts, lambda column: (t for _, t in shingle_sets(column, n)), n_bytes / 7)
-    sent = docs.sparkSession.sparkContext.broadcast(occurrences)
+    sent = broadcast_fields(docs.sparkSession, occurrences)
     id_type = texts.schema["id"].dataType.simpleString()
     both = materialize(_indexed(texts, sent, n, percent, id_type))
     rows = both.where("token IS NULL").select("id", "tag", "size", "digest")
     named = rows.where("id IS NOT NULL AND digest IS NOT NULL")
     classes = materialize(named.groupBy("digest").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")))
 
-    entries = materialize(both.where("token IS NOT NULL").select("token", "digest", "size", "pos").distinct())
-    entries = materialize(_with_room(entries.join(classes.select("digest"), "digest", "left_semi"), percent))
+    entries = materialize(_with_room(both.where("token IS NOT NULL").select("token", "digest", "size", "pos"), percent))
     lists = entries.groupBy("token").agg(
-        F.min(F.struct("pos", "size", "digest"))["digest"].alias("leader"), F.count(F.lit(1)).alias("length")
+        F.min(F.struct("pos", "size", "digest"))["digest"].alias("leader"), F.min("digest").alias("first"), F.max("digest").alias("last")
     )
-    grouped = materialize(entries.join(lists.where("length > 1"), "token").select("leader", "digest").distinct())
+    grouped = materialize(entries.join(lists.where("first <> last"), "token").select("leader", "digest").distinct())
     wanted = grouped.select("digest").distinct().join(classes.select("digest", F.col("least").alias("id")), "digest")
     members = _differences(grouped, _sets(texts, wanted, n))
 
     group_key = F.xxhash64("leader")
     groups = grouped.groupBy("digest").agg(F.sort_array(F.collect_set(group_key)).alias("groups"))
-    known = materialize(groups.join(classes.select("digest", "copies"), "digest"))
-    blocks = _blocks(members, percent).join(known, "digest").withColumn("group_key", group_key)
+    known = groups.join(classes.select("digest", "copies"), "digest")
+    blocks = _blocks(materialize(members.join(known, "digest")), percent).withColumn("group_key", group_key)
     told = _linked(blocks, percent, False)
     others = told.groupBy("digest").agg(F.sum("others").alias("others"))
     joined = components(told.select(F.col("digest").alias("a"), F.col("root").alias("b")))

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchant_features.llm import words as W
+from merchant_features.llm.frames import broadcast_fields
 
 BITS = 12
 DIMENSIONS = 1 << BITS
@@ -158,11 +159,11 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 def predict(rows: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score, rejected) of every row; the text is all that is looked at."""
-    sent = rows.sparkSession.sparkContext.broadcast(model)
+    sent = broadcast_fields(rows.sparkSession, model)
     texts = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), has_letter(F.col(text_col)).alias("known"))
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
+        m = Model(*sent.value)
         for batch in batches:
             known = batch.column(2).to_numpy(zero_copy_only=False)
             langs, scores, rejected = [], [], []

@@ -38,7 +38,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchant_features.llm import words as W
-from merchant_features.llm.occurrences import count, in_bitmap, slot_bitmap
+from merchant_features.llm.frames import broadcast_fields
+from merchant_features.llm.occurrences import Occurrences, count, in_bitmap, slot_bitmap
 from merchant_features.sources.storage import materialize
 
 LENGTH = 200
@@ -155,10 +156,11 @@ def repeated_anchors(texts: DataFrame, occurrences, length: int, gram: int, id_t
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "tag", "key", "context", "first", "n"]
+        known = Occurrences(*occurrences.value)
         for batch in batches:
             for part in W.slices(batch.column(2)):
                 every = anchors(part.raw, part.bounds, length, gram)
-                chosen = np.flatnonzero(occurrences.value.may_repeat(every[0]))
+                chosen = np.flatnonzero(known.may_repeat(every[0]))
                 if not len(chosen):
                     continue
                 document, h, _, first, stop, digests = _contexts(part, every, chosen, length)
@@ -507,18 +509,18 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = docs.select(F.col(id_col).alias("id"), text.alias("text")).select("id", F.xxhash64("text").alias("tag"), "text")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     expected = 2 * size / (length - gram + 2)
-    sent = docs.sparkSession.sparkContext.broadcast(
-        count(texts, lambda column: anchor_hashes(column, length, gram), expected, most_hot=1)
-    )
+    occurrences = count(texts, lambda column: anchor_hashes(column, length, gram), expected, most_hot=1)
+    sent = broadcast_fields(docs.sparkSession, occurrences)
     exceptions = _exceptions(texts, sent, length, gram, group).withColumnsRenamed({"id": "of", "tag": "of_tag"})
     same = texts["id"].eqNullSafe(exceptions["of"]) & (texts["tag"] == exceptions["of_tag"])
     joined = texts.join(exceptions, same, "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
+        known = Occurrences(*sent.value)
         for batch in batches:
             for part in W.slices(batch.column(1)):
-                begin, end = _edges(_window_flags(part, batch.column(2), sent.value, length, gram))
+                begin, end = _edges(_window_flags(part, batch.column(2), known, length, gram))
                 gone = np.zeros(len(part.raw) + 1, np.int32)
                 np.add.at(gone, begin, 1)
                 np.add.at(gone, end - 1 + length, -1)
