@@ -461,6 +461,11 @@ def statements() -> dict[str, str]:
             FROM {POINTS} AS a JOIN {POINTS} AS b ON abs(a.latitud - b.latitud) < 0.1
             WHERE a.longitud IS NOT NULL AND a.cuit_establecimiento_host IS NOT NULL
             GROUP BY a.nro_establecimiento"""),
+        "radius_pairs": query(f"""
+            SELECT a.nro_establecimiento, b.nro_establecimiento AS nro_vecino, {rounded(km("a", "b"))} AS km
+            FROM {POINTS} AS a JOIN {POINTS} AS b ON abs(a.latitud - b.latitud) < 0.1
+                 AND a.cuit_establecimiento_host <> b.cuit_establecimiento_host
+            WHERE {km("a", "b")} <= 5.0"""),
         "neighbour_stats": query(f"""
             SELECT a.cuit_establecimiento_host,
                    {", ".join(f"{rounded(f'AVG(b.{m})')} AS {m}_geo" for m in COHORT_MEASURES)}

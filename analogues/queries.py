@@ -646,6 +646,17 @@ def radius_neighbours(t: Tables) -> DataFrame:
     return tidy(near.select("nro_establecimiento", F.col("n_near").alias("vecinos")))
 
 
+@query
+def radius_pairs(t: Tables) -> DataFrame:
+    """Every two establishments of different owners within five kilometres, and their distance."""
+    pairs = N.radius_join(_points(t), _points(t), 5.0, exclude=U.OWNER)
+    return tidy(
+        pairs.select(
+            F.col("a_nro_establecimiento").alias("nro_establecimiento"), F.col("b_nro_establecimiento").alias("nro_vecino"), "km"
+        )
+    )
+
+
 @query
 def neighbour_stats(t: Tables) -> DataFrame:
     rows = _points(t).join(
