@@ -234,6 +234,23 @@ def model() -> str:
     return query(body.replace("cohort_levels AS", f"({cohorts}) AS"))
 
 
+def profile(table: str, column: str, where: str) -> str:
+    """Kind, rows, known values and checksum of a column, reals in millionths."""
+    return f"""
+        SELECT '{table}' AS tabla, '{column}' AS columna, max(kind) AS tipo, COUNT(*) AS filas, COUNT(shown) AS conocidos,
+               CAST(coalesce(SUM(('0x' || substr(md5(shown), 1, 8))::BIGINT), 0) AS VARCHAR) AS suma
+        FROM (
+            SELECT kind, CASE WHEN kind = 'real'
+                              THEN CAST(CAST(round(TRY_CAST(value AS DOUBLE) * 1000000) AS BIGINT) AS VARCHAR) ELSE value END AS shown
+            FROM (
+                SELECT CAST({column} AS VARCHAR) AS value,
+                       CASE WHEN typeof({column}) IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'HUGEINT') THEN 'entero'
+                            WHEN typeof({column}) LIKE 'DECIMAL%' THEN 'decimal'
+                            WHEN typeof({column}) IN ('FLOAT', 'DOUBLE') THEN 'real'
+                            WHEN typeof({column}) IN ('DATE', 'TIMESTAMP') THEN 'fecha' ELSE 'texto' END AS kind
+                FROM {table} {where}) AS cells) AS texts"""
+
+
 #: Typed NULL columns; dates are returned as text and integers as double.
 PLACEHOLDERS = ", ".join(
     f"CAST(NULL AS {'DOUBLE' if kind in ('int', 'bigint', 'double', 'float') else 'VARCHAR'}) AS {name}"
@@ -329,6 +346,7 @@ def statements() -> dict[str, str]:
             FROM movements LEFT JOIN inflation_index AS I
                  ON I.periodo = year(fecha_movimiento) * 100 + month(fecha_movimiento)
             WHERE fecha_movimiento {WINDOW}"""),
+        "establishment_activity_rolled": tidy("establishment_activity", ("nro_establecimiento", *MEASURES)),
         "establishment_activity": tidy("establishment_activity", ("nro_establecimiento", *MEASURES)),
         "establishment_base": tidy(
             "latest_establishments", ("cuit_establecimiento_host", "nro_establecimiento")
@@ -387,9 +405,8 @@ def statements() -> dict[str, str]:
         ),
         "contract_placeholders": query(f"SELECT nro_terminal, {PLACEHOLDERS} FROM terminal_contract"),
         "registry_load": query(" UNION ALL ".join(
-            f"SELECT '{spec.name}' AS tabla, COUNT(*) AS filas FROM {spec.name}"
-            + (f" WHERE fecha_movimiento {WINDOW}" if spec.name == "movements" else "")
-            for spec in ESTABLISHMENT_SOURCES
+            profile(spec.name, c, f"WHERE fecha_movimiento {WINDOW}" if spec.name == "movements" else "")
+            for spec in ESTABLISHMENT_SOURCES for c in spec.columns
         )),
         "latest_beneficiary": tidy("latest_beneficiary", ("cuit_establecimiento_host", "beneficiario_host")),
         "latest_legal_name": tidy("latest_legal_name", ("ccuit", "crazonsocial")),
@@ -497,5 +514,6 @@ def statements() -> dict[str, str]:
         "read_period": query(ALL_RECORDS),
         "read_period_latest": query(NEWEST_RECORDS),
         "ingest_job": query(ALL_RECORDS),
+        "ingest_repeated": query(" UNION ALL ".join(ALL_RECORDS.split(" UNION ALL ")[:2])),
         "model_table": model(),
     }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from merchant_features.operators import address as AD
 from merchant_features.operators import cohorts as C
 from merchant_features.operators import history as H
 from merchant_features.operators import neighbours as N
+from merchant_features.operators import rolling as RO
 from merchant_features.operators import terminals as TE
 from merchant_features.operators import universe as U
 from merchant_features.operators.contracts import to_feature_types
@@ -38,6 +40,7 @@ from merchant_features.sources.tables import (
     PRINCIPAL_SOURCES,
     SourceSpec,
     ESTABLISHMENT_SOURCES,
+    column_profile,
     load_all,
     load_table,
     narrow,
@@ -121,10 +124,7 @@ def registry_load(t: Tables) -> DataFrame:
     for name, path in paths.items():
         t[name].write.parquet(path)
     loaded = load_all(spark, paths, ESTABLISHMENT_SOURCES, DATE_REF)
-    counts = [
-        df.groupBy(F.lit(name).alias("tabla")).agg(F.count(F.lit(1)).alias("filas")) for name, df in loaded.items()
-    ]
-    return tidy(reduce(DataFrame.unionByName, counts))
+    return tidy(reduce(DataFrame.unionByName, [column_profile(df, name) for name, df in loaded.items()]))
 
 
 def source_window_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,6 +281,15 @@ def establishment_activity(t: Tables) -> DataFrame:
     return tidy(AC.establishment_activity(t["movements"], DATE_REF))
 
 
+@query
+def establishment_activity_rolled(t: Tables) -> DataFrame:
+    """The run of the month before writes its monthly states; this run adds the new month alone."""
+    path = _new_path(t["movements"].sparkSession, "states")
+    RO.rolling_activity(t["movements"], date(2000, 6, 15), path)
+    newest = t["movements"].where(F.col("fecha_movimiento") >= F.lit(date(2000, 6, 1)))
+    return tidy(RO.rolling_activity(newest, DATE_REF, path))
+
+
 # Establishments and addresses
 
 
@@ -706,7 +715,7 @@ def _stored_target(t: Tables) -> str:
 
 @whole
 def latest_features(t: Tables) -> DataFrame:
-    stored = t["movements"].sparkSession.read.parquet(_stored_target(t) + "/records")
+    stored = FS.read_records(t["movements"].sparkSession, _stored_target(t))
     return tidy(FS.latest_features(stored, U.OWNER))
 
 
@@ -722,8 +731,25 @@ def read_period_latest(t: Tables) -> DataFrame:
 
 @whole
 def ingest_job(t: Tables) -> DataFrame:
-    table = _stored_target(t)
-    return tidy(t["movements"].sparkSession.read.parquet(f"{table}/records"))
+    return tidy(FS.read_records(t["movements"].sparkSession, _stored_target(t)))
+
+
+@whole
+def ingest_repeated(t: Tables) -> DataFrame:
+    """An ingest that is repeated, and one that breaks off after part of its files and is run again: each counts once."""
+    spark = t["movements"].sparkSession
+    table = _new_path(spark, "features")
+    target = materialize(PT.activation_target(t, DATE_REF))
+    active = F.coalesce(F.col("clase") == 1, F.lit(False))
+    first, second = _new_path(spark, "prepared"), _new_path(spark, "prepared")
+    write_features(target.where(~active), first, partitions=4)
+    write_features(target.where(active), second, partitions=4)
+    for _ in range(2):
+        FS.ingest(spark, first, table, U.OWNER, EPOCH)
+    half = to_feature_types(FS.with_event_time(load_table(spark, second), EPOCH + 3600)).where(F.crc32(U.OWNER) % 2 == 0)
+    FS.stage_features(half, table, U.OWNER, "second")
+    FS.ingest(spark, second, table, U.OWNER, EPOCH + 3600, batch="second")
+    return tidy(FS.read_records(spark, table))
 
 
 # Model

@@ -53,9 +53,9 @@ def prepare(
     tables.write_features(plan(inputs, date_ref, weighting=weighting), output, partitions)
 
 
-def ingest(spark: SparkSession, name: str, source: str, table: str, epoch: float) -> None:
-    """Append prepared files to the feature table of that name."""
-    feature_store.ingest(spark, source, table, epoch=epoch, **INGEST[name])
+def ingest(spark: SparkSession, name: str, source: str, table: str, epoch: float) -> bool:
+    """Append prepared files to the feature table of that name; a repeated job, with the same epoch, appends nothing."""
+    return feature_store.ingest(spark, source, table, epoch=epoch, **INGEST[name])
 
 
 def model_from_store(

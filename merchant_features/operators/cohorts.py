@@ -65,16 +65,16 @@ def with_cohort_stats(
     sums: Sequence[str],
     cohorts: Mapping[str, Sequence[str]] = COHORTS,
     mean_cohorts: Sequence[str] = ("rubro", "prov", "rubro_prov"),
-    max_broadcast_rows: int | None = None,
+    max_broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Rows with the means and sums of their cohorts; a NULL key has no cohort.
 
-    The statistics are written once and counted; each cohort table is broadcast
-    if it is small and joined with salted hot keys if it is not, because one
+    The statistics are written once and measured; each cohort table is broadcast
+    if its bytes are few and joined with salted hot keys if it is not, because one
     province or category may hold a third of all rows.
     """
     stats = materialize(all_cohort_stats(df, cohorts, means, sums))
-    options = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
+    options = {} if max_broadcast_bytes is None else {"max_bytes": max_broadcast_bytes}
     for name, keys in cohorts.items():
         columns = {f"sum_of_{m}": f"{m}_{name}" for m in sums}
         if name in mean_cohorts:

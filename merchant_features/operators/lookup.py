@@ -6,11 +6,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merchant_features.functions.periods import Anchors, period_key
 from merchant_features.sources.storage import materialize
 
-BROADCAST_ROWS = 200_000
+#: What is broadcast has at most so many bytes, as ``measured_bytes`` counts them.
+BROADCAST_BYTES = 64 << 20
 HOT_KEY_ROWS = 2_000_000
 
 
@@ -77,6 +79,22 @@ def with_index(
     return df.join(F.broadcast(side), period_key(day) == F.col("__period"), how).drop("__period")
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes that the rows take in memory, measured on all of them: eight per column and the text and list contents.
+
+    ``df`` must be cheap to read (a written table).
+    """
+    width = F.lit(8 * (len(df.columns) + 1)).cast("long")
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{field.name}`")))), F.lit(0))
+        elif isinstance(field.dataType, T.DecimalType) and field.dataType.precision > 18:
+            width = width + 16
+    return df.agg(F.sum(width)).first()[0] or 0
+
+
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Keys with over ``hot_rows`` rows and the number of tasks to spread each over, written once."""
     splits = F.ceil(F.count(F.lit(1)) / hot_rows).cast("int")
@@ -97,17 +115,17 @@ def salted_join(
     Keys with over ``hot_rows`` left rows are counted exactly (or given as
     ``hot``), their left rows get one of ``n`` salts and their right rows are
     repeated ``n`` times; all other keys keep salt 0. The hot-key list has at
-    most rows / ``hot_rows`` entries and its size is checked before it is
+    most rows / ``hot_rows`` entries and its bytes are measured before it is
     broadcast. The salt is a hash of ``salt_on`` (all left columns by default),
     never a random number, so a recomputed task sends every row to the place it
     went before.
     """
     keys = list(on)
     hot = hot_keys(left, keys, hot_rows) if hot is None else hot
-    n_hot = hot.count()
-    if n_hot == 0:
+    size = measured_bytes(hot)
+    if size == 0:
         return left.join(right, keys, how)
-    side = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
+    side = F.broadcast(hot) if size <= BROADCAST_BYTES else hot
     spread = F.coalesce(F.col("__n"), F.lit(1))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_on or left.columns]), spread)
     salted = left.join(side, keys, "left").withColumn("__salt", salt.cast("int")).drop("__n")
@@ -120,13 +138,13 @@ def salted_join(
 
 
 def checked_lookup(
-    df: DataFrame, dim: DataFrame, on: Sequence[str], max_rows: int = BROADCAST_ROWS
+    df: DataFrame, dim: DataFrame, on: Sequence[str], max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Left join to a table with few keys, each of them possibly hot.
 
-    ``dim`` must be cheap to count (a materialized table). It is broadcast when
-    it has at most ``max_rows`` rows; beyond that the hot keys are salted.
+    ``dim`` must be cheap to read (a written table). It is broadcast when its
+    rows have at most ``max_bytes`` bytes; beyond that the hot keys are salted.
     """
-    if dim.count() <= max_rows:
+    if measured_bytes(dim) <= max_bytes:
         return df.join(F.broadcast(dim), list(on), "left")
     return salted_join(df, dim, on, "left")

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merchant_features.functions import predicates as P
 from merchant_features.functions.periods import Anchors, anchors
@@ -35,6 +37,7 @@ def load_table(
     df = reader.parquet(path)
     if spec is None:
         return df
+    check_source(df, spec)
     if spec.where is not None:
         if date_ref is None:
             raise ValueError(f"table {spec.name} is filtered by date: date_ref is required")
@@ -67,6 +70,66 @@ def narrow(tables: Mapping[str, DataFrame], specs: Iterable[SourceSpec], date_re
     return out
 
 
+#: Kinds of columns that a profile tells apart.
+KINDS = (
+    ((T.ByteType, T.ShortType, T.IntegerType, T.LongType), "entero"), (T.DecimalType, "decimal"),
+    ((T.FloatType, T.DoubleType), "real"), (T.StringType, "texto"), ((T.DateType, T.TimestampType, T.TimestampNTZType), "fecha"),
+    (T.BooleanType, "logico"),
+)
+
+
+def kind_of(dtype: T.DataType) -> str:
+    return next((name for types, name in KINDS if isinstance(dtype, types)), dtype.simpleString())
+
+
+def _as_text(field: T.StructField) -> Column:
+    """A value's text, the same in every engine: reals in millionths, dates without their time."""
+    value = F.col(f"`{field.name}`")
+    kind = kind_of(field.dataType)
+    if kind == "real":
+        return F.round(value.cast("double") * 1_000_000).cast("bigint").cast("string")
+    if kind == "fecha":
+        return F.to_date(value).cast("string")
+    return value.cast("string")
+
+
+def column_profile(df: DataFrame, table: str) -> DataFrame:
+    """Per column: kind, rows, values that are known, and a checksum over all values that does not depend on their order.
+
+    One scan and one row per task, however wide the table is.
+    """
+    fields = df.schema.fields
+    sums = []
+    for k, field in enumerate(fields):
+        text = _as_text(field)
+        digest = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("decimal(20,0)")
+        sums += [F.count(text).alias(f"known_{k}"), F.coalesce(F.sum(digest), F.lit(0)).cast("decimal(38,0)").alias(f"sum_{k}")]
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *sums)
+    profiles = [
+        F.struct(
+            F.lit(field.name).alias("columna"), F.lit(kind_of(field.dataType)).alias("tipo"), F.col("rows").alias("filas"),
+            F.col(f"known_{k}").alias("conocidos"), F.col(f"sum_{k}").cast("string").alias("suma"),
+        )
+        for k, field in enumerate(fields)
+    ]
+    return row.select(F.lit(table).alias("tabla"), F.explode(F.array(*profiles)).alias("p")).select("tabla", "p.*")
+
+
+class SourceMismatch(ValueError):
+    """A source lacks columns of its registry entry, or has them in other kinds."""
+
+
+def check_source(df: DataFrame, spec: SourceSpec, kinds: Mapping[str, str] | None = None) -> None:
+    """Compare a source's columns, and their kinds where given, with its registry entry before anything is read."""
+    given = {f.name: kind_of(f.dataType) for f in df.schema.fields}
+    missing = [c for c in spec.columns if c not in given]
+    if missing:
+        raise SourceMismatch(f"{spec.name} lacks: {', '.join(missing)}")
+    other = {c: given[c] for c, kind in (kinds or {}).items() if c in given and given[c] != kind}
+    if other:
+        raise SourceMismatch(f"{spec.name} has other kinds: {', '.join(f'{c} {k}' for c, k in sorted(other.items()))}")
+
+
 def write_features(df: DataFrame, path: str, partitions: int | None = None) -> None:
     """Overwrite a snappy Parquet directory, optionally with a set number of files."""
     out = df.repartition(partitions) if partitions else df

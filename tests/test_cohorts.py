@@ -38,7 +38,7 @@ def test_one_pass_equals_separate_cohorts(rows):
 
 @pytest.mark.parametrize("bound", [None, 1])
 def test_null_keys_have_no_cohort_and_both_join_ways_agree(rows, bound):
-    got = C.with_cohort_stats(rows, ["a"], ["d"], max_broadcast_rows=bound)
+    got = C.with_cohort_stats(rows, ["a"], ["d"], max_broadcast_bytes=bound)
     assert values(got, "id", "a_rubro", "d_rubro", "a_prov", "d_rubro_prov", "d_loc_prov") == sorted(
         [
             (1, 15.0, 6.0, 70 / 3, 3.0, 5.0), (2, 15.0, 6.0, 70 / 3, 3.0, 2.0), (3, 15.0, 6.0, None, 3.0, 3.0),

@@ -7,6 +7,7 @@ from conftest import plan, values
 from pyspark.sql import functions as F
 
 from merchant_features.sources import feature_store as FS
+from merchant_features.sources import manifests
 from merchant_features.sources import storage
 from merchant_features.sources import tables as TB
 
@@ -64,19 +65,82 @@ def test_only_the_period_partition_is_read(spark, prepared, tmp_path):
     assert "PartitionFilters: [isnotnull(id_periodo_analisis" in text
 
 
+def test_a_repeated_ingest_adds_nothing(spark, prepared, tmp_path):
+    table = str(tmp_path / "features")
+    assert FS.ingest(spark, prepared, table, "cuit", 100)
+    assert not FS.ingest(spark, prepared + "/", table, "cuit", 100.2)
+    assert FS.read_features(spark, table, "2021-11").count() == 2
+    assert FS.ingest(spark, prepared, table, "cuit", 200) and len(FS.batches(spark, table)) == 2
+    assert FS.read_features(spark, table, "2021-11").count() == 4
+
+
+def test_what_a_dead_job_has_staged_is_not_read(spark, prepared, tmp_path, monkeypatch):
+    table = str(tmp_path / "features")
+    FS.ingest(spark, prepared, table, "cuit", 100)
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(FS, "commit_batch", dies)
+        with pytest.raises(RuntimeError):
+            FS.ingest(spark, prepared, table, "cuit", 200)
+    assert FS.read_records(spark, table).count() == 2
+    # more files than the second attempt writes: none of them stay
+    FS.stage_features(FS.read_records(spark, table).repartition(7), table, "cuit", "again")
+    assert FS.read_records(spark, table).count() == 2
+    assert FS.ingest(spark, prepared, table, "cuit", 200) and FS.ingest(spark, prepared, table, "cuit", 300, batch="again")
+    assert values(FS.read_records(spark, table), "cuit", "event_time") == sorted(
+        [(k, e) for k in "ab" for e in (100.0, 200.0, 300.0)], key=repr
+    )
+    assert manifests.content(spark, f"{table}/manifests", "again")["records"] == {"2021-11": 2}
+
+
+def test_manifests(spark, tmp_path):
+    folder = str(tmp_path / "manifests")
+    assert manifests.committed(spark, folder) == []
+    assert manifests.commit(spark, folder, "b", {"n": 1}) and manifests.commit(spark, folder, "a.2", {})
+    assert not manifests.commit(spark, folder, "b", {"n": 2})
+    assert manifests.committed(spark, folder) == ["a.2", "b"] and manifests.content(spark, folder, "b") == {"n": 1}
+    with pytest.raises(ValueError):
+        manifests.commit(spark, folder, "../b", {})
+
+
+def test_sources_are_checked_and_profiled(spark, frame, tmp_path):
+    df = frame(
+        "a long, b decimal(18,2), c string, d date, e double", (1, 2.5, "x", date(2020, 1, 1), 0.1), (None, None, None, None, None),
+        (3, -1, "", date(1999, 1, 1), -34.6),
+    )
+    spec = TB.SourceSpec("t", ("a", "c"))
+    TB.check_source(df, spec, {"a": "entero", "b": "decimal", "e": "real"})
+    with pytest.raises(TB.SourceMismatch, match="lacks: z"):
+        TB.check_source(df, TB.SourceSpec("t", ("a", "z")))
+    with pytest.raises(TB.SourceMismatch, match="c texto"):
+        TB.check_source(df, spec, {"c": "fecha"})
+    profile = {r.columna: r for r in TB.column_profile(df, "t").collect()}
+    assert {c: (r.tipo, r.filas, r.conocidos) for c, r in profile.items()} == {
+        "a": ("entero", 3, 2), "b": ("decimal", 3, 2), "c": ("texto", 3, 2), "d": ("fecha", 3, 2), "e": ("real", 3, 2),
+    }
+    again = {r.columna: r.suma for r in TB.column_profile(df.repartition(3), "t").collect()}
+    assert again == {c: r.suma for c, r in profile.items()}
+    changed = {r.columna: r.suma for r in TB.column_profile(df.withColumn("c", F.upper("c")), "t").collect()}
+    assert changed.pop("c") != again.pop("c") and changed == again
+    assert {r.suma for r in TB.column_profile(df.limit(0), "t").collect()} == {"0"}
+
+
 def test_contract_is_checked(spark, frame, prepared, tmp_path):
     table = str(tmp_path / "features")
     FS.ingest(spark, prepared, table, "cuit", 1)
     other = FS.with_event_time(frame("cuit string, n string, id_periodo_analisis string", ("a", "1", "2021-11")), 2)
     with pytest.raises(FS.ContractMismatch, match="n, x|fe_proceso"):
         FS.append_features(other, table, "cuit")
-    good = spark.read.parquet(f"{table}/records").withColumn("id_periodo_analisis", F.lit("2021-11"))
+    good = FS.read_records(spark, table).withColumn("id_periodo_analisis", F.lit("2021-11"))
     with pytest.raises(FS.ContractMismatch, match="keyed by"):
         FS.append_features(good, table, "fe_proceso")
     with pytest.raises(FS.ContractMismatch, match="not in the frame"):
         FS.append_features(good.drop("cuit"), table, "cuit")
     FS.append_features(good, table, "cuit")
-    assert spark.read.parquet(f"{table}/records").count() == 4
+    assert FS.read_records(spark, table).count() == 4
 
 
 def test_null_ids_can_be_kept_as_text(spark, prepared, tmp_path):

@@ -98,12 +98,30 @@ def test_salted_join_spreads_the_hot_key(spark):
 def test_checked_lookup_falls_back_beyond_the_bound(spark):
     left = spark.range(500).select((F.col("id") % 20).alias("k"), F.col("id").alias("v"))
     right = spark.range(20).select(F.col("id").alias("k"), (F.col("id") + 1).alias("w"))
-    small = L.checked_lookup(left, right, ["k"], max_rows=20)
-    large = L.checked_lookup(left, right, ["k"], max_rows=19)
+    size = L.measured_bytes(right)
+    small = L.checked_lookup(left, right, ["k"], max_bytes=size)
+    large = L.checked_lookup(left, right, ["k"], max_bytes=size - 1)
     assert "BroadcastHashJoin" in plan(small)
     assert values(small, "k", "v", "w") == values(large, "k", "v", "w")
 
 
+def test_bytes_and_not_rows_decide_on_a_broadcast(spark):
+    """Of two tables with equally many rows the narrow one is broadcast and the wide one is not."""
+    left = spark.range(500).select((F.col("id") % 20).alias("k"), F.col("id").alias("v"))
+    narrow = spark.range(20).select(F.col("id").alias("k"), F.lit("x").alias("w"))
+    wide = spark.range(20).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 2000).alias("w"))
+    assert L.measured_bytes(narrow) < 1000 < 40_000 < L.measured_bytes(wide)
+
+    def hinted(dim):
+        joined = L.checked_lookup(left, dim, ["k"], max_bytes=10_000)
+        assert joined.count() == 500
+        return "strategy=broadcast" in joined._jdf.queryExecution().logical().toString()
+
+    assert hinted(narrow) and not hinted(wide)
+    odd = spark.createDataFrame([(1, None, None, None), (2, "ab", [1, 2], None)], "a int, b string, c array<int>, d decimal(30,2)")
+    assert L.measured_bytes(odd) >= 2 * 5 * 8 + 2 * 16 + 2 and L.measured_bytes(odd.limit(0)) == 0
+
+
 def test_index_is_one_row_per_month_and_broadcast(frame):
     index = frame("periodo int, indice double", (202101, 1.5), (202101, 1.4), (202102, None))
     df = frame("d date, v int", (date(2021, 1, 31), 1), (date(2021, 2, 1), 2), (date(2021, 3, 1), 3))
