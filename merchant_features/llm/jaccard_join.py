@@ -17,12 +17,13 @@ reaches a threshold. Equal sets are one class from the start. The steps:
    for the overlap that the threshold asks for.
 4. A list's leader is the entry at the first position: it has the fewest rare
    n-grams in front, as the origin of many near copies has. Lists with one
-   leader L are one group, and a set x is in it once, by its difference to the
-   leader: L - x and x - L. These are the leader's answers, and they give the
-   answers of all others without comparing the sets again:
+   leader L are one group, and a set x is in it once, however many lists they
+   share. The leader is compared with each, which gives L - x and x - L. These
+   are its answers, and they give the answers of all others without comparing
+   the sets again:
    ``|x & y| = |L| - |L - x| - |L - y| + |(L - x) & (L - y)| + |(x - L) & (y - L)|``.
-   Near copies differ little, so little is moved and compared. Groups of more
-   than ``BLOCK_SETS`` sets are compared block by block.
+   Near copies differ little, so little is compared. Groups of more than
+   ``BLOCK_SETS`` sets are compared block by block, the leader sent to each.
 5. A pair that is in several groups counts in the first of them. What leaves a
    task are each class's number of linked documents (copies counted by the sizes
    of their classes) and one edge per class that joins it to the group; the
@@ -52,7 +53,7 @@ from merchant_features.llm.occurrences import Occurrences, count, in_bitmap, slo
 from merchant_features.sources.storage import materialize
 
 ID_BITS = 23
-#: Larger groups are compared block by block, with blocks of about so many classes and n-grams of differences.
+#: Larger groups are compared block by block, with blocks of about so many classes and n-grams.
 BLOCK_SETS = 512
 BLOCK_GRAMS = 1 << 20
 #: Blocks hold classes of like size, in steps of 2 %.
@@ -164,8 +165,9 @@ def _with_room(entries: DataFrame, percent: int) -> DataFrame:
 
     A class may be entered by several tasks; its entries are equal and count as one.
     """
+    name = F.xxhash64("digest")
     blocks = entries.groupBy("token", _size_step().alias("step")).agg(
-        F.min("digest").alias("first"), F.max("digest").alias("last"), F.min("size").alias("least"),
+        F.min(name).alias("first"), F.max(name).alias("last"), F.min("size").alias("least"),
         F.max(F.col("size") - F.col("pos")).alias("best"),
     )
     near = Window.partitionBy("token").orderBy("step").rangeBetween(-_reach(percent), _reach(percent))
@@ -178,31 +180,6 @@ def _with_room(entries: DataFrame, percent: int) -> DataFrame:
     return found.select("token", "digest", "size", "pos")
 
 
-def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(leader, digest, size, leader_size, fewer, more): what each class of a group lacks and has beside its leader."""
-    x = sets.select("digest", F.col("tokens").alias("x"))
-    y = sets.select(F.col("digest").alias("leader"), F.col("tokens").alias("y"))
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, fewer, more = [], [], []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                own, of_leader = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                sizes.append((len(own), len(of_leader)))
-                fewer.append(np.setdiff1d(of_leader, own, True).tobytes())
-                more.append(np.setdiff1d(own, of_leader, True).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), batch.column(1), pa.array([s[0] for s in sizes], pa.int32()),
-                    pa.array([s[1] for s in sizes], pa.int32()), pa.array(fewer, pa.binary()), pa.array(more, pa.binary()),
-                ],
-                ["leader", "digest", "size", "leader_size", "fewer", "more"],
-            )
-
-    joined = pairs.join(x, "digest").join(y, "leader").select("leader", "digest", "x", "y")
-    return joined.mapInArrow(compared, "leader binary, digest binary, size int, leader_size int, fewer binary, more binary")
-
-
 def _counts(xs: list[np.ndarray], ys: list[np.ndarray], step: int = 4096) -> np.ndarray:
     """Sizes of the intersections of every x with every y."""
     x, y = np.concatenate(xs), np.concatenate(ys)
@@ -225,20 +202,18 @@ def _counts(xs: list[np.ndarray], ys: list[np.ndarray], step: int = 4096) -> np.
 
 
 def _blocks(members: DataFrame, percent: int) -> DataFrame:
-    """``members`` of the groups, each row in every pair of blocks that it is compared in (low, high, side).
+    """(leader, digest) of the groups, in every pair of blocks that a class is compared in, and the leader with each.
 
-    Blocks are found on narrow rows; the differences join them once.
+    ``members`` has leader, digest and size; ``role`` is 0 and 1 for the two blocks of a pair and 2 for their leader.
     """
-    grams = ((F.length("fewer") + F.length("more")) / 8).alias("grams")
-    narrow = members.select("leader", "digest", "size", grams)
-    sizes = narrow.groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.sum("grams").alias("grams"))
+    sizes = members.groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("grams"))
     large = (F.col("n") > BLOCK_SETS) | (F.col("grams") > BLOCK_GRAMS)
     sizes = sizes.where("n > 1").select("leader", large.alias("large"))
-    stepped = narrow.join(sizes, "leader").withColumn("step", F.when(F.col("large"), _size_step()).otherwise(-1))
+    stepped = members.join(sizes, "leader").withColumn("step", F.when(F.col("large"), _size_step()).otherwise(-1))
     stepped = materialize(stepped.drop("large"))
     cells = materialize(
         stepped.groupBy("leader", "step").agg(
-            F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("grams") / BLOCK_GRAMS)).cast("int").alias("parts"),
+            F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("size") / BLOCK_GRAMS)).cast("int").alias("parts"),
             F.min("size").alias("least"), F.max("size").alias("most"),
         )
     )
@@ -256,24 +231,26 @@ def _blocks(members: DataFrame, percent: int) -> DataFrame:
     placed = stepped.join(cells.select("leader", "step", "parts"), ["leader", "step"]).select(
         "leader", "digest", "step", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int").alias("part")
     )
-    sides = []
-    for side, wanted in (("a", blocks), ("b", blocks.where("step_a < step_b OR part_a < part_b"))):
+    rows = blocks.select(*key, F.col("leader").alias("digest"), F.lit(2).alias("role"))
+    for role, (side, wanted) in enumerate((("a", blocks), ("b", blocks.where("step_a < step_b OR part_a < part_b")))):
         keyed = placed.withColumnsRenamed({"step": f"step_{side}", "part": f"part_{side}"})
         joined = wanted.join(keyed, ["leader", f"step_{side}", f"part_{side}"])
-        sides.append(joined.select(*key, "digest", F.lit(side == "b").alias("second")))
-    return sides[0].unionByName(sides[1]).join(members, ["leader", "digest"])
+        rows = rows.unionByName(joined.select(*key, "digest", F.lit(role).alias("role")))
+    return rows
 
 
 def _linked(blocks: DataFrame, percent: int, listed: bool) -> DataFrame:
     """Written once: (digest, others, root) of the classes linked in a block, or all linked (a, b, overlap)."""
 
     def compare(group: pa.Table) -> pa.Table:
-        second, size = group.column("second").to_numpy(), group.column("size").to_numpy().astype(np.int64)
-        leader_size = group.column("leader_size")[0].as_py()
-        fewer, more = (
-            [np.frombuffer(t.as_buffer(), np.uint64) for t in group.column(c)] for c in ("fewer", "more")
-        )
-        x, y = np.flatnonzero(~second), np.flatnonzero(second)
+        role = group.column("role").to_numpy()
+        sets = [np.frombuffer(t.as_buffer(), np.uint64) for t in group.column("tokens")]
+        leader = sets[int(np.flatnonzero(role == 2)[0])]
+        # what each class lacks and has beside the leader: the leader's answers
+        fewer = [np.setdiff1d(leader, own, True) for own in sets]
+        more = [np.setdiff1d(own, leader, True) for own in sets]
+        size, leader_size = np.array([len(own) for own in sets], np.int64), len(leader)
+        x, y = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
         alone = not len(y)
         if alone:
             y = x
@@ -352,14 +329,15 @@ def similar_sets(
     lists = entries.groupBy("token").agg(
         F.min(F.struct("pos", "size", "digest"))["digest"].alias("leader"), F.min("digest").alias("first"), F.max("digest").alias("last")
     )
-    grouped = materialize(entries.join(lists.where("first <> last"), "token").select("leader", "digest").distinct())
+    grouped = entries.join(lists.where("first <> last"), "token").groupBy("leader", "digest").agg(F.first("size").alias("size"))
+    grouped = materialize(grouped)
     wanted = grouped.select("digest").distinct().join(classes.select("digest", F.col("least").alias("id")), "digest")
-    members = _differences(grouped, _sets(texts, wanted, n))
+    sets = _sets(texts, wanted, n)
 
     group_key = F.xxhash64("leader")
     groups = grouped.groupBy("digest").agg(F.sort_array(F.collect_set(group_key)).alias("groups"))
     known = groups.join(classes.select("digest", "copies"), "digest")
-    blocks = _blocks(materialize(members.join(known, "digest")), percent).withColumn("group_key", group_key)
+    blocks = _blocks(grouped, percent).join(known, "digest").join(sets, "digest").withColumn("group_key", group_key)
     told = _linked(blocks, percent, False)
     others = told.groupBy("digest").agg(F.sum("others").alias("others"))
     joined = components(told.select(F.col("digest").alias("a"), F.col("root").alias("b")))

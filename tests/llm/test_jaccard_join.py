@@ -147,14 +147,18 @@ def test_groups_of_every_size_go_one_way(spark, monkeypatch, copies):
         return out
 
     monkeypatch.setattr(J, "materialize", recorded)
-    members = J.similar_sets(df, n=3, percent=90, links=False).members.collect()
+    listed = copies < 240
+    joined = J.similar_sets(df, n=3, percent=90, links=listed)
+    members = joined.members.collect()
     pairs, numbers = all_links(rows, 3, 90)
     assert sorted((r.id, r.n_links) for r in members) == numbers
     assert {r.component for r in members} == {0}
-    assert max(written) <= 60 * copies
-    links = J.similar_sets(df, n=3, percent=90).links.collect()
-    assert len(links) == len(pairs) == copies * (copies - 1) // 2
-    assert all(r.overlap is not None for r in links)
+    if listed:
+        links = joined.links.collect()
+        assert len(links) == len(pairs) == copies * (copies - 1) // 2
+        assert all(r.overlap is not None for r in links)
+    else:
+        assert max(written) <= 60 * copies
 
 
 def test_a_list_without_room_enters_nothing(spark):
