@@ -12,6 +12,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Set to true where a folder without a scheme, or with ``file:``, is mounted on every machine of the cluster.
+MOUNTED = "spark.merchantFeatures.checkpointIsMounted"
 
 #: Called with every frame before it is written, for tests that look at plans.
 on_write: Callable[[DataFrame], None] | None = None
@@ -19,11 +21,16 @@ _runs: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names; only a local master may fall back to a temporary one, removed at exit."""
+    """The folder the cluster names; only a local master may fall back to a temporary one, removed at exit.
+
+    A cluster of several machines is refused a folder of one machine, unless it says that the folder is mounted on all.
+    """
     configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
+    master = spark.sparkContext.master
     if configured:
+        if not shared_by_all(configured, master, spark.conf.get(MOUNTED, "false") == "true"):
+            raise RuntimeError(f"{CHECKPOINT_DIR} names a folder of one machine: {configured}")
         return configured.rstrip("/")
-    master = spark.sparkContext.master
     if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
     fallback = tempfile.mkdtemp(prefix="checkpoint-")
@@ -32,6 +39,17 @@ def shared_dir(spark: SparkSession) -> str:
     return fallback
 
 
+def shared_by_all(folder: str, master: str, mounted: bool = False) -> bool:
+    """Whether executors of this master see one and the same folder."""
+    scheme = folder.partition(":")[0] if ":" in folder.split("/")[0] else ""
+    return mounted or master.startswith("local") or scheme not in ("", "file")
+
+
+def run_dir(spark: SparkSession) -> str:
+    """Where a run's files go that are not tables: the run's folder, removed with it, else the shared folder."""
+    return _runs[-1] if _runs else shared_dir(spark)
+
+
 @contextmanager
 def run(spark: SparkSession) -> Iterator[str]:
     """A folder for the tables written inside, removed at the end; results must have been written or taken by then."""

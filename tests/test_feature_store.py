@@ -185,6 +185,23 @@ def test_path_glob(spark, frame, tmp_path):
     assert TB.load_table(spark, str(path), path_glob="*.snappy.parquet").count() == 1
 
 
+def test_a_folder_of_one_machine_is_refused_on_a_cluster():
+    for folder in ("/tmp/x", "file:///tmp/x", "tmp"):
+        assert storage.shared_by_all(folder, "local[8]") and storage.shared_by_all(folder, "local-cluster[3,2,3000]")
+        assert not storage.shared_by_all(folder, "yarn") and not storage.shared_by_all(folder, "spark://h:7077")
+        assert storage.shared_by_all(folder, "yarn", mounted=True)
+    assert storage.shared_by_all("hdfs://n/x", "yarn") and storage.shared_by_all("s3a://b/x", "k8s://h")
+
+
+def test_files_of_a_run_go_with_it(spark):
+    import os
+
+    with storage.run(spark) as folder:
+        assert storage.run_dir(spark) == folder
+        os.makedirs(f"{folder}/ledger")
+    assert not os.path.exists(folder) and storage.run_dir(spark) == storage.shared_dir(spark)
+
+
 def test_shared_dir_is_the_configured_one(spark):
     assert storage.shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
     df = spark.range(5)
