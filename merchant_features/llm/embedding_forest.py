@@ -43,11 +43,11 @@ from merchant_features.llm.components import components
 from merchant_features.llm.groups import first_shared, reachable
 from merchant_features.sources.storage import materialize
 
-TREES = 10
+TREES = 6
 #: Classes of a leaf, about.
-LEAF = 256
+LEAF = 512
 #: Share of a node's vectors that goes to both sides of a split, by half.
-SPILL = 0.06
+SPILL = 0.03
 DIRECTIONS = 6
 CENTRES = (0.4, 0.45, 0.5, 0.55, 0.6)
 #: Sampled vectors that a split must leave on either side.

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchant_features.llm.frames import words_of
-from merchant_features.sources.storage import materialize, shared_dir
+from merchant_features.sources.storage import materialize, run_dir
 
 FILTERS = "ABCDE"
 REPEAT = 16
@@ -236,6 +236,6 @@ def audit_files(
     **columns: str,
 ) -> DataFrame:
     """The report over all files of a table; ``folder`` and ``keys`` are given where a stream is to be continued."""
-    folder = folder or f"{shared_dir(spark)}/filter-audit/{uuid.uuid4().hex}"
+    folder = folder or f"{run_dir(spark)}/filter-audit/{uuid.uuid4().hex}"
     keys = keys or 1 + spark.read.parquet(path).count() // TEXTS_PER_KEY
     return report(count_changes(file_stream(spark, path, files_per_batch), labels, folder, keys, **columns))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from merchant_features.llm import decontamination, embedding_forest, filter_audit, jaccard_join, language_id, license_scan, line_dedup, mixing, quality_rules, source_divergence, suffix_dedup, token_counts, warc_zip
 from merchant_features.llm.frames import table
 from merchant_features.llm.occurrences import rows_of
-from merchant_features.sources.storage import shared_dir
+from merchant_features.sources.storage import run_dir
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +84,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "source", "lang")
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "quality", "toxic")
-    ledger = token_counts.Ledger(spark, f"{shared_dir(spark)}/token-counts/{uuid.uuid4().hex}")
+    ledger = token_counts.Ledger(spark, f"{run_dir(spark)}/token-counts/{uuid.uuid4().hex}")
     tokenizer = token_counts.Tokenizer("byte-bpe-50k")
     revised = rows_of(docs, labels.where("quality = 0").select("id"), "id").withColumn(
         "text", F.array_join(F.array_distinct(F.split("text", "\n")), "\n")

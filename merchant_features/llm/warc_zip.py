@@ -39,7 +39,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchant_features.sources.storage import materialize, shared_dir
+from merchant_features.sources.storage import materialize, run_dir
 
 PACKAGE_BYTES = 256 << 20
 RANGE_BYTES = 8 << 20
@@ -324,4 +324,4 @@ def write_packages(
 
 
 def package_folder(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/packages/{uuid.uuid4().hex}"
+    return f"{run_dir(spark)}/packages/{uuid.uuid4().hex}"
