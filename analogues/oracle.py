@@ -357,6 +357,7 @@ def statements() -> dict[str, str]:
         ),
         "address_unified": tidy("unified_addresses", ("nro_establecimiento", *ADDRESS_FIELDS)),
         "address_latest": tidy("latest_addresses", ("nro_establecimiento", *ADDRESS_FIELDS)),
+        "address_latest_bucketed": tidy("latest_addresses", ("nro_establecimiento", *ADDRESS_FIELDS)),
         "establishment_universe": tidy("establishment_universe", UNIVERSE_COLUMNS),
         "establishment_features": tidy("establishment_features", FEATURE_COLUMNS),
         "establishment_universe_dated": tidy("dated_universe", (*UNIVERSE_COLUMNS, "desde")),

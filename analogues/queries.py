@@ -33,7 +33,7 @@ from merchant_features.plans import model as PM
 from merchant_features.plans import principal as PP
 from merchant_features.plans import target as PT
 from merchant_features.plans.session import configure
-from merchant_features.plans.shared import prepare_shared
+from merchant_features.plans.shared import by_establishment, prepare_shared
 from merchant_features.sources import feature_store as FS
 from merchant_features.sources.storage import materialize, shared_dir
 from merchant_features.sources.tables import (
@@ -315,6 +315,14 @@ def address_latest(t: Tables) -> DataFrame:
     return tidy(AD.latest_unified_addresses(base, t["address_history"], t["provinces"]))
 
 
+@whole
+def address_latest_bucketed(t: Tables) -> DataFrame:
+    """The latest addresses from histories in buckets by establishment."""
+    b = by_establishment(t, DATE_REF, 8)
+    base = PE.establishment_base(b["establishment_history"])
+    return tidy(AD.latest_unified_addresses(base, b["address_history"], b["provinces"]))
+
+
 @query
 def establishment_universe(t: Tables) -> DataFrame:
     return tidy(PE.establishment_universe(t))

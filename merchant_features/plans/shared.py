@@ -9,10 +9,10 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from merchant_features.functions.periods import anchors
-from merchant_features.operators.activity import summarise_authorisations, terminal_days
+from merchant_features.operators.activity import ESTABLISHMENT, summarise_authorisations, terminal_days
 from merchant_features.operators.terminals import installed_base
-from merchant_features.sources.storage import materialize
-from merchant_features.sources.tables import PRINCIPAL_SOURCES, narrow
+from merchant_features.sources.storage import bucketed, materialize
+from merchant_features.sources.tables import ADDRESS_HISTORY, ESTABLISHMENT_HISTORY, GEO_LOCATION, PRINCIPAL_SOURCES, narrow
 
 
 @dataclass(frozen=True)
@@ -35,3 +35,19 @@ def prepare_shared(tables: Mapping[str, DataFrame], date_ref: date, **installed_
     summary = materialize(summarise_authorisations(tables["authorisations"]))
     installed = installed_base(tables, a.lastday, terminal_days(summary, a.lastday), **installed_options)
     return Shared(summary, materialize(installed))
+
+
+#: Tables that the plans join and rank by establishment, several times each.
+BY_ESTABLISHMENT = (ESTABLISHMENT_HISTORY, ADDRESS_HISTORY, GEO_LOCATION)
+
+
+def by_establishment(tables: Mapping[str, DataFrame], date_ref: date, buckets: int) -> dict[str, DataFrame]:
+    """``tables`` with the histories by establishment filtered, narrowed and written into sorted buckets.
+
+    The latest versions and addresses, and the joins between them, then need no
+    shuffle by establishment: the writing is the only one of a run. ``buckets``
+    should give files of about 200 MB.
+    """
+    present = [s for s in BY_ESTABLISHMENT if s.name in tables]
+    known = {name: df for name, df in tables.items() if name in {s.name for s in present}}
+    return dict(tables) | {name: bucketed(df, ESTABLISHMENT, buckets) for name, df in narrow(known, present, date_ref).items()}

@@ -18,6 +18,7 @@ MOUNTED = "spark.merchantFeatures.checkpointIsMounted"
 #: Called with every frame before it is written, for tests that look at plans.
 on_write: Callable[[DataFrame], None] | None = None
 _runs: list[str] = []
+_tables: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -59,6 +60,8 @@ def run(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _runs.remove(folder)
+        for name in _tables.pop(folder, []):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -75,3 +78,22 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Write once, dealt by ``key`` into sorted buckets, and continue from that table.
+
+    Joins and windows on the key between tables of equally many buckets need no
+    further shuffle; this is the only one. All rows of a key are in one bucket:
+    meant for tables whose keys have few rows each, as versions of entities do.
+    """
+    if on_write is not None:
+        on_write(df)
+    spark = df.sparkSession
+    name = f"bucketed_{uuid.uuid4().hex}"
+    path = f"{run_dir(spark)}/{name}"
+    dealt = df.repartition(buckets, key)
+    dealt.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    if _runs:
+        _tables.setdefault(_runs[-1], []).append(name)
+    return spark.table(name)
