@@ -21,7 +21,7 @@ State lives in Spark's state store (RocksDB, with its checkpoint in the shared
 folder): a lost executor's state is loaded again elsewhere.
 
 Defined cases: null text is empty; a null part is the empty string. Rows with a
-null id are neither repeats nor hold a text for others. Rows of one id do not
+null id are neither repeats nor hold a text for others, and have no labels. Rows of one id do not
 repeat each other; repeated rows count each. An id with several labels is good
 (toxic) if one says so. An empty table gives no rows. Names of other columns do
 not matter.

@@ -13,8 +13,8 @@ from merchant_features.sources.storage import shared_dir
 
 def plain(rows, labels):
     """Rows are (id, text, part); labels (id, quality, toxic)."""
-    good = {i for i, q, _ in labels if q == 1}
-    toxic = {i for i, _, t in labels if t == 1}
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
     failed = []
     for i, text, part in rows:
         text = text or ""
