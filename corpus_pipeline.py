@@ -3,6 +3,9 @@
 Each stage is written as Parquet and read again as the next one's input. The
 first four return the columns of ``documents``; the last one returns the mixed
 rows, with their shard, pass and order in the shard.
+
+This module needs ``merchant_features.llm`` and cannot be imported without it;
+``__spark_entry__.py`` registers its query only where that package is present.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word Jaccard similarity of 0.8 or more, the smallest id stays."""
+    """Of documents linked by five-word Jaccard similarity of 0.8 or more one row stays, the smallest id's."""
     return jaccard_join.keep_one(docs)
 
 
