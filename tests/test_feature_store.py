@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import os
 from datetime import date
 
 import pytest
 from conftest import plan, values
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from merchant_features.sources import feature_store as FS
@@ -193,6 +195,25 @@ def test_a_folder_of_one_machine_is_refused_on_a_cluster():
     assert storage.shared_by_all("hdfs://n/x", "yarn") and storage.shared_by_all("s3a://b/x", "k8s://h")
 
 
+def test_a_mounted_folder_is_used_on_a_cluster(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://h:7077")
+    monkeypatch.setattr(storage, "_reached", set(), raising=False)
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert storage.shared_dir(spark) == configured
+    assert storage.materialize(spark.range(5)).count() == 5
+    assert not [name for name in os.listdir(configured) if name.startswith("trial-")]
+
+
+def test_a_folder_that_tasks_do_not_reach_is_refused_on_a_cluster(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://h:7077")
+    monkeypatch.setattr(storage, "_reached", set(), raising=False)
+    # tasks on other machines write to their own folder of that name: the driver's one stays empty
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, **options: os.makedirs(path))
+    for _ in range(2):
+        with pytest.raises(RuntimeError, match="folder of one machine"):
+            storage.shared_dir(spark)
+
+
 def test_files_of_a_run_go_with_it(spark):
     import os
 

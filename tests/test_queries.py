@@ -25,6 +25,10 @@ SELECTION = (
     "neighbour_stats", "read_period",
 )
 NAMES = list(own_queries()) if os.environ.get("ALL_QUERIES") else SELECTION
+#: Queries that write relations for their later steps; they must run where the checkpoint folder is a mounted one.
+WRITING = (
+    "activation_levels",
+)
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +42,13 @@ def test_query_equals_sql(spark, con, name):
     assert result.startswith("ok") and "TYPES" not in result, result
 
 
+@pytest.mark.parametrize("name", WRITING)
+def test_writing_query_on_a_cluster_with_a_mounted_folder(spark, con, monkeypatch, name):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://h:7077")
+    result = compare(name, spark, con, SF)
+    assert result.startswith("ok") and "TYPES" not in result, result
+
+
 def test_no_statement_without_query():
     assert set(SQL) <= set(entry.queries())
     assert set(own_queries()) <= set(SQL)
