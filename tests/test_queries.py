@@ -30,6 +30,7 @@ WRITING = (
     "activation_levels",
     "activation_target",
     "address_latest_bucketed",
+    "address_unified",
 )
 
 
