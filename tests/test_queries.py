@@ -31,6 +31,7 @@ WRITING = (
     "activation_target",
     "address_latest_bucketed",
     "address_unified",
+    "cohort_features",
 )
 
 
