@@ -32,6 +32,7 @@ WRITING = (
     "address_latest_bucketed",
     "address_unified",
     "cohort_features",
+    "establishment_activity_rolled",
 )
 
 
