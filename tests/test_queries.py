@@ -35,6 +35,7 @@ WRITING = (
     "establishment_activity_rolled",
     "establishment_features",
     "establishment_universe",
+    "establishment_universe_dated",
 )
 
 
