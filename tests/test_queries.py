@@ -36,6 +36,7 @@ WRITING = (
     "establishment_features",
     "establishment_universe",
     "establishment_universe_dated",
+    "latest_features",
 )
 
 
