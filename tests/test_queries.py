@@ -37,6 +37,7 @@ WRITING = (
     "establishment_universe",
     "establishment_universe_dated",
     "latest_features",
+    "owner_days",
 )
 
 
