@@ -29,6 +29,7 @@ NAMES = list(own_queries()) if os.environ.get("ALL_QUERIES") else SELECTION
 WRITING = (
     "activation_levels",
     "activation_target",
+    "activation_target_rows",
     "address_latest_bucketed",
     "address_unified",
     "cohort_features",
