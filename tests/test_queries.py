@@ -35,6 +35,7 @@ WRITING = (
     "cohort_features",
     "establishment_activity_rolled",
     "establishment_features",
+    "establishment_features_dated",
     "establishment_universe",
     "establishment_universe_dated",
     "latest_features",
