@@ -36,6 +36,7 @@ WRITING = (
     "establishment_activity_rolled",
     "establishment_features",
     "establishment_features_dated",
+    "establishment_features_rows",
     "establishment_universe",
     "establishment_universe_dated",
     "latest_features",
