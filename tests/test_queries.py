@@ -39,6 +39,7 @@ WRITING = (
     "establishment_features_rows",
     "establishment_universe",
     "establishment_universe_dated",
+    "geo_features",
     "latest_features",
     "owner_days",
     "per_terminal_activity",
