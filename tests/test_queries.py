@@ -40,6 +40,7 @@ WRITING = (
     "establishment_universe",
     "establishment_universe_dated",
     "geo_features",
+    "ingest_job",
     "latest_features",
     "owner_days",
     "per_terminal_activity",
