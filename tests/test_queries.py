@@ -41,6 +41,7 @@ WRITING = (
     "establishment_universe_dated",
     "geo_features",
     "ingest_job",
+    "ingest_repeated",
     "latest_features",
     "owner_days",
     "per_terminal_activity",
