@@ -43,6 +43,7 @@ WRITING = (
     "ingest_job",
     "ingest_repeated",
     "latest_features",
+    "model_table",
     "owner_days",
     "per_terminal_activity",
     "principal_features",
