@@ -44,6 +44,7 @@ WRITING = (
     "ingest_repeated",
     "latest_features",
     "model_table",
+    "neighbour_stats",
     "owner_days",
     "per_terminal_activity",
     "principal_features",
