@@ -47,6 +47,7 @@ WRITING = (
     "neighbour_stats",
     "owner_days",
     "per_terminal_activity",
+    "per_terminal_activity_rows",
     "principal_features",
     "radius_neighbours",
 )
