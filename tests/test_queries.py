@@ -49,6 +49,7 @@ WRITING = (
     "per_terminal_activity",
     "per_terminal_activity_rows",
     "principal_features",
+    "principal_features_rows",
     "radius_neighbours",
 )
 
