@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import glob
 import itertools
+import os
 import random
 import re
+import threading
 
 import pytest
 
@@ -115,3 +118,31 @@ def test_an_empty_table_and_one_file(spark, tmp_path):
     spark.createDataFrame([(1, "x", "s")], "doc_id long, text string, source string").coalesce(1).write.parquet(str(tmp_path / "one"))
     (file,) = (str(f) for f in (tmp_path / "one").iterdir() if f.name.startswith("part-"))
     assert A.audit_files(spark, file, labels).count() == 600
+
+
+def test_state_stores_take_no_disk_in_advance(spark, written):
+    """There is a store for every shuffle partition, most of them small."""
+    local = os.path.dirname(spark.sparkContext._temp_dir)
+    found = lambda: glob.glob(f"{glob.escape(local)}/**/MANIFEST-*", recursive=True)
+    earlier, taken, over = set(found()), {}, threading.Event()
+
+    def watch():
+        while not over.wait(0.05):
+            for path in set(found()) - earlier:
+                try:
+                    taken[path] = max(taken.get(path, 0), os.stat(path).st_blocks * 512)
+                except OSError:
+                    pass
+
+    watching = threading.Thread(target=watch)
+    watching.start()
+    try:
+        rows, labels = corpus(3, 60)
+        given = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+        before = {name: spark.conf.get(name, None) for name in A.STATE}
+        assert told(A.audit_files(spark, written(rows, 2), given)) == plain(rows, labels)
+        assert {name: spark.conf.get(name, None) for name in A.STATE} == before
+    finally:
+        over.set()
+        watching.join()
+    assert taken and max(taken.values()) < 1_000_000
