@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import date
 
+import duckdb
 import pytest
 from conftest import one, values
 from pyspark.sql import functions as F
@@ -108,6 +109,13 @@ def test_per_unit(frame):
     assert evaluate(frame, E.per_unit("a", "b"), "a int, b int", 10, 0) is None
 
 
+def test_per_unit_takes_ties_as_sql_does(frame):
+    """Ratios whose shortest decimal text and double are on different sides of a tie."""
+    for a, b in ((1136144.9, 4), (815729.625, 5), (213476.775, 5), (-213476.775, 5), (2.675, 1), (1.005, 1)):
+        told = duckdb.execute("SELECT round(CAST(? AS DOUBLE) / ?, 2)", [a, b]).fetchall()[0][0]
+        assert evaluate(frame, E.per_unit("a", "b"), "a double, b int", a, b) == told, (a, b)
+
+
 def test_phone_and_names(frame):
     assert evaluate(frame, E.phone_number("a", "b"), "a string, b string", "011", "4444") == "011-4444"
     assert evaluate(frame, E.phone_number("a", "b"), "a string, b string", None, "4444") is None
