@@ -5,10 +5,10 @@ reaches a threshold. Equal sets are one class from the start. The steps:
 
 1. Document frequencies of all n-grams, from one shuffle of packed 32-bit
    residues. They fix a global order: n-grams that occur once, then the others,
-   the frequent ones last. What tasks are sent of it is bounded: a bitmap of
-   fixed size (an n-gram not in it occurs once; when it fills up it skips less,
-   results stay) and the n-grams of at least ``N / HOT`` occurrences, of which
-   there can be no more than ``HOT``.
+   by grades of their number, the frequent ones last. What tasks are sent of it
+   is bounded: bitmaps of at most 2^27 bits (an n-gram not in the first occurs
+   once; when one fills up it tells less apart, results stay) and the n-grams of
+   at least ``N / HOT`` occurrences, of which there can be no more than ``HOT``.
 2. Each class puts the first |x| - ceil(t|x|) + 1 n-grams of its order into the
    index; two linked classes share one of these. N-grams that occur once open no
    list, so most documents enter nothing.
@@ -49,7 +49,7 @@ from merchant_features.llm import words as W
 from merchant_features.llm.components import components
 from merchant_features.llm.frames import broadcast_fields, row_columns, row_struct
 from merchant_features.llm.groups import first_shared, reachable
-from merchant_features.llm.occurrences import Occurrences, count, in_bitmap, slot_bitmap
+from merchant_features.llm.occurrences import GRADES, Occurrences, bits_for, count, in_bitmap, slot_bitmap
 from merchant_features.sources.storage import materialize
 
 ID_BITS = 23
@@ -317,7 +317,10 @@ def similar_sets(
     text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
     texts = docs.select(F.col(id_col).alias("id"), text).select("id", F.xxhash64("text").alias("tag"), "text")
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    occurrences = count(texts, lambda column: (t for _, t in shingle_sets(column, n)), n_bytes / 7)
+    occurrences = count(
+        texts, lambda column: (t for _, t in shingle_sets(column, n)), n_bytes / 7, bitmap_bits=bits_for(n_bytes / 7),
+        grades=len(GRADES),
+    )
     sent = broadcast_fields(docs.sparkSession, occurrences)
     id_type = texts.schema["id"].dataType.simpleString()
     both = materialize(_indexed(texts, sent, n, percent, id_type))

@@ -6,7 +6,10 @@ task adds up what repeats before it sends: a hash that makes up a third of all
 costs one residue and one number per flush.
 The outcome that tasks are sent later has a fixed bound: a bitmap over the first
 ``BITMAP_BITS`` bits of the hashes (bits of a fuller bitmap rule out less, never
-too much), and the hashes that make up at least 1 / ``most_hot`` of all.
+too much), and the hashes that make up at least 1 / ``most_hot`` of all. Who needs
+to tell rare hashes from others asks for more bitmaps, each of half the size, of
+the hashes with at least so many occurrences, and for more bits where there are
+more hashes, up to ``MOST_BITS``.
 """
 
 from __future__ import annotations
@@ -22,6 +25,9 @@ from pyspark.sql import functions as F
 from merchant_features.sources.storage import materialize
 
 BITMAP_BITS = 26
+MOST_BITS = 27
+#: Least occurrences of the bitmaps that ``count`` can make.
+GRADES = (2, 4, 16, 64)
 BUCKET_HASHES = 4 << 20
 FLUSH_HASHES = 2 << 20
 
@@ -29,33 +35,53 @@ FLUSH_HASHES = 2 << 20
 @dataclass
 class Occurrences:
     bucket_bits: int
-    twice: np.ndarray  # packed bits
+    grades: list[np.ndarray]  # packed bits of the hashes with at least GRADES occurrences
     hot: np.ndarray  # sorted first bucket_bits + 32 bits of frequent hashes
     frequency: np.ndarray
 
     def may_repeat(self, hashes: np.ndarray) -> np.ndarray:
         """False: the hash occurs once."""
-        return in_bitmap(self.twice, (hashes >> np.uint64(64 - BITMAP_BITS)).astype(np.int64))
+        return in_grade(self.grades[0], hashes)
 
     def frequencies(self, hashes: np.ndarray) -> np.ndarray:
-        """Counts of frequent hashes, else 0."""
-        if not len(self.hot):
-            return np.zeros(len(hashes), np.int64)
-        head = hashes >> np.uint64(32 - self.bucket_bits)
-        at = np.minimum(np.searchsorted(self.hot, head), len(self.hot) - 1)
-        return np.where(self.hot[at] == head, self.frequency[at], 0)
+        """Counts of frequent hashes, else the number of bitmaps after the first that hold a hash one after the other."""
+        found = np.zeros(len(hashes), np.int64)
+        left = np.arange(len(hashes))
+        for bitmap in self.grades[1:]:
+            left = left[in_grade(bitmap, hashes[left])]
+            found[left] += 1
+        if len(self.hot):
+            head = hashes >> np.uint64(32 - self.bucket_bits)
+            at = np.minimum(np.searchsorted(self.hot, head), len(self.hot) - 1)
+            found = np.where(self.hot[at] == head, self.frequency[at], found)
+        return found
 
 
 def in_bitmap(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return ((bitmap[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1).astype(bool)
 
 
+def in_grade(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the first bits of the hashes are set in a bitmap of any size."""
+    return in_bitmap(bitmap, (hashes >> np.uint64(64 - (8 * len(bitmap)).bit_length() + 1)).astype(np.int64))
+
+
+def bits_for(expected: float) -> int:
+    """Bits of the first bitmap for about so many hashes, as far as memory allows."""
+    return min(MOST_BITS, max(BITMAP_BITS, int(expected).bit_length() - 1))
+
+
 def count(
     texts: DataFrame, hashes: Callable[[pa.Array], Iterator[np.ndarray]], expected: float, least_hot: int = 16,
-    most_hot: int = 1 << 21,
+    most_hot: int = 1 << 21, bitmap_bits: int | None = None, grades: int = 1,
 ) -> Occurrences:
-    """Count the hashes of the column ``text``; about ``expected`` of them size the buckets."""
+    """Count the hashes of the column ``text``; about ``expected`` of them size the buckets.
+
+    ``grades`` is the number of bitmaps, the first of 2 ** ``bitmap_bits`` bits.
+    """
     bits = max(8, int(expected / BUCKET_HASHES).bit_length())
+    first_bits = bitmap_bits or BITMAP_BITS
+    sized = [(least, first_bits - k) for k, least in enumerate(GRADES[:grades])]
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flushed(held: list[np.ndarray]) -> pa.RecordBatch:
@@ -95,14 +121,17 @@ def count(
         counts = np.diff(np.concatenate((heads, [len(residues)])))
         values = residues[heads]
         np.add.at(counts, np.searchsorted(values, read("repeated", np.uint32)), read("times", np.int64) - 1)
-        bitmap = np.zeros(1 << (BITMAP_BITS - bits), bool)
-        bitmap[values[counts > 1] >> np.uint32(32 - BITMAP_BITS + bits)] = True
+        packed = []
+        for least, own in sized:
+            bitmap = np.zeros(1 << (own - bits), bool)
+            bitmap[values[counts >= least] >> np.uint32(32 - own + bits)] = True
+            packed.append(np.packbits(bitmap, bitorder="little").tobytes())
         frequent = counts >= least_hot
         return pa.table(
             {
                 "bucket": pa.array([group.column("bucket")[0].as_py()], pa.int32()),
                 "total": pa.array([int(counts.sum())], pa.int64()),
-                "twice": pa.array([np.packbits(bitmap, bitorder="little").tobytes()], pa.binary()),
+                "grades": pa.array([packed], pa.list_(pa.binary())),
                 "hot": pa.array([values[frequent].tolist()], pa.list_(pa.int64())),
                 "frequency": pa.array([counts[frequent].tolist()], pa.list_(pa.int64())),
             }
@@ -111,21 +140,21 @@ def count(
     residues = texts.select("text").mapInArrow(packed, "bucket int, residues binary, repeated binary, times binary")
     found = materialize(
         residues.groupBy("bucket").applyInArrow(
-            counted, "bucket int, total bigint, twice binary, hot array<bigint>, frequency array<bigint>"
+            counted, "bucket int, total bigint, grades array<binary>, hot array<bigint>, frequency array<bigint>"
         )
     )
     least = max(least_hot, (found.agg(F.sum("total")).first()[0] or 0) // most_hot)
-    bitmap = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
-    segment = 1 << (BITMAP_BITS - bits - 3)
-    for row in found.select("bucket", "twice").toLocalIterator():
-        bitmap[row["bucket"] * segment : (row["bucket"] + 1) * segment] = np.frombuffer(row["twice"], np.uint8)
+    bitmaps = [np.zeros(1 << (own - 3), np.uint8) for _, own in sized]
+    for row in found.select("bucket", "grades").toLocalIterator():
+        for bitmap, piece in zip(bitmaps, row["grades"], strict=True):
+            bitmap[row["bucket"] * len(piece) : (row["bucket"] + 1) * len(piece)] = np.frombuffer(piece, np.uint8)
     pairs = found.select("bucket", F.explode(F.arrays_zip("hot", "frequency")).alias("h"))
     rows = pairs.where(F.col("h.frequency") >= least).select(
         (F.shiftleft(F.col("bucket").cast("long"), 32) + F.col("h.hot")).alias("head"), "h.frequency"
     ).toArrow()
     head = rows.column(0).to_numpy().astype(np.uint64)
     order = np.argsort(head)
-    return Occurrences(bits, bitmap, head[order], rows.column(1).to_numpy()[order])
+    return Occurrences(bits, bitmaps, head[order], rows.column(1).to_numpy()[order])
 
 
 def slot_bitmap(values: DataFrame, bits: int) -> np.ndarray:

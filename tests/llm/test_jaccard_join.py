@@ -8,6 +8,7 @@ import pytest
 
 from llm_fixtures import docs, nothing, texts  # noqa: F401
 from merchant_features.llm import jaccard_join as J
+from merchant_features.llm import occurrences as O
 from merchant_features.llm.components import components
 
 AZ = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -218,6 +219,47 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_copies_meet_by_their_rarest_words(spark, monkeypatch):
+    """Every n-gram occurs more than once and none is frequent: what few share goes into the index, not what many do."""
+    rng = random.Random(5)
+    phrases = [" ".join(f"p{k}x{i}" for i in range(5)) for k in range(200)]
+    rows = []
+    for k in range(100):
+        parts = [" ".join(f"d{k}x{i}x{j}" for j in range(10)) for i in range(9)] + rng.sample(phrases, 8)
+        rng.shuffle(parts)
+        text = " ".join(parts)
+        rows += [(2 * k, text), (2 * k + 1, text + " end")]
+    met, materialize = [], J.materialize
+
+    def recorded(frame):
+        out = materialize(frame)
+        if {"leader", "digest"} <= set(out.columns):
+            met.append(out.count())
+        return out
+
+    monkeypatch.setattr(J, "materialize", recorded)
+    assert got(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3, 90) == plain(rows, 3, 90)
+    assert met and max(met) <= 1.2 * len(rows)
+
+
+def test_grades_of_occurrences(spark):
+    times = {7: 1, 8: 2, 9: 3, 10: 4, 11: 15, 12: 16, 13: 63, 14: 64, 15: 900}
+    hashes = {t: (t * 0x9E3779B97F4A7C15) % 2**64 for t in times}
+    df = spark.createDataFrame([(str(t),) for t, n in times.items() for _ in range(n)], "text string").repartition(3)
+
+    def hashed(column):
+        yield np.array([(int(t) * 0x9E3779B97F4A7C15) % 2**64 for t in column.to_pylist()], np.uint64)
+
+    found = O.count(df, hashed, 1e3, least_hot=500, bitmap_bits=22, grades=4)
+    own = np.array(list(hashes.values()), np.uint64)
+    assert [len(b) * 8 for b in found.grades] == [1 << 22, 1 << 21, 1 << 20, 1 << 19]
+    assert list(found.may_repeat(own)) == [n > 1 for n in times.values()]
+    assert list(found.frequencies(own)) == [0, 0, 0, 1, 1, 2, 2, 3, 900]
+    plain_one = O.count(df, hashed, 1e3, least_hot=500)
+    assert len(plain_one.grades) == 1 and list(plain_one.frequencies(own)) == [0] * 8 + [900]
+    assert [O.bits_for(n) for n in (0, 1e6, 1.3e8, 3e8, 1.5e9, 1e12)] == [26, 26, 26, 27, 27, 27]
+
+
 def test_order_is_global_and_rare_first():
     class Counts:
         def may_repeat(self, t):
